@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,21 +15,19 @@ NULL_PIECES = 4_096
 
 
 def estimated_bytes(df: DataFrame, rows_kept: bool = False) -> int | None:
-    """Catalyst's size estimate, or None where it cannot be read.
+    """Catalyst's size estimate, or None in a session without a local plan (a remote one).
 
     ``rows_kept`` states that the joins inside ``df`` add no rows (lookups of unique keys). Then
     the sum of the inputs is a bound too, much closer than the product that the estimate takes.
     """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        size = int(plan.stats().sizeInBytes().toString())
-        if rows_kept:
-            leaves = plan.collectLeaves()
-            total = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-            size = min(size, total)
-        return size
-    except Exception:  # no JVM plan at hand (for example a remote session)
+    if not hasattr(df, "_jdf"):
         return None
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(plan.stats().sizeInBytes())
+    if rows_kept:
+        leaves = plan.collectLeaves()
+        size = min(size, sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())))
+    return size
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, rows_kept: bool = False) -> bool:
@@ -54,28 +52,31 @@ def row_piece(df: DataFrame, pieces):
     return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), pieces)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, top: int = HOT_KEYS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows and the number of pieces to cut each into.
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, top: int = HOT_KEYS) -> list[Row]:
+    """Keys with at least ``hot_rows`` rows, each with the number of pieces to cut it into.
 
-    At most ``top`` rows come back, the largest first; a key left out only loses its cutting.
+    Counts are combined before the shuffle and at most ``top`` rows come back, the largest first. A key
+    left out loses only its cutting, no rows.
     """
-    counted = df.dropna(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counted.where(F.col("_rows") >= hot_rows)
-        .orderBy(F.desc("_rows"), *on)
-        .limit(top)
-        .select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("long").alias("_pieces"))
-    )
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= hot_rows)
+    pieces = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("long").alias("_pieces")
+    return counted.orderBy(F.desc("_rows"), *on).limit(top).select(*on, pieces).collect()
+
+
+def _as_table(df: DataFrame, on: Sequence[str], rows: list[Row]) -> DataFrame:
+    schema = df.select(*on).schema.add("_pieces", "long")
+    return F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in rows], schema))
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
                 broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
-                rows_kept: bool = False) -> DataFrame:
+                rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Equi-join of a large left side, for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
 
-    A right side within the size limit is broadcast. Beyond it, hot keys of the left side are cut
-    into pieces and only their right rows copied; rows without a key, which match nothing, spread
-    over many tasks. The result is the same in both ways.
+    A right side within the size limit is broadcast. Beyond it the keys of the left side are counted
+    (in ``counted`` where the left side is a longer plan over it). Hot keys are cut into pieces, and
+    only their right rows are copied; rows without a key, which match nothing, spread over many
+    tasks. The result is the same in every way.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -86,7 +87,10 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
         return left.join(F.broadcast(right), on, how)
     if how in ("left_semi", "left_anti"):
         right = right.distinct()
-    hot = F.broadcast(hot_keys(left, on, hot_rows))
+    hot = hot_keys(left if counted is None else counted, on, hot_rows)
+    if not hot:
+        return left.join(right, on, how)
+    pieces = _as_table(left, on, [r for r in hot if None not in tuple(r)])
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | F.col(f"`{name}`").isNull()
@@ -95,25 +99,29 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
         .when(F.col("_pieces").isNotNull(), row_piece(left, F.col("_pieces")))
         .otherwise(F.lit(0).cast("long"))
     )
-    cut = left.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
+    cut = left.join(pieces, on, "left").withColumn("_piece", piece).drop("_pieces")
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
-    copied = right.join(hot, on, "left").withColumn("_piece", copies).drop("_pieces")
+    copied = right.join(pieces, on, "left").withColumn("_piece", copies).drop("_pieces")
     return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
 def lookup_many(left: DataFrame, right: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES,
-                hot_rows: int = HOT_ROWS, rows_kept: bool = False) -> DataFrame:
+                hot_rows: int = HOT_ROWS, rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Left join of a table with one row per key to a table with many rows per key.
 
-    A key that holds a large share of the right rows surely has a match, so its rows need no outer
-    join: they stay where they are and meet the few left rows of hot keys, which are broadcast.
+    A key that holds a large share of the right rows surely has a match (``counted`` must not hold
+    keys that the right side lacks), so its rows need no outer join: they stay where they are and meet
+    the few left rows of hot keys, which are broadcast.
     """
     on = list(on)
     if fits_broadcast(right, broadcast_bytes, rows_kept):
         return left.join(F.broadcast(right), on, "left")
-    hot = F.broadcast(hot_keys(right, on, hot_rows).select(*on))
-    others = left.join(hot, on, "left_anti").join(right.join(hot, on, "left_anti"), on, "left")
-    heavy = right.join(F.broadcast(left.join(hot, on, "left_semi")), on, "inner")
+    hot = [r for r in hot_keys(right if counted is None else counted, on, hot_rows) if None not in tuple(r)]
+    if not hot:
+        return left.join(right, on, "left")
+    keys = _as_table(left, on, hot).drop("_pieces")
+    others = left.join(keys, on, "left_anti").join(right.join(keys, on, "left_anti"), on, "left")
+    heavy = right.join(F.broadcast(left.join(keys, on, "left_semi")), on, "inner")
     return others.unionByName(heavy.select(*others.columns))
 
 

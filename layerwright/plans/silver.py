@@ -56,7 +56,8 @@ def participatory_processes(bronze: Bronze, organization: int = 1) -> DataFrame:
         processes, types, {"decidim_participatory_process_type_id": "id", **org}, {"title": "type_title"}
     )
     out = lookup_dimension(
-        out, areas, {"decidim_area_id": "id", **org}, {"name": "area_name", "area_type_id": "area_type_id"}
+        out, areas, {"decidim_area_id": "id", **org}, {"name": "area_name", "area_type_id": "area_type_id"},
+        counted=processes,
     )
     out = lookup_dimension(out, area_types, {"area_type_id": "id", **org}, {"name": "area_type_name"})
     return out.select(
@@ -105,6 +106,7 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
     out = lookup_dimension(
         out, components, {"decidim_component_id": "id"},
         {"participatory_space_id": "process_id", "participatory_space_type": "participatory_space_type"},
+        counted=narrow,
     )
     authors = authors.select(
         F.col("coauthorable_id").alias("id"), F.col("decidim_author_id").alias("user_id"),
@@ -114,7 +116,7 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
         F.col("categorizable_id").alias("id"), localized(F.col("category_name")).alias("proposal_category")
     )
     out = lookup_many(out, authors, ["id"])
-    out = spread_join(out, categories, ["id"], "left", rows_kept=True)
+    out = spread_join(out, categories, ["id"], "left", rows_kept=True, counted=authors)
     return out.select(
         F.col("id").alias("proposal_id"), "process_id", "participatory_space_type", "user_id", "author_type",
         "proposal_status", "created_at", "proposal_title", "proposal_text",
