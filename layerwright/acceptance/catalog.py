@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from layerwright.acceptance import models
+from layerwright.acceptance import daily, models, relational
 
-_PARTS = (models,)
+_PARTS = (daily, models, relational)
 
 QUERIES = {name: q for part in _PARTS for name, q in part.registry.queries.items()}
 SQL = {name: s for part in _PARTS for name, s in part.registry.sql.items()}
