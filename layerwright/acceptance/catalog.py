@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from layerwright.acceptance import daily, models, relational
+from layerwright.acceptance import daily, feeds, models, relational, scalars
 
-_PARTS = (daily, models, relational)
+_PARTS = (daily, models, relational, scalars, feeds)
 
 QUERIES = {name: q for part in _PARTS for name, q in part.registry.queries.items()}
 SQL = {name: s for part in _PARTS for name, s in part.registry.sql.items()}

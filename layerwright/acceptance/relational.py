@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from layerwright.acceptance.tables import NAMES, Registry, table
-from layerwright.functions.text import last_segment, url_part
+from layerwright.functions.text import url_part
 from layerwright.operators import quality as dq
 from layerwright.operators.dedup import any_per_key, latest_per_key
 from layerwright.operators.joins import existing, lookup_dimension, spread_join
@@ -281,8 +281,3 @@ def q_dq_self_reference(spark, sf):
     return found.select("conv_id", "turn", "id", "parent_id")
 
 
-@registry.add("q_last_segment_type", """
-    SELECT p_partkey, lower(p_type) AS kind FROM part""")
-def q_last_segment_type(spark, sf):
-    typed = F.concat(F.lit("Shop::"), F.col("p_brand"), F.lit("::"), F.col("p_type"))
-    return table(spark, sf, "part").select("p_partkey", last_segment(typed).alias("kind"))
