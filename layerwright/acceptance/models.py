@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from layerwright.acceptance.civic import AS_OF, MODEL_SQL, bronze, with_models
 from layerwright.acceptance.tables import Registry
 from layerwright.plans import gold, pipeline, silver
+from layerwright.session import materialize
 
 registry = Registry()
 
@@ -196,7 +197,8 @@ _TESTS = {
 def q_dq_report(spark, sf):
     tables, models = _models(spark, sf)
     models.pop("visits")
-    return pipeline.test_report(models, tables)
+    written = {name: materialize(model, name) for name, model in models.items()}
+    return pipeline.test_report(written, tables)
 
 
 @registry.add("q_bounce_rate", with_models("""

@@ -148,9 +148,10 @@ def to_ascii(col: Column) -> Column:
             source.append(chr(point))
             target.append(base)
     out = F.translate(col, "".join(source), "".join(target))
+    spelled_out = out
     for char, spelled in _SPELLED_OUT.items():
-        out = F.replace(out, F.lit(char), F.lit(spelled))
-    return out
+        spelled_out = F.replace(spelled_out, F.lit(char), F.lit(spelled))
+    return F.when(out.rlike("[" + "".join(_SPELLED_OUT) + "]"), spelled_out).otherwise(out)
 
 
 def identifier(*parts: Column) -> Column:

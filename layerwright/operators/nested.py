@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def json_array(col: Column, fields: Mapping[str, str]) -> Column:
-    """A JSON array as array of structs. Every field is read as text and then cast leniently."""
-    as_text = T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in fields]))
-
-    def typed(item: Column) -> Column:
-        return F.struct(*[
-            (item[name] if kind == "string" else item[name].try_cast(kind)).alias(name)
-            for name, kind in fields.items()
-        ])
-
-    return F.transform(F.from_json(col, as_text), typed)
+def json_array(col: Column, fields: Iterable[str]) -> Column:
+    """A JSON array as array of structs with every field as text."""
+    return F.from_json(col, T.ArrayType(T.StructType([T.StructField(name, T.StringType()) for name in fields])))
 
 
 def unnest_json_array(df: DataFrame, col: str, fields: Mapping[str, str], alias: str = "item") -> DataFrame:
-    """One row per element; a row whose array is missing or empty is kept with a NULL element."""
-    items = json_array(F.col(col), fields)
-    return df.select(*[c for c in df.columns if c != col], F.explode_outer(items).alias(alias))
+    """One row per element; a row whose array is missing or empty is kept with a NULL element.
+
+    Fields are read as text and cast leniently after the rows are unfolded, so that fields nobody uses
+    are not parsed and casts run in generated code.
+    """
+    rest = [c for c in df.columns if c != col]
+    rows = df.select(*rest, F.explode_outer(json_array(F.col(col), fields)).alias("_text"))
+    typed = F.struct(*[
+        (F.col(f"_text.{name}") if kind == "string" else F.col(f"_text.{name}").try_cast(kind)).alias(name)
+        for name, kind in fields.items()
+    ])
+    return rows.select(*rest, typed.alias(alias))
 
 
 def _leaves(schema: T.StructType, prefix: str = "") -> list[tuple[str, Column]]:

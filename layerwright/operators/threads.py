@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.operators.joins import spread_join
-from layerwright.session import cut_lineage
+from layerwright.session import materialize
 
 
 def expand_threads(comments: DataFrame, comment_id: str, parent_id: str, root_id: str) -> DataFrame:
@@ -30,13 +30,13 @@ def expand_threads(comments: DataFrame, comment_id: str, parent_id: str, root_id
         "id", F.col("id").alias("thread_id"), F.col("steps").alias("depth"), "root"
     )
     open_links = links.where(F.col("ancestor").isNotNull()).select("id", "ancestor", "steps")
-    done, open_links = cut_lineage(done), cut_lineage(open_links)
+    done, open_links = materialize(done, "threads"), materialize(open_links, "threads")
     resolved = done
     while not open_links.isEmpty():
         reached = spread_join(
             open_links, resolved.select(F.col("id").alias("ancestor"), "thread_id", "depth", "root"), ["ancestor"],
         )
-        found = cut_lineage(reached.where(F.col("depth").isNotNull()).select(
+        found = materialize(reached.where(F.col("depth").isNotNull()).select(
             "id", "thread_id", (F.col("depth") + F.col("steps")).alias("depth"), "root"
         ))
         if found.isEmpty():
@@ -45,7 +45,7 @@ def expand_threads(comments: DataFrame, comment_id: str, parent_id: str, root_id
         hops = open_links.select(
             F.col("id").alias("ancestor"), F.col("ancestor").alias("further"), F.col("steps").alias("more")
         )
-        open_links = cut_lineage(spread_join(waiting, hops, ["ancestor"], "inner").select(
+        open_links = materialize(spread_join(waiting, hops, ["ancestor"], "inner").select(
             "id", F.col("further").alias("ancestor"), (F.col("steps") + F.col("more")).alias("steps")
         ))
         resolved = resolved.unionByName(found)

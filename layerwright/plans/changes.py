@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.functions.pgtypes import parse_value
-from layerwright.operators.carry import CHUNK, carry
-from layerwright.sources.wal import ROW_KINDS, UNCHANGED_TEXT
+from layerwright.operators.carry import CHUNK, CHUNK_COLUMN, carry, in_chunks
+from layerwright.sources.wal import ROW_KINDS, UNCHANGED_TEXT, decode
+
+
+def read_log(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Landed messages decoded, distributed by poll and chunk beforehand.
+
+    The bytes are moved once, before they are unpacked; decoding and the order of transactions then
+    work inside each chunk.
+    """
+    return decode(in_chunks(messages, ["poll_id"], "seq", chunk))
 
 
 def with_transactions(decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -40,21 +49,27 @@ def with_transactions(decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
     )
 
 
-def with_schema(rows: DataFrame, relations: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def with_schema(rows: DataFrame, decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The relation message in force for each row: the last one of that relation before it in the poll."""
-    extra = [c for c in rows.columns if c not in ("poll_id", "seq", "relation_id")]
-    packed = rows.select("poll_id", "seq", "relation_id", F.struct(*extra).alias("_row"))
-    described = relations.select(
-        "poll_id", "seq", "relation_id",
-        F.struct("namespace", "relation_name", "columns").alias("_described"),
+    at = [c for c in ("poll_id", "seq", "relation_id", CHUNK_COLUMN) if c in rows.columns]
+    described = decoded.where((F.col("type") == "R") & F.col("error").isNull()).select(
+        *at, F.struct("namespace", "relation_name", "columns").alias("_described"),
     )
+    packed = rows.select(*at, F.struct(*[c for c in rows.columns if c not in at]).alias("_row"))
+    named = decoded.where(F.col("type").isin(*ROW_KINDS, "T")).withColumn("relation_id", _relations())
     log = packed.unionByName(described, allowMissingColumns=True)
     filled = carry(
-        log, ["poll_id", "relation_id"], "seq", last={"_schema": F.col("_described")}, chunk=chunk
+        log, ["poll_id", "relation_id"], "seq", last={"_schema": F.col("_described")}, chunk=chunk,
+        told_by=named.select(*at).unionByName(described, allowMissingColumns=True),
     )
     return filled.where(F.col("_row").isNotNull()).select("poll_id", "seq", "relation_id", "_row.*", "_schema")
 
 
+def _relations():
+    """Relation of a row message, or each relation of a truncate."""
+    return F.explode_outer(F.coalesce(F.col("truncated_relations"), F.array(F.col("relation_id"))))
+
+
 def change_records(decoded: DataFrame, parity: bool = False, chunk: int = CHUNK) -> DataFrame:
     """All changes, good and bad: a bad one has a ``problem``.
 
@@ -62,16 +77,12 @@ def change_records(decoded: DataFrame, parity: bool = False, chunk: int = CHUNK)
     large value did not change are listed and NULL; with ``parity`` they hold the marker text instead.
     """
     data = with_transactions(decoded, chunk)
-    rows = data.withColumn(
-        "relation_id",
-        F.explode_outer(F.coalesce(F.col("truncated_relations"), F.array(F.col("relation_id")))),
-    ).select(
-        "poll_id", "seq", "relation_id", F.col("type").alias("operation_type"), "operation_timestamp",
+    rows = data.withColumn("relation_id", _relations()).select(
+        "poll_id", "seq", "relation_id", *[c for c in (CHUNK_COLUMN,) if c in data.columns], F.col("type").alias("operation_type"), "operation_timestamp",
         "old_values", "old_unchanged", "new_values", "new_unchanged", "replica_identity_changed",
         "_transaction_id", "_transaction_start_lsn", "_transaction_end_lsn", "problem",
     )
-    relations = decoded.where((F.col("type") == "R") & F.col("error").isNull())
-    known = with_schema(rows, relations, chunk)
+    known = with_schema(rows, decoded, chunk)
     names = F.transform(F.col("_schema.columns"), lambda c: c["column_name"])
 
     def fits(values: str):

@@ -49,9 +49,12 @@ def new_work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in reliable storage, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str = "step") -> DataFrame:
+    """``df`` written as a table to the shared folder and read back.
+
+    A lost executor then costs no recomputation, later steps read only the columns they need, and
+    Catalyst knows the true size.
+    """
+    path = new_work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
