@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from layerwright.acceptance.tables import Registry, table
 from layerwright.plans import changes
+from layerwright.session import materialize
 from layerwright.sources import wal
 
 registry = Registry()
@@ -54,7 +55,7 @@ def _relation(relation_id: int, name: str, columns: dict[str, int]) -> Column:
 
 
 def landed(spark, sf) -> DataFrame:
-    """All messages in the landing layout."""
+    """All messages, written in the landing layout as a poll would leave them."""
     orders = table(spark, sf, "orders").withColumn("poll_id", F.year("o_orderdate").cast("long"))
     last = orders.groupBy("poll_id").agg(F.max("o_orderkey").alias("last_key"))
     rows = orders.join(F.broadcast(last), "poll_id")  # one row per year
@@ -87,13 +88,14 @@ def landed(spark, sf) -> DataFrame:
         when(key != F.col("last_key"), F.concat(
             F.lit("4300"), _number(F.when(wrong, lsn + 1).otherwise(lsn), 8), _number(lsn + 49, 8), _number(micros, 8))),
     ]
-    return rows.select("poll_id", "o_orderkey", F.posexplode(F.array(*payloads)).alias("k", "digits")).where(
+    log = rows.select("poll_id", "o_orderkey", F.posexplode(F.array(*payloads)).alias("k", "digits")).where(
         F.col("digits").isNotNull()
     ).select(
         "poll_id", (key * 8 + F.col("k")).alias("seq"),
         F.lit("2024-01-01").cast("timestamp").alias("send_time"),
         (key * 100).alias("data_start"), (key * 100 + 99).alias("wal_end"), F.unhex("digits").alias("payload"),
     )
+    return materialize(log, "messages")
 
 
 # The same log in SQL: orders with their poll, schema in force and problem.
@@ -149,7 +151,7 @@ def q_cdc_decode(spark, sf):
     SELECT DISTINCT poll_id, seq, CAST(o_orderkey AS INT) AS transaction_id, o_orderkey * 100 + 1 AS start_lsn,
            CASE WHEN NOT is_last THEN o_orderkey * 100 + 50 END AS end_lsn, broken AS problem FROM r""")
 def q_cdc_transactions(spark, sf):
-    rows = changes.with_transactions(changes.read_log(landed(spark, sf)))
+    rows = changes.data_messages(changes.read_log(landed(spark, sf)))
     return rows.select(
         "poll_id", "seq", F.col("_transaction_id").alias("transaction_id"),
         F.col("_transaction_start_lsn").alias("start_lsn"), F.col("_transaction_end_lsn").alias("end_lsn"), "problem",
@@ -160,7 +162,7 @@ def q_cdc_transactions(spark, sf):
     SELECT poll_id, seq, 'public.orders' AS table_name, 'o_orderkey,o_custkey,' || named AS columns
     FROM r WHERE op = 'I' AND problem IS NULL""")
 def q_cdc_schema_asof(spark, sf):
-    records = changes.changes(changes.read_log(landed(spark, sf))).where(F.col("operation_type") == "I")
+    records = changes.changes(landed(spark, sf)).where(F.col("operation_type") == "I")
     return records.select(
         "poll_id", "seq", F.col("table").alias("table_name"),
         F.array_join(F.map_keys("row_after_transaction"), ",").alias("columns"),
@@ -180,7 +182,7 @@ def q_cdc_schema_asof(spark, sf):
            CAST(o_orderkey AS INT) AS transaction_id, o_orderkey * 100 + 50 AS end_lsn
     FROM r WHERE problem IS NULL""")
 def q_cdc_changes(spark, sf):
-    records = changes.changes(changes.read_log(landed(spark, sf)))
+    records = changes.changes(landed(spark, sf))
     records = changes.typed(records, "row_after_transaction", {"o_orderkey": 20, "o_custkey": 20})
     before, after = F.col("row_before_transaction"), F.col("row_after_transaction")
     return records.select(
@@ -197,7 +199,7 @@ def q_cdc_changes(spark, sf):
 @registry.add("q_cdc_rejects", _LOG + """
     SELECT problem, op AS operation_type, count(*) AS n FROM r WHERE problem IS NOT NULL GROUP BY ALL""")
 def q_cdc_rejects(spark, sf):
-    rejects = changes.change_rejects(changes.read_log(landed(spark, sf)))
+    rejects = changes.change_rejects(landed(spark, sf))
     return rejects.groupBy("problem", "operation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -206,7 +208,7 @@ def q_cdc_rejects(spark, sf):
            CAST(o_orderkey AS INT) AS transaction_id
     FROM r WHERE op = 'T' AND problem IS NULL""")
 def q_cdc_truncate(spark, sf):
-    records = changes.changes(changes.read_log(landed(spark, sf))).where(F.col("operation_type") == "T")
+    records = changes.changes(landed(spark, sf)).where(F.col("operation_type") == "T")
     return records.select("poll_id", "seq", F.col("table").alias("table_name"),
                           F.col("_transaction_id").alias("transaction_id"))
 
@@ -232,7 +234,7 @@ def q_cdc_latest_rows(spark, sf):
     """The state of each row after all its changes, which is what an upsert of the log would write."""
     from layerwright.operators.dedup import latest_per_key
 
-    records = changes.changes(changes.read_log(landed(spark, sf))).where(F.col("operation_type") != "T")
+    records = changes.changes(landed(spark, sf)).where(F.col("operation_type") != "T")
     rows = records.select(
         F.coalesce(F.col("row_after_transaction")["o_orderkey"], F.col("row_before_transaction")["o_orderkey"])
         .cast("long").alias("id"), "operation_type",

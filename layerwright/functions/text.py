@@ -38,7 +38,7 @@ def last_segment_lower_first(col: Column, separator: str = "::") -> Column:
 def snake_case(col: Column) -> Column:
     words = F.regexp_replace(col, r"(\p{Lu}+)(\p{Lu}\p{Ll})", "$1_$2")
     words = F.regexp_replace(words, r"([\p{Ll}\d])(\p{Lu})", "$1_$2")
-    return F.lower(F.translate(words, "-", "_"))
+    return F.lower(F.replace(words, F.lit("-"), F.lit("_")))
 
 
 def last_word_of_camel(col: Column) -> Column:
@@ -147,7 +147,9 @@ def to_ascii(col: Column) -> Column:
         if base.isascii() and base.isalpha() and base != chr(point):
             source.append(chr(point))
             target.append(base)
-    out = F.translate(col, "".join(source), "".join(target))
+    out = F.when(
+        col.rlike(r"[^\x00-\x7F]"), F.translate(col, "".join(source), "".join(target))
+    ).otherwise(col)
     spelled_out = out
     for char, spelled in _SPELLED_OUT.items():
         spelled_out = F.replace(spelled_out, F.lit(char), F.lit(spelled))
@@ -156,14 +158,14 @@ def to_ascii(col: Column) -> Column:
 
 def identifier(*parts: Column) -> Column:
     """Upper-case ASCII identifier of several texts joined by ``_``."""
-    joined = F.concat_ws("_", *[F.translate(F.upper(part), " ", "_") for part in parts])
+    joined = F.concat_ws("_", *[F.replace(F.upper(part), F.lit(" "), F.lit("_")) for part in parts])
     cleaned = F.regexp_replace(to_ascii(joined), r"[^A-Za-z0-9_]", "_")
     return F.trim(cleaned, F.lit("_"))
 
 
 def title_from_identifier(col: Column) -> Column:
     """``AB_2CD`` gives ``Ab 2Cd``: every letter after a non-letter is a capital."""
-    words = F.lower(F.translate(col, "_", " "))
+    words = F.lower(F.replace(col, F.lit("_"), F.lit(" ")))
     starts = F.split(words, r"(?<=[^\p{L}])(?=\p{L})")
     capital = F.transform(starts, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
     return F.trim(F.array_join(capital, ""))

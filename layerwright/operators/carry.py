@@ -19,7 +19,7 @@ def in_chunks(df: DataFrame, group: Sequence[str], position: str, chunk: int = C
 
 
 def _chunk_of(position: str, chunk: int) -> Column:
-    return F.floor(F.col(position) / F.lit(chunk))
+    return F.expr(f"`{position}` DIV {int(chunk)}")
 
 
 def carry(df: DataFrame, group: Sequence[str], position: str, last: Mapping[str, Column] | None = None,

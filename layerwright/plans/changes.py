@@ -4,129 +4,114 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.functions.pgtypes import parse_value
-from layerwright.operators.carry import CHUNK, CHUNK_COLUMN, carry, in_chunks
-from layerwright.sources.wal import ROW_KINDS, UNCHANGED_TEXT, decode
+from layerwright.operators.carry import CHUNK, carry, in_chunks
+from layerwright.sources.wal import KINDS, ROW_KINDS, UNCHANGED_TEXT, change_reader, decode_headers
 
 
 def read_log(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Landed messages decoded, distributed by poll and chunk beforehand.
-
-    The bytes are moved once, before they are unpacked; decoding and the order of transactions then
-    work inside each chunk.
-    """
-    return decode(in_chunks(messages, ["poll_id"], "seq", chunk))
+    """Headers of landed messages, distributed by poll and chunk."""
+    return decode_headers(in_chunks(messages, ["poll_id"], "seq", chunk))
 
 
-def with_transactions(decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Data messages with the header of their transaction and the commit that closes it.
+def with_transactions(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Messages with the header of their transaction and the commit that closes it.
 
     ``problem`` is NULL for messages of a complete transaction. A message after the last commit
     belongs to an open transaction; a commit that names another start does not fit its block.
     """
-    begin = F.when(F.col("type") == "B", F.struct(
-        F.col("seq").alias("begin_seq"), F.col("lsn").alias("start_lsn"), "transaction_id", "commit_timestamp"
-    ))
+    begin = F.when(F.col("type") == "B", F.struct("lsn", "transaction_id", "commit_timestamp"))
     commit = F.when(F.col("type") == "C", F.struct("commit_lsn", F.col("transaction_lsn").alias("end_lsn")))
-    filled = carry(decoded, ["poll_id"], "seq", last={"_begin": begin}, following={"_commit": commit}, chunk=chunk)
+    filled = carry(log, ["poll_id"], "seq", last={"_begin": begin}, following={"_commit": commit}, chunk=chunk)
     problem = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
+        F.when(~F.col("type").isin(*KINDS), F.concat(F.lit("unknown message kind "), F.col("type")))
         .when(F.col("_begin").isNull(), F.lit("no transaction"))
         .when(F.col("_commit").isNull(), F.lit("open transaction"))
-        .when(F.col("_commit.commit_lsn") != F.col("_begin.start_lsn"), F.lit("commit of another transaction"))
+        .when(F.col("_commit.commit_lsn") != F.col("_begin.lsn"), F.lit("commit of another transaction"))
     )
-    data = filled.where(F.col("type").isin(*ROW_KINDS, "T") | F.col("error").isNotNull())
-    return data.select(
-        *[c for c in data.columns if c not in ("_begin", "_commit")],
+    return filled.select(
+        *log.columns,
         F.col("_begin.transaction_id").alias("_transaction_id"),
-        F.col("_begin.start_lsn").alias("_transaction_start_lsn"),
+        F.col("_begin.lsn").alias("_transaction_start_lsn"),
         F.col("_commit.end_lsn").alias("_transaction_end_lsn"),
         F.col("_begin.commit_timestamp").alias("operation_timestamp"),
         problem.alias("problem"),
     )
 
 
-def with_schema(rows: DataFrame, decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The relation message in force for each row: the last one of that relation before it in the poll."""
-    at = [c for c in ("poll_id", "seq", "relation_id", CHUNK_COLUMN) if c in rows.columns]
-    described = decoded.where((F.col("type") == "R") & F.col("error").isNull()).select(
-        *at, F.struct("namespace", "relation_name", "columns").alias("_described"),
-    )
-    packed = rows.select(*at, F.struct(*[c for c in rows.columns if c not in at]).alias("_row"))
-    named = decoded.where(F.col("type").isin(*ROW_KINDS, "T")).withColumn("relation_id", _relations())
-    log = packed.unionByName(described, allowMissingColumns=True)
-    filled = carry(
-        log, ["poll_id", "relation_id"], "seq", last={"_schema": F.col("_described")}, chunk=chunk,
-        told_by=named.select(*at).unionByName(described, allowMissingColumns=True),
-    )
-    return filled.where(F.col("_row").isNotNull()).select("poll_id", "seq", "relation_id", "_row.*", "_schema")
+def data_messages(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Row and truncate messages, and those of unknown kinds, with their transaction."""
+    return with_transactions(log, chunk).where(~F.col("type").isin("B", "C", "R"))
+
+
+def _per_relation(log: DataFrame) -> DataFrame:
+    """One row per relation that a message speaks of; a truncate names several."""
+    relations = F.coalesce(F.col("truncated_relations"), F.array(F.col("relation_id")))
+    return log.withColumn("relation_id", F.explode(relations))
 
 
-def _relations():
-    """Relation of a row message, or each relation of a truncate."""
-    return F.explode_outer(F.coalesce(F.col("truncated_relations"), F.array(F.col("relation_id"))))
+def with_relation(rows: DataFrame, log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Rows with the bytes of the relation message in force: the last one of that relation in the poll."""
+    described = F.when(F.col("type") == "R", F.col("payload"))
+    teller = _per_relation(log.where(F.col("type").isin(*ROW_KINDS, "T", "R")))
+    return carry(rows, ["poll_id", "relation_id"], "seq", last={"_relation": described}, chunk=chunk, told_by=teller)
 
 
-def change_records(decoded: DataFrame, parity: bool = False, chunk: int = CHUNK) -> DataFrame:
-    """All changes, good and bad: a bad one has a ``problem``.
+def change_records(messages: DataFrame, parity: bool = False, chunk: int = CHUNK) -> DataFrame:
+    """All changes of landed messages, good and bad: a bad one has a ``problem``.
 
     ``row_before_transaction`` and ``row_after_transaction`` map column names to text. Columns whose
     large value did not change are listed and NULL; with ``parity`` they hold the marker text instead.
-    """
-    data = with_transactions(decoded, chunk)
-    rows = data.withColumn("relation_id", _relations()).select(
-        "poll_id", "seq", "relation_id", *[c for c in (CHUNK_COLUMN,) if c in data.columns], F.col("type").alias("operation_type"), "operation_timestamp",
-        "old_values", "old_unchanged", "new_values", "new_unchanged", "replica_identity_changed",
-        "_transaction_id", "_transaction_start_lsn", "_transaction_end_lsn", "problem",
-    )
-    known = with_schema(rows, decoded, chunk)
-    names = F.transform(F.col("_schema.columns"), lambda c: c["column_name"])
 
-    def fits(values: str):
-        return F.col(values).isNull() | (F.size(values) <= F.size(names))
+    The bytes are distributed once and stay packed while transactions and relations are carried along;
+    rows are unpacked last, where they are.
+    """
+    log = read_log(messages, chunk)
+    placed = with_transactions(log, chunk).where(~F.col("type").isin("B", "C"))
+    rows = with_relation(_per_relation(placed), log, chunk).where(F.col("type") != "R")
+    read = rows.withColumn("_body", change_reader()(
+        F.when(F.col("type").isin(*ROW_KINDS), F.col("payload")), F.col("_relation")
+    ))
+    names = F.col("_body.names")
 
-    def named(values: str, unchanged: str):
-        shown = F.col(values)
+    def named(side: str) -> Column:
+        values = F.col(f"_body.{side}_values")
+        shown = values
         if parity:
+            unchanged = F.col(f"_body.{side}_unchanged")
             shown = F.transform(
-                shown, lambda v, i: F.when(F.array_contains(unchanged, i), F.lit(UNCHANGED_TEXT)).otherwise(v)
+                values, lambda v, i: F.when(F.array_contains(unchanged, i), F.lit(UNCHANGED_TEXT)).otherwise(v)
             )
-        pairs = F.map_from_arrays(F.slice(names, 1, F.size(values)), shown)
-        return F.when(F.col(values).isNotNull() & fits(values), pairs)
+        return F.map_from_arrays(F.slice(names, 1, F.size(values)), shown)
 
-    problem = (
-        F.when(F.col("problem").isNotNull(), F.col("problem"))
-        .when(F.col("_schema").isNull(), F.lit("unknown relation"))
-        .when(~(fits("old_values") & fits("new_values")), F.lit("more values than columns"))
-    )
-    return known.select(
+    return read.select(
         "poll_id", "seq", "relation_id",
-        F.concat_ws(".", "_schema.namespace", "_schema.relation_name").alias("table"),
-        "operation_type", "operation_timestamp",
-        named("old_values", "old_unchanged").alias("row_before_transaction"),
-        named("new_values", "new_unchanged").alias("row_after_transaction"),
-        F.transform(F.col("new_unchanged"), lambda i: F.get(names, i)).alias("unchanged_columns"),
-        "replica_identity_changed", "_transaction_id", "_transaction_start_lsn", "_transaction_end_lsn",
-        problem.alias("problem"),
+        F.concat_ws(".", "_body.namespace", "_body.relation_name").alias("table"),
+        F.col("type").alias("operation_type"), "operation_timestamp",
+        named("old").alias("row_before_transaction"), named("new").alias("row_after_transaction"),
+        F.transform(F.col("_body.new_unchanged"), lambda i: F.get(names, i)).alias("unchanged_columns"),
+        F.col("_body.replica_identity_changed").alias("replica_identity_changed"),
+        "_transaction_id", "_transaction_start_lsn", "_transaction_end_lsn",
+        F.coalesce("problem", "_body.error").alias("problem"),
     )
 
 
-def changes(decoded: DataFrame, parity: bool = False, chunk: int = CHUNK) -> DataFrame:
+def changes(messages: DataFrame, parity: bool = False, chunk: int = CHUNK) -> DataFrame:
     """Change records of complete transactions."""
-    return change_records(decoded, parity, chunk).where(F.col("problem").isNull()).drop("problem")
+    return change_records(messages, parity, chunk).where(F.col("problem").isNull()).drop("problem")
 
 
-def change_rejects(decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def change_rejects(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Messages that gave no change record, with the reason."""
-    return change_records(decoded, False, chunk).where(F.col("problem").isNotNull())
+    return change_records(messages, False, chunk).where(F.col("problem").isNotNull())
 
 
-def open_tail(decoded: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def open_tail(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Messages after the last commit of their poll, to be read again with the next one."""
-    return with_transactions(decoded, chunk).where(F.col("problem") == "open transaction")
+    return data_messages(read_log(messages, chunk), chunk).where(F.col("problem") == "open transaction")
 
 
 def typed(records: DataFrame, side: str, columns: Mapping[str, int], parity: bool = False) -> DataFrame:

@@ -52,19 +52,8 @@ def big_endian(payload: Column, start: int, size: int) -> Column:
     return value
 
 
-def _body_reader():
-    """The Arrow function for relation and row bodies, self-contained so that executors need no package."""
-    import pyarrow as pa
-
-    names = BODY.fieldNames()
-    column = pa.struct([("column_name", pa.string()), ("key", pa.int32()), ("data_type", pa.int32()),
-                        ("data_type_modifier", pa.int32())])
-    kinds = {
-        "namespace": pa.string(), "relation_name": pa.string(), "identity_setting": pa.int32(),
-        "columns": pa.list_(column), "replica_identity_changed": pa.bool_(), "old_values": pa.list_(pa.string()),
-        "old_unchanged": pa.list_(pa.int32()), "new_values": pa.list_(pa.string()),
-        "new_unchanged": pa.list_(pa.int32()), "error": pa.string(),
-    }
+def _parsers():
+    """Readers of relation and row bodies. They refer to nothing outside, so executors need no package."""
 
     def number(data, at, size):
         if at + size > len(data):
@@ -110,8 +99,8 @@ def _body_reader():
             at += 8
         return {"namespace": namespace, "relation_name": name, "identity_setting": identity, "columns": columns}
 
-    def row(data, kind):
-        mark, at, out = data[5:6], 5, {}
+    def row(data):
+        kind, mark, at, out = data[:1], data[5:6], 5, {}
         if kind != b"I":
             out["replica_identity_changed"] = mark == b"K"
         if kind != b"I" and mark in (b"O", b"K"):
@@ -125,26 +114,83 @@ def _body_reader():
             out["new_values"], out["new_unchanged"], _ = tuple_values(data, at + 1)
         return out
 
-    def read(payload):
-        fields = {name: [] for name in names}
-        for scalar in payload:
-            data = scalar.as_py()
-            out = {}
-            if data:
-                kind = data[:1]
-                try:
-                    if kind == b"R":
-                        out = relation(data)
-                    elif kind in (b"I", b"U", b"D"):
-                        out = row(data, kind)
-                except (ValueError, UnicodeDecodeError) as problem:
-                    out = {"error": str(problem)}
-            for name in names:
-                fields[name].append(out.get(name))
-        return pa.StructArray.from_arrays([pa.array(fields[n], kinds[n]) for n in names], names=names)
-
-    read.__annotations__ = {"payload": pa.Array, "return": pa.Array}
-    return F.arrow_udf(read, returnType=BODY)
+    def body(data):
+        try:
+            if data[:1] == b"R":
+                return relation(data)
+            return row(data) if data[:1] in (b"I", b"U", b"D") else {}
+        except (ValueError, UnicodeDecodeError) as problem:
+            return {"error": str(problem)}
+
+    return body
+
+
+def _arrow_reader(fields: T.StructType, read_one, inputs: int):
+    """An Arrow function that gives one struct per row of its binary inputs."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    import pyarrow as pa
+
+    kinds = [(f.name, to_arrow_type(f.dataType)) for f in fields.fields]
+
+    def rows(*columns):
+        out = [read_one(*values) for values in zip(*(c.to_pylist() for c in columns))]
+        return pa.StructArray.from_arrays(
+            [pa.array([o.get(name) for o in out], kind) for name, kind in kinds], names=[name for name, _ in kinds]
+        )
+
+    def of_one(first):
+        return rows(first)
+
+    def of_two(first, second):
+        return rows(first, second)
+
+    read = of_one if inputs == 1 else of_two
+    names = ("first", "second")[:inputs]
+    read.__annotations__ = {**dict.fromkeys(names, pa.Array), "return": pa.Array}
+    return F.arrow_udf(read, returnType=fields)
+
+
+def _body_reader():
+    body = _parsers()
+    return _arrow_reader(BODY, lambda data: body(data) if data else {}, 1)
+
+
+CHANGE = T.StructType([
+    T.StructField("namespace", T.StringType()),
+    T.StructField("relation_name", T.StringType()),
+    T.StructField("names", T.ArrayType(T.StringType())),
+    *[f for f in BODY.fields if f.name.startswith(("replica", "old", "new"))],
+    T.StructField("error", T.StringType()),
+])
+
+
+def change_reader():
+    """Arrow function of a row message and the relation message in force for it."""
+    body = _parsers()
+    seen = {}
+
+    def described(data):
+        if data not in seen:
+            if len(seen) > 10_000:
+                seen.clear()
+            found = body(data)
+            if "columns" in found:
+                found["names"] = [c["column_name"] for c in found.pop("columns")]
+            seen[data] = found
+        return seen[data]
+
+    def read_one(data, relation):
+        head = described(relation) if relation else {"error": "unknown relation"}
+        if "error" in head or not data:
+            return head
+        out = {**head, **body(data)}
+        widest = max(len(out.get("old_values") or ()), len(out.get("new_values") or ()))
+        if widest > len(head["names"]):
+            out = {**head, "error": "more values than columns"}
+        return out
+
+    return _arrow_reader(CHANGE, read_one, 2)
 
 
 def message_type(payload: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from layerwright.operators.tables import newer_than
-from layerwright.plans.changes import change_records, read_log
+from layerwright.plans.changes import change_records
 from layerwright.sources.wal import LANDING_DDL
 from layerwright.sources.writers import replace_days, upsert
 
@@ -84,7 +84,7 @@ def change_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQu
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        change_records(read_log(batch)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        change_records(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     return run_available(messages, checkpoint, write)
 
