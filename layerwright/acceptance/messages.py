@@ -58,7 +58,8 @@ def landed(spark, sf) -> DataFrame:
     """All messages, written in the landing layout as a poll would leave them."""
     orders = table(spark, sf, "orders").withColumn("poll_id", F.year("o_orderdate").cast("long"))
     last = orders.groupBy("poll_id").agg(F.max("o_orderkey").alias("last_key"))
-    rows = orders.join(F.broadcast(last), "poll_id")  # one row per year
+    # One row per year on the right. A log lands in many files, so its orders are spread first.
+    rows = orders.join(F.broadcast(last), "poll_id").repartition("o_orderkey")
     key, status, priority = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderpriority")
     micros = F.unix_micros(F.col("o_orderdate").cast("timestamp")) - F.lit(946684800000000)
     lsn = key * 100 + 1

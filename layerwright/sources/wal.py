@@ -190,7 +190,8 @@ def change_reader():
             out = {**head, "error": "more values than columns"}
         return out
 
-    return _arrow_reader(CHANGE, read_one, 2)
+    # Marked so that a filter on the outcome is not turned into a second run of the function.
+    return _arrow_reader(CHANGE, read_one, 2).asNondeterministic()
 
 
 def message_type(payload: Column) -> Column:
