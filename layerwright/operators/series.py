@@ -34,32 +34,37 @@ def daily_fill(entities: DataFrame, activity: DataFrame, key: str, start: str, d
     """Entities by day with the measures of that day, 0 on days without activity.
 
     ``activity`` holds one row per key and active day. The series is not built first and joined:
-    each active day (and the first day of the entity) opens a stretch that lasts until the next one,
-    and the stretch is unfolded after the only join. So what is shuffled grows with activity, not with
-    entities times days. Entity rows may repeat a key; each row gets its own series.
+    each active day opens a stretch that lasts until the next one, the time before the first is a
+    stretch too, and stretches are unfolded after the only join. So what is shuffled grows with
+    activity, not with entities times days. Entity rows may repeat a key; each gets its own series.
 
     ``variants`` holds further measures with possibly several rows per key and day; on such a day
     the series has one row for each.
     """
-    last = as_date(as_of)
-    begun = entities.withColumn("_start", F.to_date(start)).where(F.col("_start") <= last)
-    seeds = begun.groupBy(key).agg(F.min("_start").alias(day))
-    for m in measures:
-        seeds = seeds.withColumn(m, F.lit(0).cast("long"))
-    marks = sum_daily([activity.where(F.col(day) <= last), seeds], key, day, measures)
+    last, zero = as_date(as_of), F.lit(0).cast("long")
+    marks = sum_daily([activity.where(F.col(key).isNotNull() & (F.col(day) <= last))], key, day, measures)
     if variants is not None:
         more = [c for c in variants.columns if c not in (key, day)]
         marks = marks.join(variants, [key, day], "left").na.fill(0, more)
         measures = [*measures, *more]
+    order = Window.partitionBy(key).orderBy(day)
+    before_next = F.date_sub(F.lead(day).over(order), 1)
     # Among several rows of one day only the last reaches up to the next day.
-    before_next = F.date_sub(F.lead(day).over(Window.partitionBy(key).orderBy(day)), 1)
-    stretches = marks.withColumn("_end", F.greatest(F.col(day), F.coalesce(before_next, last)))
-    stretches = stretches.withColumnRenamed(day, "_from")
-    held = begun.join(stretches, key, "inner").where(F.col("_end") >= F.col("_start"))
-    unfolded = held.withColumn(
-        day, F.explode(F.sequence(F.greatest("_from", "_start"), F.col("_end"), F.expr("INTERVAL 1 DAY")))
+    marks = marks.withColumn("_end", F.greatest(F.col(day), F.coalesce(before_next, last)))
+    marks = marks.withColumn("_first", F.lag(day).over(order).isNull())
+    own = F.struct(F.col(day).alias("_from"), F.col("_end"), *measures)
+    before = F.struct(
+        F.lit(None).cast("date").alias("_from"), F.date_sub(F.col(day), 1).alias("_end"), *[zero.alias(m) for m in measures]
+    )
+    stretches = marks.select(
+        key, F.inline(F.when(F.col("_first"), F.array(before, own)).otherwise(F.array(own)))
     )
+    begun = entities.withColumn("_start", F.to_date(start)).where(F.col("_start") <= last)
+    held = begun.join(stretches, key, "left").where(F.col("_end").isNull() | (F.col("_end") >= F.col("_start")))
+    unfolded = held.withColumn(day, F.explode(F.sequence(
+        F.greatest("_from", "_start"), F.coalesce("_end", last), F.expr("INTERVAL 1 DAY")
+    )))
     own_day = F.col(day) == F.col("_from")
-    for m in measures:
-        unfolded = unfolded.withColumn(m, F.when(own_day, F.col(m)).otherwise(F.lit(0).cast("long")))
-    return unfolded.drop("_start", "_from", "_end")
+    return unfolded.withColumns(
+        {m: F.when(own_day, F.col(m)).otherwise(zero) for m in measures}
+    ).drop("_start", "_from", "_end")
