@@ -45,8 +45,9 @@ def daily_fill(entities: DataFrame, activity: DataFrame, key: str, start: str, d
     marks = sum_daily([activity.where(F.col(key).isNotNull() & (F.col(day) <= last))], key, day, measures)
     if variants is not None:
         more = [c for c in variants.columns if c not in (key, day)]
-        marks = marks.join(variants, [key, day], "left").na.fill(0, more)
+        dated = variants.where(F.col(key).isNotNull() & (F.col(day) <= last))
         measures = [*measures, *more]
+        marks = marks.join(dated, [key, day], "full").na.fill(0, measures)
     order = Window.partitionBy(key).orderBy(day)
     before_next = F.date_sub(F.lead(day).over(order), 1)
     # Among several rows of one day only the last reaches up to the next day.

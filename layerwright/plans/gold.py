@@ -71,8 +71,7 @@ def proposal_metrics(proposals: DataFrame, processes: DataFrame, visits: DataFra
     )
     by_vote, by_comment = daily_votes(votes, only), daily_comments(comments, only)
     by_visit = daily_visits(visits, parity).drop("bounce_rate")
-    visited_days = by_visit.select("proposal_id", "day")
-    activity = sum_daily([by_vote, by_comment, visited_days], "proposal_id", "day", MEASURES[2:])
+    activity = sum_daily([by_vote, by_comment], "proposal_id", "day", MEASURES[2:])
     return _renamed(daily_fill(
         entities, activity, "proposal_id", "created_at", "day", MEASURES[2:], as_of, variants=by_visit
     ))
