@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from datetime import date
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from layerwright.operators import quality as dq
 from layerwright.plans import gold, silver
 from layerwright.schemas import layer_database
-from layerwright.sources.writers import publish_table
+from layerwright.sources.writers import publish_table, switch_view
 
 
 def model_tests(models: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame],
@@ -86,24 +87,23 @@ test_report.__test__ = False  # a library function, not a test
 
 def run(spark: SparkSession, bronze: Mapping[str, DataFrame], as_of: date | str, target: str = "prod",
         parity: bool = False, allow_failures: tuple[str, ...] = ()) -> dict[str, str]:
-    """Build, write and test every model; returns the table of each.
+    """Build, write and test every model; returns the published name of each.
 
-    A model is written under a staging name first, its tests read that table, and only then is it
-    renamed to its own name. Models are read back, so no work is done twice.
+    Each run writes a model to a table of its own, its tests read that table, and only then does the
+    published name, a view, point to it. Readers never see a half-written or missing model. Later
+    models read the written ones, so no work is done twice.
     """
-    tables: dict[str, str] = {}
+    names: dict[str, str] = {}
     models: dict[str, DataFrame] = {}
+    version = uuid.uuid4().hex[:12]
 
     def build(name: str, model: DataFrame, layer: str, sort_by=(), partition_by=()) -> None:
-        staged = publish_table(model, f"{name}__staged", target, layer, sort_by, partition_by)
-        models[name] = spark.table(staged)
+        written = publish_table(model, f"{name}__{version}", target, layer, sort_by, partition_by)
+        models[name] = spark.table(written)
         tests = model_tests(models, bronze, parity).get(name)
         if tests:
             dq.require_passed(dq.report(tests), allow_failures)
-        tables[name] = f"{layer_database(target, layer)}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {tables[name]}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {tables[name]}")
-        models[name] = spark.table(tables[name])
+        names[name] = switch_view(spark, layer_database(target, layer), name, written)
 
     build("users", silver.users(bronze), "silver")
     build("participatory_processes", silver.participatory_processes(bronze), "silver")
@@ -116,4 +116,4 @@ def run(spark: SparkSession, bronze: Mapping[str, DataFrame], as_of: date | str,
         models["comments"], as_of, parity,
     ).withColumn("mes_operacao", F.date_format("data_operacao", "yyyy-MM"))
     build("proposal_metrics", metrics, "gold", ("id_proposta", "data_operacao"), ("mes_operacao",))
-    return tables
+    return names

@@ -118,3 +118,13 @@ def publish_table(model: DataFrame, name: str, target: str = "prod", layer: str
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(full)
     return full
+
+
+def switch_view(spark: SparkSession, database: str, name: str, table: str) -> str:
+    """Let the published name point to a newly written table, then drop the tables it replaces."""
+    view = f"{database}.{name}"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    for old in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect():
+        if f"{database}.{old['tableName']}" != table:
+            spark.sql(f"DROP TABLE {database}.{old['tableName']}")
+    return view
