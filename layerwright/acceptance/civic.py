@@ -194,10 +194,11 @@ MODEL_SQL = {
         SELECT o_orderkey AS proposal_id, CAST(c_nationkey AS BIGINT) AS process_id,
                CASE WHEN c_custkey IS NULL THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 'Decidim::Assembly'
                     ELSE 'Decidim::ParticipatoryProcess' END AS participatory_space_type,
-               user_id, author_type, o_orderstatus AS proposal_status,
+               user_id, author_type, concat(o_orderstatus, '') AS proposal_status,
                {_SQUEEZE.format(c='o_orderdate')} AS created_at,
                'Proposta ' || o_orderkey AS proposal_title, o_orderpriority AS proposal_text,
-               r_name AS proposal_scope, p_name AS proposal_category
+               CASE WHEN r_name IS NOT NULL THEN concat(r_name, '') END AS proposal_scope,
+               CASE WHEN p_name IS NOT NULL THEN concat(p_name, '') END AS proposal_category
         FROM orders
         LEFT JOIN customer ON o_custkey = c_custkey
         LEFT JOIN region ON month(o_orderdate) = r_regionkey AND r_regionkey < 4
@@ -249,5 +250,5 @@ def with_models(body: str, *names: str) -> str:
 
     for name in names:
         visit(name)
-    parts = [f"{n} AS ({MODEL_SQL[n]})" for n in order]
+    parts = [f"{n} AS MATERIALIZED ({MODEL_SQL[n]})" for n in order]
     return f"WITH {', '.join(parts)} {body}"

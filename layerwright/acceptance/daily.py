@@ -19,7 +19,7 @@ _FLAGSHIP_SQL = f"""
     entities AS (
         SELECT c_custkey AS id, c_name AS title, c_mktsegment AS status, c_nationkey, n_name, created
         FROM customer JOIN first ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey),
-    spine AS (SELECT *, CAST(unnest(generate_series(created, DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS day
+    spine AS MATERIALIZED (SELECT *, CAST(unnest(generate_series(created, DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS day
               FROM entities),
     visited AS (SELECT user_id, CAST(ts AS DATE) AS day, count(DISTINCT event_id) AS v,
                        CAST(sum(CASE WHEN value < 10 THEN 1 ELSE 0 END) AS BIGINT) AS r

@@ -152,7 +152,7 @@ def q_cdc_decode(spark, sf):
     SELECT DISTINCT poll_id, seq, CAST(o_orderkey AS INT) AS transaction_id, o_orderkey * 100 + 1 AS start_lsn,
            CASE WHEN NOT is_last THEN o_orderkey * 100 + 50 END AS end_lsn, broken AS problem FROM r""")
 def q_cdc_transactions(spark, sf):
-    rows = changes.data_messages(changes.read_log(landed(spark, sf)))
+    rows = changes.data_messages(landed(spark, sf))
     return rows.select(
         "poll_id", "seq", F.col("_transaction_id").alias("transaction_id"),
         F.col("_transaction_start_lsn").alias("start_lsn"), F.col("_transaction_end_lsn").alias("end_lsn"), "problem",

@@ -41,16 +41,16 @@ MODEL_SQL["visits"] = f"""
          ON CASE WHEN k = 1 THEN 'nation_' || (user_id % 25) END = process_slug"""
 
 METRICS_SQL = f"""
-    WITH visited AS (
+    WITH visited AS MATERIALIZED (
         SELECT CAST(session_date AS DATE) AS day, CAST(proposal_id AS BIGINT) AS pid,
                count(DISTINCT session_id) AS qtd_visitas,
                sum(CASE WHEN num_actions = 1 THEN 1 ELSE 0 END) AS qtd_rejeicao
         FROM visits WHERE regexp_full_match(proposal_id, '[0-9]+') GROUP BY session_date, proposal_id),
-    voted AS (SELECT CAST(created_at AS DATE) AS day, voted_component_id AS pid, count(*) AS qtd_votos
+    voted AS MATERIALIZED (SELECT CAST(created_at AS DATE) AS day, voted_component_id AS pid, count(*) AS qtd_votos
               FROM votes GROUP BY ALL),
-    commented AS (SELECT CAST(created_at AS DATE) AS day, commented_root_component_id AS pid,
+    commented AS MATERIALIZED (SELECT CAST(created_at AS DATE) AS day, commented_root_component_id AS pid,
                          count(*) AS qtd_comentarios FROM comments GROUP BY ALL),
-    spine AS (
+    spine AS MATERIALIZED (
         SELECT p.*, process_title,
                CAST(unnest(generate_series(CAST(p.created_at AS DATE), DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS day
         FROM proposals p JOIN participatory_processes pp ON p.process_id = pp.process_id)

@@ -78,13 +78,14 @@ def q_normalise_id(spark, sf):
 
 @registry.add("q_html_to_text", r"""
     WITH bare AS (
-        SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html,
+        SELECT page_id, regexp_replace(regexp_replace(regexp_replace(
+            regexp_replace(html, '(&[A-Za-z][A-Za-z0-9]*)<', '\1;<', 'g'),
             '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>', '', 'g'),
             '(?s)<!--.*?-->', '', 'g'), '(?s)</?[A-Za-z][^>]*>|<![A-Za-z][^>]*>', '', 'g') AS t
         FROM pages)
     SELECT page_id, regexp_replace(replace(replace(replace(t, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'),
            '&amp;|&amp$', '&', 'g') AS content
-    FROM bare""")
+    FROM (SELECT page_id, regexp_replace(t, '&(am);', '&\1', 'g') AS t FROM bare)""")
 def q_html_to_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("content"))
 

@@ -106,8 +106,13 @@ def strip_tags(col: Column) -> Column:
 
 
 def decode_entities(col: Column) -> Column:
-    """Named and numeric character references decoded once, left to right."""
-    named = {name[:-1]: char for name, char in html.entities.html5.items() if name.endswith(";")}
+    """Named and numeric character references decoded once, left to right.
+
+    The closing semicolon may be absent; an unknown name stays, without its semicolon.
+    """
+    every = {name[:-1]: char for name, char in html.entities.html5.items() if name.endswith(";")}
+    # A map is searched from its start, so the usual names come first.
+    named = {name: every[name] for name in ("amp", "quot", "lt", "gt", "nbsp", "apos")} | every
     table = F.from_json(F.lit(json.dumps(named)), "map<string,string>")
 
     def piece(part: Column) -> Column:
@@ -121,7 +126,7 @@ def decode_entities(col: Column) -> Column:
         return (
             F.when(token == "", part)
             .when(token.startswith("#"), F.concat(char, rest))
-            .otherwise(F.concat(F.coalesce(F.try_element_at(table, token), whole), rest))
+            .otherwise(F.concat(F.coalesce(F.try_element_at(table, token), F.concat(F.lit("&"), token)), rest))
         )
 
     parts = F.split(col, "(?=&)")
@@ -131,7 +136,9 @@ def decode_entities(col: Column) -> Column:
 
 def html_to_text(col: Column) -> Column:
     """Text content of an HTML fragment; no blank is put in for block tags."""
-    return decode_entities(strip_tags(col))
+    # A reference without semicolon ends where a tag starts, which must be kept when the tag goes.
+    closed = F.regexp_replace(col, "(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*))(?=<)", "$1;")
+    return decode_entities(strip_tags(closed))
 
 
 def drop_hashtags(col: Column) -> Column:

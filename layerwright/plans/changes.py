@@ -17,34 +17,36 @@ def read_log(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return decode_headers(in_chunks(messages, ["poll_id"], "seq", chunk))
 
 
-def with_transactions(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def with_transactions(log: DataFrame, chunk: int = CHUNK, told_by: DataFrame | None = None) -> DataFrame:
     """Messages with the header of their transaction and the commit that closes it.
 
     ``problem`` is NULL for messages of a complete transaction. A message after the last commit
     belongs to an open transaction; a commit that names another start does not fit its block.
+    ``told_by`` may give the same headers as a plan that was not distributed yet.
     """
-    begin = F.when(F.col("type") == "B", F.struct("lsn", "transaction_id", "commit_timestamp"))
-    commit = F.when(F.col("type") == "C", F.struct("commit_lsn", F.col("transaction_lsn").alias("end_lsn")))
-    filled = carry(log, ["poll_id"], "seq", last={"_begin": begin}, following={"_commit": commit}, chunk=chunk)
+    kind = F.col("type")
+    begin = {f"_begin_{c}": F.when(kind == "B", F.col(c)) for c in ("lsn", "transaction_id", "commit_timestamp")}
+    commit = {f"_end_{c}": F.when(kind == "C", F.col(c)) for c in ("commit_lsn", "transaction_lsn")}
+    filled = carry(log, ["poll_id"], "seq", last=begin, following=commit, chunk=chunk, told_by=told_by)
     problem = (
-        F.when(~F.col("type").isin(*KINDS), F.concat(F.lit("unknown message kind "), F.col("type")))
-        .when(F.col("_begin").isNull(), F.lit("no transaction"))
-        .when(F.col("_commit").isNull(), F.lit("open transaction"))
-        .when(F.col("_commit.commit_lsn") != F.col("_begin.lsn"), F.lit("commit of another transaction"))
+        F.when(~kind.isin(*KINDS), F.concat(F.lit("unknown message kind "), kind))
+        .when(F.col("_begin_lsn").isNull(), F.lit("no transaction"))
+        .when(F.col("_end_commit_lsn").isNull(), F.lit("open transaction"))
+        .when(F.col("_end_commit_lsn") != F.col("_begin_lsn"), F.lit("commit of another transaction"))
     )
     return filled.select(
         *log.columns,
-        F.col("_begin.transaction_id").alias("_transaction_id"),
-        F.col("_begin.lsn").alias("_transaction_start_lsn"),
-        F.col("_commit.end_lsn").alias("_transaction_end_lsn"),
-        F.col("_begin.commit_timestamp").alias("operation_timestamp"),
+        F.col("_begin_transaction_id").alias("_transaction_id"),
+        F.col("_begin_lsn").alias("_transaction_start_lsn"),
+        F.col("_end_transaction_lsn").alias("_transaction_end_lsn"),
+        F.col("_begin_commit_timestamp").alias("operation_timestamp"),
         problem.alias("problem"),
     )
 
 
-def data_messages(log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def data_messages(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Row and truncate messages, and those of unknown kinds, with their transaction."""
-    return with_transactions(log, chunk).where(~F.col("type").isin("B", "C", "R"))
+    return with_transactions(read_log(messages, chunk), chunk, decode_headers(messages)).where(~F.col("type").isin("B", "C", "R"))
 
 
 def _per_relation(log: DataFrame) -> DataFrame:
@@ -53,10 +55,10 @@ def _per_relation(log: DataFrame) -> DataFrame:
     return log.withColumn("relation_id", F.explode(relations))
 
 
-def with_relation(rows: DataFrame, log: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def with_relation(rows: DataFrame, headers: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Rows with the bytes of the relation message in force: the last one of that relation in the poll."""
     described = F.when(F.col("type") == "R", F.col("payload"))
-    teller = _per_relation(log.where(F.col("type").isin(*ROW_KINDS, "T", "R")))
+    teller = _per_relation(headers.where(F.col("type").isin(*ROW_KINDS, "T", "R")))
     return carry(rows, ["poll_id", "relation_id"], "seq", last={"_relation": described}, chunk=chunk, told_by=teller)
 
 
@@ -69,9 +71,9 @@ def change_records(messages: DataFrame, parity: bool = False, chunk: int = CHUNK
     The bytes are distributed once and stay packed while transactions and relations are carried along;
     rows are unpacked last, where they are.
     """
-    log = read_log(messages, chunk)
-    placed = with_transactions(log, chunk).where(~F.col("type").isin("B", "C"))
-    rows = with_relation(_per_relation(placed), log, chunk).where(F.col("type") != "R")
+    headers = decode_headers(messages)
+    placed = with_transactions(read_log(messages, chunk), chunk, headers).where(~F.col("type").isin("B", "C"))
+    rows = with_relation(_per_relation(placed), headers, chunk).where(F.col("type") != "R")
     read = rows.withColumn("_body", change_reader()(
         F.when(F.col("type").isin(*ROW_KINDS), F.col("payload")), F.col("_relation")
     ))
@@ -111,7 +113,7 @@ def change_rejects(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 def open_tail(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Messages after the last commit of their poll, to be read again with the next one."""
-    return data_messages(read_log(messages, chunk), chunk).where(F.col("problem") == "open transaction")
+    return data_messages(messages, chunk).where(F.col("problem") == "open transaction")
 
 
 def typed(records: DataFrame, side: str, columns: Mapping[str, int], parity: bool = False) -> DataFrame:

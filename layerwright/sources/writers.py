@@ -20,6 +20,7 @@ from layerwright.session import new_work_path
 MERGE_FORMATS = ("delta", "iceberg", "hudi")
 RANGE_COLUMN = "_key_range"
 RANGE_SIZE = 1_000_000
+MAX_RANGES = 5_000
 
 
 def _provider(spark: SparkSession, table: str) -> str:
@@ -74,8 +75,7 @@ def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANG
         _merge(rows, table, key)
         return True
     ranged = _with_range(rows, key, range_size)
-    touched = F.broadcast(ranged.select(RANGE_COLUMN).distinct())
-    current = spark.table(table).join(touched, RANGE_COLUMN, "left_semi")
+    current = _touched(spark.table(table), ranged)
     staged = new_work_path(spark, "upsert")
     upserted(current, ranged, key).write.parquet(staged)
     columns = spark.table(table).columns
@@ -84,8 +84,17 @@ def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANG
     return True
 
 
+def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Target rows in the key ranges of the batch; a list of ranges prunes the scan when it is short."""
+    ranges = batch.select(RANGE_COLUMN).distinct()
+    found = ranges.limit(MAX_RANGES + 1).collect()
+    if len(found) > MAX_RANGES:
+        return target.join(ranges, RANGE_COLUMN, "left_semi")
+    return target.where(F.col(RANGE_COLUMN).isin([r[0] for r in found]))
+
+
 def _with_range(rows: DataFrame, key: str, range_size: int) -> DataFrame:
-    return rows.withColumn(RANGE_COLUMN, F.floor(F.col(key) / F.lit(range_size)).cast("long"))
+    return rows.withColumn(RANGE_COLUMN, F.expr(f"`{key}` DIV {int(range_size)}"))
 
 
 def _merge(rows: DataFrame, table: str, key: str) -> None:

@@ -40,7 +40,8 @@ def main() -> int:
             else:
                 bad, rows = [], df.count()
         except Exception:
-            bad, rows = [traceback.format_exc(limit=-3)[:1200]], -1
+            con = oracle.connect(sf_dir)  # an internal error of the database makes it unusable
+            bad, rows = [traceback.format_exc(limit=-2)[-600:]], -1
         failed += bool(bad)
         kind = "" if name in catalog.SQL else " (no SQL)"
         print(f"{'FAIL' if bad else 'ok  '} {name} {rows} rows build {built:.1f}s, run {ran:.1f}s, all {time.time() - start:.1f}s{kind}", flush=True)
