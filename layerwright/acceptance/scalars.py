@@ -204,7 +204,7 @@ def q_lateral_outer_unnest(spark, sf):
 
 @registry.add("q_complex_to_json", """
     SELECT vec_id, label, '{"vec_id":' || vec_id || ',"tags":[' || label || ',null],"note":"ação"}' AS meta,
-           len(embedding) AS dimensions, CAST(round(embedding[1], 4) AS DOUBLE) AS first_value
+           CAST(len(embedding) AS INT) AS dimensions, CAST(round(embedding[1], 4) AS DOUBLE) AS first_value
     FROM embeddings""")
 def q_complex_to_json(spark, sf):
     rows = table(spark, sf, "embeddings").select(

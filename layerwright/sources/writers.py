@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerwright.operators.nested import nested_to_json
 from layerwright.operators.tables import upsert as upserted
@@ -21,6 +22,7 @@ MERGE_FORMATS = ("delta", "iceberg", "hudi")
 RANGE_COLUMN = "_key_range"
 RANGE_SIZE = 1_000_000
 MAX_RANGES = 5_000
+HASH_PARTS = 256
 
 
 def _provider(spark: SparkSession, table: str) -> str:
@@ -60,8 +62,9 @@ def replace_days(batch: DataFrame, table: str, day: str = "serverDate") -> bool:
 def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANGE_SIZE) -> bool:
     """Delete target rows whose key is in the batch and add the batch; an empty batch does nothing.
 
-    A table on plain files is partitioned by ranges of the numeric key. Only ranges with a changed key
-    are read and rewritten, so a daily batch of recent rows costs no more than those ranges.
+    A table on plain files is partitioned by ranges of a numeric key, or by hash buckets of another.
+    Only parts with a changed key are read and rewritten, so with ascending numbers a daily batch of
+    recent rows costs no more than the last ranges.
     """
     spark = batch.sparkSession
     rows = nested_to_json(batch)
@@ -94,7 +97,11 @@ def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def _with_range(rows: DataFrame, key: str, range_size: int) -> DataFrame:
-    return rows.withColumn(RANGE_COLUMN, F.expr(f"`{key}` DIV {int(range_size)}"))
+    if isinstance(rows.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        part = F.expr(f"`{key}` DIV {int(range_size)}")
+    else:
+        part = F.pmod(F.xxhash64(F.col(key)), F.lit(HASH_PARTS))
+    return rows.withColumn(RANGE_COLUMN, part)
 
 
 def _merge(rows: DataFrame, table: str, key: str) -> None:

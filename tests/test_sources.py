@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from layerwright import schemas
 from layerwright.operators import nested as N
+from layerwright.sources import ingest as G
 from layerwright.sources import readers as R
 from layerwright.sources import specs as S
 from layerwright.sources import writers as W
@@ -156,6 +157,41 @@ def test_upsert_rewrites_only_touched_ranges(spark):
     assert not W.upsert(batch.limit(0), "w2.t", "id")
 
 
+def test_upsert_by_text_key(spark):
+    W.upsert(spark.createDataFrame([("a", 1), ("b", 1)], "uuid string, v int"), "w4.t", "uuid")
+    W.upsert(spark.createDataFrame([("b", 2), ("c", 2)], "uuid string, v int"), "w4.t", "uuid")
+    assert table_rows(spark, "w4.t", "uuid", "v") == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_ingestion_runs(spark, tmp_path):
+    def people(*rows):
+        return spark.createDataFrame(
+            [(i, f"m{i}", n, dt.datetime(2024, 3, d)) for i, n, d in rows], "id int, email string, n string, updated_at timestamp_ntz")
+
+    kinds = spark.createDataFrame([(1, ["x"])], "id int, tags array<string>")
+    config = {**CONFIG, "extractions": {**CONFIG["extractions"], "broken": CONFIG["extractions"]["kinds"]}}
+    config["extractions"] = {n: {**e, "destination_schema": "w5"} for n, e in config["extractions"].items()}
+    spec = S.parse_spec(config)
+
+    def run(day, rows):
+        sources = {"kinds": kinds, "people": people(*rows)}
+        return G.ingest_spec(spec, lambda e: sources[e.table], dt.date(2024, 3, day))
+
+    first = run(1, [(1, "a", 1), (2, "b", 2), (3, "late", 9)])
+    assert (first["kinds"], first["people"]) == (True, True) and isinstance(first["broken"], KeyError)
+    assert run(3, [(2, "B", 3), (4, "d", 4)])["people"]
+    assert run(20, [(2, "never", 3)])["people"] is False
+    assert table_rows(spark, "w5.people", "id", "n") == [(1, "a"), (2, "B"), (4, "d")]
+    assert "email" not in spark.table("w5.people").columns
+    assert table_rows(spark, "w5.kinds", "id", "tags") == [(1, '["x"]')]
+
+    for i, page in enumerate([[{"idVisit": 1, "serverDate": "2024-01-01"}, {"idVisit": 2, "serverDate": "2024-01-02"}], []]):
+        (tmp_path / f"a{i}.json").write_text(json.dumps(page))
+    assert G.ingest_visits(spark, str(tmp_path), "w5.visits")
+    assert G.ingest_visits(spark, str(tmp_path), "w5.visits")
+    assert table_rows(spark, "w5.visits", "idVisit") == [(1,), (2,)]
+
+
 def test_replace_days(spark):
     schema = "idVisit int, serverDate string, actionDetails array<string>"
     W.replace_days(spark.createDataFrame([(1, "2024-01-01", ["x"]), (2, "2024-01-02", [])], schema), "w3.v")
