@@ -76,9 +76,7 @@ def q_daily_metrics(spark, sf):
 def q_gold_roundtrip(spark, sf):
     path = new_work_path(spark, "gold")
     model = q_daily_metrics(spark, sf).withColumn("mes_operacao", F.date_format("data_operacao", "yyyy-MM"))
-    ordered = model.repartitionByRange("mes_operacao", "id_proposta").sortWithinPartitions(
-        "mes_operacao", "id_proposta", "data_operacao"
-    )
+    ordered = model.sortWithinPartitions("mes_operacao", "id_proposta", "data_operacao")
     ordered.write.partitionBy("mes_operacao").parquet(path)
     return spark.read.schema(model.schema).parquet(path).drop("mes_operacao")
 

@@ -88,6 +88,8 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
     components = latest_per_key(source(bronze, "decidim_components"), ["id"])
     authors = source(bronze, "decidim_coauthorships").where(F.col("coauthorable_type") == PROPOSAL_TYPE)
     categorized = source(bronze, "decidim_categorizations").where(F.col("categorizable_type") == PROPOSAL_TYPE)
+    # Hot proposals are counted in the raw rows, which name the same proposals.
+    author_keys = authors.select(F.col("coauthorable_id").alias("id"))
     if parity:
         authors = latest_per_key(authors, ["decidim_author_id", "coauthorable_id"])
         categorized = latest_per_key(categorized, ["categorizable_id", "decidim_category_id"])
@@ -115,8 +117,8 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
     categories = named.select(
         F.col("categorizable_id").alias("id"), localized(F.col("category_name")).alias("proposal_category")
     )
-    out = lookup_many(out, authors, ["id"])
-    out = spread_join(out, categories, ["id"], "left", rows_kept=True, counted=authors)
+    out = lookup_many(out, authors, ["id"], counted=author_keys)
+    out = spread_join(out, categories, ["id"], "left", rows_kept=True, counted=author_keys)
     return out.select(
         F.col("id").alias("proposal_id"), "process_id", "participatory_space_type", "user_id", "author_type",
         "proposal_status", "created_at", "proposal_title", "proposal_text",
@@ -147,9 +149,10 @@ def comments(bronze: Bronze) -> DataFrame:
 def votes(bronze: Bronze) -> DataFrame:
     """Votes on proposals and votes on comments of processes, as one table."""
     on_proposals = latest_per_key(source(bronze, "decidim_proposals_proposal_votes"), ["id"])
-    on_comments = latest_per_key(source(bronze, "decidim_comments_comment_votes"), ["id"])
+    comment_votes = source(bronze, "decidim_comments_comment_votes")
+    comment_ids = _process_comments(bronze).select(F.col("id").alias("decidim_comment_id"))
     on_comments = existing(
-        on_comments, _process_comments(bronze).select(F.col("id").alias("decidim_comment_id")), ["decidim_comment_id"]
+        latest_per_key(comment_votes, ["id"]), comment_ids, ["decidim_comment_id"], counted=comment_votes
     )
 
     def shaped(rows: DataFrame, tag: str, target: str) -> DataFrame:

@@ -123,12 +123,10 @@ def publish_table(model: DataFrame, name: str, target: str = "prod", layer: str
     """Rebuild a model's table in its layer database, ordered inside files for the usual look-ups."""
     full = f"{layer_database(target, layer)}.{name}"
     _ensure_database(model.sparkSession, full)
-    rows = model
-    if partition_by:
-        # Ranges give each task few partition values, and cut a large one along the sort columns.
-        rows = rows.repartitionByRange(*partition_by, *sort_by)
-    if sort_by or partition_by:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    # Rows stay in the tasks that made them: a table that unfolds inside its last stage, as the daily
+    # series does, would otherwise be moved as a whole. Each task writes one file per partition value.
+    order = [*partition_by, *sort_by]
+    rows = model.sortWithinPartitions(*order) if order else model
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
