@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Defaults of the ``broadcast_bytes`` and ``hot_rows`` arguments below.
 BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
@@ -30,9 +31,9 @@ def estimated_bytes(df: DataFrame, rows_kept: bool = False) -> int | None:
     return size
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, rows_kept: bool = False) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None, rows_kept: bool = False) -> bool:
     size = estimated_bytes(df, rows_kept)
-    return size is not None and size <= limit
+    return size is not None and size <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def _hashable(dtype: T.DataType) -> bool:
@@ -52,12 +53,13 @@ def row_piece(df: DataFrame, pieces):
     return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), pieces)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, top: int = HOT_KEYS) -> list[Row]:
+def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None, top: int = HOT_KEYS) -> list[Row]:
     """Keys with at least ``hot_rows`` rows, each with the number of pieces to cut it into.
 
     Counts are combined before the shuffle and at most ``top`` rows come back, the largest first. A key
     left out loses only its cutting, no rows.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= hot_rows)
     pieces = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("long").alias("_pieces")
     return counted.orderBy(F.desc("_rows"), *on).limit(top).select(*on, pieces).collect()
@@ -69,7 +71,7 @@ def _as_table(df: DataFrame, on: Sequence[str], rows: list[Row]) -> DataFrame:
 
 
 def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                broadcast_bytes: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS,
+                broadcast_bytes: int | None = None, hot_rows: int | None = None,
                 rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Equi-join of a large left side, for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
 
@@ -105,8 +107,8 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
-def lookup_many(left: DataFrame, right: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES,
-                hot_rows: int = HOT_ROWS, rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
+def lookup_many(left: DataFrame, right: DataFrame, on: Sequence[str], broadcast_bytes: int | None = None,
+                hot_rows: int | None = None, rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Left join of a table with one row per key to a table with many rows per key.
 
     A key that holds a large share of the right rows surely has a match (``counted`` must not hold
