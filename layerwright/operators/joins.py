@@ -16,7 +16,8 @@ NULL_PIECES = 4_096
 
 
 def estimated_bytes(df: DataFrame, rows_kept: bool = False) -> int | None:
-    """Catalyst's size estimate, or None in a session without a local plan (a remote one).
+    """Catalyst's size estimate, or None where it is no bound: for rows unfolded from arrays, whose
+    number it does not know, and in a session without a local plan (a remote one).
 
     ``rows_kept`` states that the joins inside ``df`` add no rows (lookups of unique keys). Then
     the sum of the inputs is a bound too, much closer than the product that the estimate takes.
@@ -24,6 +25,8 @@ def estimated_bytes(df: DataFrame, rows_kept: bool = False) -> int | None:
     if not hasattr(df, "_jdf"):
         return None
     plan = df._jdf.queryExecution().optimizedPlan()
+    if "Generate " in plan.toString():
+        return None
     size = int(plan.stats().sizeInBytes())
     if rows_kept:
         leaves = plan.collectLeaves()
@@ -75,7 +78,8 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
                 rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Equi-join of a large left side, for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
 
-    A right side within the size limit is broadcast. Beyond it the keys of the left side are counted
+    A right side within the size limit is broadcast. So is a small left side, to cut a large right one
+    down to its keys where it lies. With two large sides the keys of the left side are counted
     (in ``counted`` where the left side is a longer plan over it). Hot keys are cut into pieces, and
     only their right rows are copied; rows without a key, which match nothing, spread over many
     tasks. The result is the same in every way.
@@ -87,6 +91,8 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
         right = right.select(*on)
     if fits_broadcast(right, broadcast_bytes, rows_kept):
         return left.join(F.broadcast(right), on, how)
+    if fits_broadcast(left, broadcast_bytes):
+        return _of_small_left(left, right, on, how)
     if how in ("left_semi", "left_anti"):
         right = right.distinct()
     hot = hot_keys(left if counted is None else counted, on, hot_rows)
@@ -107,6 +113,19 @@ def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
+def _of_small_left(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """The join where only the left side is small: it goes to the right rows, which stay in place."""
+    if how == "inner":
+        return F.broadcast(left).join(right, on, "inner")
+    wanted = F.broadcast(left.select(*on).distinct())
+    # No more keys than the small side has.
+    found = F.broadcast(right.select(*on).join(wanted, on, "left_semi").distinct())
+    if how in ("left_semi", "left_anti"):
+        return left.join(found, on, how)
+    matched = F.broadcast(left).join(right, on, "inner")
+    return matched.unionByName(left.join(found, on, "left_anti"), allowMissingColumns=True).select(*matched.columns)
+
+
 def lookup_many(left: DataFrame, right: DataFrame, on: Sequence[str], broadcast_bytes: int | None = None,
                 hot_rows: int | None = None, rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """Left join of a table with one row per key to a table with many rows per key.

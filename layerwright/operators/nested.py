@@ -45,22 +45,27 @@ def flatten_structs(df: DataFrame) -> DataFrame:
     return df.select(*[col.alias(path) for path, col in _leaves(df.schema)])
 
 
-def find_key(schema: T.StructType, key: str) -> str | None:
-    """Path of the first field of that name: own level first, then nested structs, never arrays."""
+def paths_of_key(schema: T.StructType, key: str) -> list[str]:
+    """Where a key can be found: a struct's own level first, else its nested structs in order, never arrays."""
     if key in schema.fieldNames():
-        return key
-    for field in schema.fields:
-        if isinstance(field.dataType, T.StructType):
-            below = find_key(field.dataType, key)
-            if below is not None:
-                return f"{field.name}.{below}"
-    return None
+        return [key]
+    return [
+        f"{field.name}.{below}" for field in schema.fields if isinstance(field.dataType, T.StructType)
+        for below in paths_of_key(field.dataType, key)
+    ]
 
 
 def value_of_key(df: DataFrame, key: str) -> Column:
-    """The value under a key at any depth; a typed NULL when the schema has no such key."""
-    path = find_key(df.schema, key)
-    return F.lit(None).cast("string") if path is None else F.col(path)
+    """The first value under a key at any depth; a NULL when the schema has no such key.
+
+    A nested place without a value gives way to the next place of the same type.
+    """
+    paths = paths_of_key(df.schema, key)
+    if not paths:
+        return F.lit(None).cast("string")
+    kinds = df.select(*[F.col(p).alias(f"c{i}") for i, p in enumerate(paths)]).schema
+    same = [p for p, f in zip(paths, kinds.fields) if f.dataType == kinds.fields[0].dataType]
+    return F.coalesce(*[F.col(p) for p in same])
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:

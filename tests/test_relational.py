@@ -74,6 +74,22 @@ def test_size_check(spark, sf_dir):
     assert J.fits_broadcast(nation) and not J.fits_broadcast(nation, 10)
     product = nation.crossJoin(nation.toDF("a", "b", "c")).join(nation.toDF("d", "e", "f"), F.col("a") == F.col("d"))
     assert J.estimated_bytes(product, rows_kept=True) < J.estimated_bytes(product)
+    unfolded = nation.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1000))))
+    assert J.estimated_bytes(unfolded) is None and not J.fits_broadcast(unfolded)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_small_left_of_large_right(spark, sf_dir, how):
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").withColumnRenamed("n_nationkey", "k")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select((F.col("o_custkey") % 40 * 2).alias("k"), "o_orderkey")
+    small = J.estimated_bytes(nation)
+    assert small < J.estimated_bytes(orders)
+    got = J.spread_join(nation, orders, ["k"], how, broadcast_bytes=small)
+    expected = nation.join(orders, "k", how)
+    assert got.columns == expected.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
 
 
 def test_split_known(spark):

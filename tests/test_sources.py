@@ -107,8 +107,10 @@ def test_flatten_and_find(spark):
     df = spark.createDataFrame([((1, (2, (3,))),)], "r struct<a:int,b:struct<c:int,d:struct<e:int>>>")
     assert N.flatten_structs(df).columns == ["r.a", "r.b.c", "r.b.d.e"]
     schema = df.schema["r"].dataType
-    assert [N.find_key(schema, k) for k in ("b", "x", "e", "f")] == ["b", None, "b.d.e", None]
+    assert [N.paths_of_key(schema, k) for k in ("b", "x", "e", "f")] == [["b"], [], ["b.d.e"], []]
     assert df.select(N.value_of_key(df, "e"), N.value_of_key(df, "x")).first()[:] == (3, None)
+    two = spark.createDataFrame([((None,), (5, 6))], "first struct<k:int>, second struct<k:int,m:int>")
+    assert two.select(N.value_of_key(two, "k"), N.value_of_key(two, "m")).first()[:] == (5, 6)
 
 
 def test_nested_to_json(spark):
