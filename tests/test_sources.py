@@ -208,3 +208,16 @@ def test_publish(spark):
     name = W.publish_table(df, "m", "dev", "gold", ["id"], ["month"])
     assert name == "dev_gold.m" and spark.table(name).count() == 20
     assert spark.table(W.publish_view(df, "m_view")).count() == 20
+
+
+def test_bucketed_tables_join_in_place(spark):
+    df = spark.range(1000).select("id", (F.col("id") * 2).alias("v"))
+    a = W.publish_table(df, "ba", "dev", "gold", bucket_by=["id"], buckets=4)
+    b = W.publish_table(df, "bb", "dev", "gold", bucket_by=["id"], buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table(a).join(spark.table(b), "id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
