@@ -1,12 +1,13 @@
 """Writing layer tables.
 
-A table on plain files cannot be changed in place. ``full_refresh`` and ``replace_days`` overwrite
-what they replace; ``upsert`` rewrites only the key ranges that the batch touches, through a staged
+A table on plain files cannot be changed in place. ``full_refresh`` writes anew and switches a name,
+``replace_days`` overwrites the days it replaces; ``upsert`` rewrites only the key ranges that the batch touches, through a staged
 copy, so that no plan reads what it overwrites. Table formats with ``MERGE INTO`` get a merge.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,11 +37,19 @@ def _ensure_database(spark: SparkSession, table: str) -> None:
 
 
 def full_refresh(batch: DataFrame, table: str, keep_on_empty: bool = True) -> bool:
-    """Replace a table by the batch, creating it if missing. An empty batch leaves it by default."""
+    """Replace all rows by the batch. An empty batch leaves them by default.
+
+    The batch is written to a table of its own and the name, a view, is switched to it, so that a
+    failed run costs nothing.
+    """
     if keep_on_empty and batch.isEmpty():
         return False
-    _ensure_database(batch.sparkSession, table)
-    nested_to_json(batch).write.mode("overwrite").saveAsTable(table)
+    spark = batch.sparkSession
+    _ensure_database(spark, table)
+    version = f"{table}__{uuid.uuid4().hex[:12]}"
+    nested_to_json(batch).write.saveAsTable(version)
+    database, _, name = table.rpartition(".")
+    switch_view(spark, database or spark.catalog.currentDatabase(), name, version)
     return True
 
 
@@ -54,7 +63,7 @@ def replace_days(batch: DataFrame, table: str, day: str = "serverDate") -> bool:
         _ensure_database(spark, table)
         rows.write.partitionBy(day).saveAsTable(table)
         return True
-    columns = spark.table(table).columns
+    columns = _known_columns(rows, spark.table(table))
     rows.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
     return True
 
@@ -78,15 +87,23 @@ def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANG
         _merge(rows, table, key)
         return True
     ranged = _with_range(rows, key, range_size)
+    columns = _known_columns(ranged, spark.table(table))
     current = _touched(spark.table(table), ranged)
     staged = new_work_path(spark, "upsert")
     upserted(current, ranged, key).write.parquet(staged)
-    columns = spark.table(table).columns
     result = spark.read.schema(spark.table(table).schema).parquet(staged).select(*columns)
     result.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
     return True
 
 
+def _known_columns(batch: DataFrame, target: DataFrame) -> list[str]:
+    """Columns of the target; a batch column that it lacks is an error, not something to lose silently."""
+    new = {c.lower() for c in batch.columns} - {c.lower() for c in target.columns}
+    if new:
+        raise ValueError(f"the table has no column {', '.join(sorted(new))}")
+    return target.columns
+
+
 def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Target rows in the key ranges of the batch; a list of ranges prunes the scan when it is short."""
     ranges = batch.select(RANGE_COLUMN).distinct()
@@ -145,6 +162,8 @@ def publish_table(model: DataFrame, name: str, target: str = "prod", layer: str
 def switch_view(spark: SparkSession, database: str, name: str, table: str) -> str:
     """Let the published name point to a newly written table, then drop the tables it replaces."""
     view = f"{database}.{name}"
+    if spark.catalog.tableExists(view) and spark.catalog.getTable(view).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {view}")  # a table of that name from before views were switched
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
     for old in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect():
         if f"{database}.{old['tableName']}" != table:

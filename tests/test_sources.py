@@ -142,6 +142,21 @@ def test_full_refresh(spark):
     assert table_rows(spark, "w1.t", "id") == [(2,)]
     assert W.full_refresh(df.where("false"), "w1.t", keep_on_empty=False)
     assert table_rows(spark, "w1.t", "id") == []
+    assert spark.sql("SHOW TABLES IN w1").count() == 2  # the view and the table behind it
+    df.write.saveAsTable("w1.plain")
+    assert W.full_refresh(df.where("id = 1"), "w1.plain")
+    assert table_rows(spark, "w1.plain", "id") == [(1,)]
+
+
+def test_columns_the_table_lacks_are_an_error(spark):
+    df = spark.createDataFrame([(1, "2024-01-01")], "id int, day string")
+    W.upsert(df, "w6.u", "id")
+    W.replace_days(df, "w6.d", "day")
+    more = df.withColumn("extra", F.lit(1))
+    with pytest.raises(ValueError, match="extra"):
+        W.upsert(more, "w6.u", "id")
+    with pytest.raises(ValueError, match="extra"):
+        W.replace_days(more, "w6.d", "day")
 
 
 def test_upsert_rewrites_only_touched_ranges(spark):
