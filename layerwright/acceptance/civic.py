@@ -165,7 +165,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
     })
 
 
-# The models in SQL, written against the given tables. Later entries use earlier ones.
+# The models in SQL, written against the given tables. Later entries use earlier ones. Texts are joined with
+# a key and cut again where DuckDB would keep them as dictionaries, on which it fails at times.
 _SQUEEZE = "CAST(DATE '1995-01-01' + CAST(floor(date_diff('day', DATE '1995-01-01', CAST({c} AS DATE)) / 32) AS INT) AS TIMESTAMP)"
 
 MODEL_SQL = {
@@ -194,11 +195,11 @@ MODEL_SQL = {
         SELECT o_orderkey AS proposal_id, CAST(c_nationkey AS BIGINT) AS process_id,
                CASE WHEN c_custkey IS NULL THEN NULL WHEN c_mktsegment = 'BUILDING' THEN 'Decidim::Assembly'
                     ELSE 'Decidim::ParticipatoryProcess' END AS participatory_space_type,
-               user_id, author_type, concat(o_orderstatus, '') AS proposal_status,
+               user_id, author_type, left(concat(o_orderstatus, o_orderkey), 1) AS proposal_status,
                {_SQUEEZE.format(c='o_orderdate')} AS created_at,
                'Proposta ' || o_orderkey AS proposal_title, o_orderpriority AS proposal_text,
-               CASE WHEN r_name IS NOT NULL THEN concat(r_name, '') END AS proposal_scope,
-               CASE WHEN p_name IS NOT NULL THEN concat(p_name, '') END AS proposal_category
+               left(concat(r_name, o_orderkey), length(r_name)) AS proposal_scope,
+               left(concat(p_name, o_orderkey), length(p_name)) AS proposal_category
         FROM orders
         LEFT JOIN customer ON o_custkey = c_custkey
         LEFT JOIN region ON month(o_orderdate) = r_regionkey AND r_regionkey < 4

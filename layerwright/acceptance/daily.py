@@ -17,7 +17,8 @@ MEASURES = ["qtd_visitas", "qtd_rejeicao", "qtd_votos", "qtd_comentarios"]
 _FLAGSHIP_SQL = f"""
     WITH first AS (SELECT user_id, min(CAST(ts AS DATE)) AS created FROM events GROUP BY 1),
     entities AS (
-        SELECT c_custkey AS id, c_name AS title, c_mktsegment AS status, c_nationkey, n_name, created
+        SELECT c_custkey AS id, c_name AS title, left(concat(c_mktsegment, c_custkey), length(c_mktsegment)) AS status,
+               c_nationkey, left(concat(n_name, c_custkey), length(n_name)) AS n_name, created
         FROM customer JOIN first ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey),
     spine AS MATERIALIZED (SELECT *, CAST(unnest(generate_series(created, DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS day
               FROM entities),

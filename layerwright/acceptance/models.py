@@ -51,7 +51,8 @@ METRICS_SQL = f"""
     commented AS MATERIALIZED (SELECT CAST(created_at AS DATE) AS day, commented_root_component_id AS pid,
                          count(*) AS qtd_comentarios FROM comments GROUP BY ALL),
     spine AS MATERIALIZED (
-        SELECT p.*, process_title,
+        SELECT p.proposal_id, p.process_id, p.proposal_title, p.proposal_status, p.proposal_category,
+               left(concat(process_title, p.proposal_id), length(process_title)) AS process_title,
                CAST(unnest(generate_series(CAST(p.created_at AS DATE), DATE '{AS_OF}', INTERVAL 1 DAY)) AS DATE) AS day
         FROM proposals p JOIN participatory_processes pp ON p.process_id = pp.process_id)
     SELECT spine.day AS data_operacao, process_id AS id_processo, proposal_id AS id_proposta,
