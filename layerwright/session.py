@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +33,11 @@ def build_session(app: str = "layerwright", master: str | None = None, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``."""
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    Where that is unset, as in a local session, it is a folder of the warehouse, which is shared too; on a cluster the
+    setting is required.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -43,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="layerwright-")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:
