@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import decontamination, line_dedup, token_counts
+from layerwright.llm import decontamination, language_id, line_dedup, mixing, nearest, token_counts, url_filter
 from layerwright.llm import sql as oracle
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,6 +28,37 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    plan = mixing.mix_plan(docs, weights=(5, 2, 1), share=1.5, most=2)
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+#: The contract's rules: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"),
+                                                   ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("blocked"))
+    judged = url_filter.judge_urls(pages, pages.join(labels, "page_id"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op9_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.nearest(rows, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.contaminated_documents(docs, table(spark, sf_dir, "benchmark"), window=13, least_share=20)
@@ -35,8 +66,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {q.__name__: q for q in (op1_line_dedup, op3_token_counts, op10_decontamination)}
+QUERIES = {q.__name__: q for q in (op1_line_dedup, op3_token_counts, op4_source_mix, op5_url_filter, op8_language_id,
+                                op9_nearest_vectors, op10_decontamination)}
 SQL = {
     "op1_line_dedup": oracle.OP1,
+    "op4_source_mix": oracle.OP4,
+    "op9_nearest_vectors": oracle.OP9,
     "op10_decontamination": oracle.OP10,
 }

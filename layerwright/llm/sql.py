@@ -53,3 +53,47 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         substr(md5('mix' || CAST(doc_id AS VARCHAR)), 1, 16) AS h
+  FROM documents
+), sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS source_no FROM sizes
+), weighted AS (
+  SELECT *, [5, 2, 1][CAST((source_no - 1) % 3 AS INT) + 1] AS weight, source_size * 2 AS fill FROM numbered
+), levels AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) * 1.5 - coalesce(CAST(sum(fill) OVER before AS DOUBLE), 0))
+            / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM weighted
+  WINDOW before AS (ORDER BY CAST(fill AS DOUBLE) / weight, source_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), targets AS (
+  SELECT source, source_no, source_size, least(CAST(fill AS DOUBLE), weight * max(level) OVER ()) AS target FROM levels
+), queued AS (
+  SELECT d.*, t.source_no, t.source_size, t.target, sum(d.size) OVER (PARTITION BY t.source_no ORDER BY d.h) AS cum
+  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), items AS (
+  SELECT *, CAST(copy * source_size + cum AS DOUBLE) / target AS finish
+  FROM queued, (SELECT unnest([0, 1]) AS copy) WHERE size > 0
+), listed AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, source_no, h, copy) AS total FROM items
+), taken AS (
+  SELECT doc_id, sum(size) AS taken FROM listed WHERE total <= (SELECT 1.5 * sum(source_size) FROM sizes) GROUP BY doc_id
+)
+SELECT q.doc_id, q.size, q.source_size, q.target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
+FROM queued q LEFT JOIN taken k USING (doc_id)
+"""
+
+OP9 = r"""
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS INTEGER) AS rank FROM pairs
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
