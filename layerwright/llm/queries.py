@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import decontamination, language_id, line_dedup, mixing, nearest, token_counts, url_filter
+from layerwright.llm import chat_format, decontamination, language_id, line_dedup, mixing, nearest, token_counts, url_filter
 from layerwright.llm import sql as oracle
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,16 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: The contract's extra conversation: its texts hold an escape and the template's own marks.
+EXTRA_CONVERSATION = [(-7, i, role, r"\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))]
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.pack(rows.unionByName(extra))).withColumnRenamed("conv", "conv_id")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, TOKENIZER, limit=512)
@@ -66,10 +76,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {q.__name__: q for q in (op1_line_dedup, op3_token_counts, op4_source_mix, op5_url_filter, op8_language_id,
+QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_chat_format, op3_token_counts, op4_source_mix, op5_url_filter, op8_language_id,
                                 op9_nearest_vectors, op10_decontamination)}
 SQL = {
     "op1_line_dedup": oracle.OP1,
+    "op2_chat_format": oracle.OP2,
     "op4_source_mix": oracle.OP4,
     "op9_nearest_vectors": oracle.OP9,
     "op10_decontamination": oracle.OP10,

@@ -97,3 +97,17 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+OP2 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(15 + length(replace(replace(replace(role, '\', '\\'), '<', '\<'), chr(10), '\n'))
+                + length(replace(replace(text, '\', '\\'), '<', '\<'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
