@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import chat_format, decontamination, language_id, line_dedup, mixing, nearest, token_counts, url_filter
+from layerwright.llm import chat_format, decontamination, language_id, line_dedup, mixing, nearest, ngram_join, token_counts, url_filter
 from layerwright.llm import sql as oracle
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ngram_join.similar_sets(docs, words=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -76,12 +82,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_chat_format, op3_token_counts, op4_source_mix, op5_url_filter, op8_language_id,
+QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_chat_format, op3_token_counts, op4_source_mix, op5_url_filter, op7_ngram_join, op8_language_id,
                                 op9_nearest_vectors, op10_decontamination)}
 SQL = {
     "op1_line_dedup": oracle.OP1,
     "op2_chat_format": oracle.OP2,
     "op4_source_mix": oracle.OP4,
+    "op7_ngram_join": oracle.OP7,
     "op9_nearest_vectors": oracle.OP9,
     "op10_decontamination": oracle.OP10,
 }

@@ -111,3 +111,28 @@ SELECT conv_id, count(*) AS n_turns,
                 + length(replace(replace(text, '\', '\\'), '<', '\<'))) AS BIGINT) AS formatted_chars
 FROM c GROUP BY conv_id
 """
+
+OP7 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)
+), edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM d
+  UNION
+  SELECT r.node, e.b FROM reach r JOIN edge e ON r.seen = e.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN size USING (doc_id)
+JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)
+"""
