@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import chat_format, decontamination, language_id, line_dedup, mixing, nearest, ngram_join, token_counts, url_filter
+from layerwright.llm import chat_format, decontamination, language_id, line_dedup, mixing, nearest, ngram_join, suffix_dedup, token_counts, url_filter
 from layerwright.llm import sql as oracle
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = suffix_dedup.remove_repeats(docs, least=50)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = ngram_join.similar_sets(docs, words=4, percent=85)
@@ -82,7 +88,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_chat_format, op3_token_counts, op4_source_mix, op5_url_filter, op7_ngram_join, op8_language_id,
+QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_chat_format, op3_token_counts, op4_source_mix, op5_url_filter, op6_suffix_dedup, op7_ngram_join, op8_language_id,
                                 op9_nearest_vectors, op10_decontamination)}
 SQL = {
     "op1_line_dedup": oracle.OP1,
