@@ -1,14 +1,58 @@
-"""The corpus pipeline: every stage is one operator over all documents that the stage before has kept."""
+"""The corpus pipeline: every stage is one operator over all documents that the stage before has kept.
+
+All stages but the last return the columns of ``documents``, and ``n_chars`` follows the text where a stage changes it. The
+last gives the mix: one row for each copy taken, with the copy's number. SQL can't express the first stage, so there is no SQL for the whole; tests
+hold the stages against brute force.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import decontamination, line_dedup
+from layerwright.llm import decontamination, language_id, line_dedup, mixing, ngram_join
 from layerwright.session import new_work_path
 
-STAGES: list = []
+#: A document whose language is less sure than this is rejected; of four languages the likeliest has a quarter at least.
+LEAST_SCORE = 0.4
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a letter whose language is told with a score of ``LEAST_SCORE`` at least."""
+    found = language_id.identify(docs)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that a document with a smaller id has. One that loses all its lines stays, empty."""
+    kept = line_dedup.drop_repeated_lines(docs)
+    return kept.select(*[F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(c) for c, t in docs.dtypes])
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of similar ones: five words, 80 per cent."""
+    found = ngram_join.similar_components(docs, words=5, percent=80)
+    return found.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(*docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated_documents(docs, benchmark).filter("NOT contaminated").select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of sources by weight: a row for each copy that is taken."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("language_id", known_language),
+    ("line_dedup", without_repeated_lines),
+    ("ngram_join", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("mix", mixed),
+]
 ORACLE_SQL = None
 
 
