@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from layerwright.operators import quality as dq
 from layerwright.plans import gold, silver
 from layerwright.schemas import layer_database
-from layerwright.sources.writers import publish_table, switch_view
+from layerwright.sources.writers import publish_version, switch_view
 
 
 def model_tests(models: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame],
@@ -98,7 +98,7 @@ def run(spark: SparkSession, bronze: Mapping[str, DataFrame], as_of: date | str,
     version = uuid.uuid4().hex[:12]
 
     def build(name: str, model: DataFrame, layer: str, sort_by=(), partition_by=()) -> None:
-        written = publish_table(model, f"{name}__{version}", target, layer, sort_by, partition_by)
+        written = publish_version(model, name, version, target, layer, sort_by, partition_by)
         models[name] = spark.table(written)
         tests = model_tests(models, bronze, parity).get(name)
         if tests:

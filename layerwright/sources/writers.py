@@ -1,29 +1,45 @@
 """Writing layer tables.
 
 A table on plain files cannot be changed in place. ``full_refresh`` writes anew and switches a name,
-``replace_days`` overwrites the days it replaces; ``upsert`` rewrites only the key ranges that the batch touches, through a staged
-copy, so that no plan reads what it overwrites. Table formats with ``MERGE INTO`` get a merge.
+``replace_days`` overwrites the days it replaces; ``upsert`` rewrites only the key parts that the batch touches, through a staged
+copy, so that no plan reads what it overwrites. Table formats with ``MERGE INTO`` delete and insert. Every sink tells how many rows it
+deleted and wrote.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
+from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerwright.operators.nested import nested_to_json
 from layerwright.operators.tables import upsert as upserted
 from layerwright.schemas import layer_database
-from layerwright.session import new_work_path
 
 MERGE_FORMATS = ("delta", "iceberg", "hudi")
-RANGE_COLUMN = "_key_range"
+PART_COLUMN = "_key_part"
 RANGE_SIZE = 1_000_000
-MAX_RANGES = 5_000
-HASH_PARTS = 256
+NO_KEY = "none"
+#: Table properties: how a key is cut into parts; whose version a table is, in which state, and since when.
+SIZE, PARTS, ROWS = "layerwright.range_size", "layerwright.parts", "layerwright.rows"
+VERSION_OF, STATE, SINCE = "layerwright.version_of", "layerwright.state", "layerwright.since"
+
+
+@dataclass(frozen=True)
+class Changed:
+    """What a run has done to a table; false when it changed nothing."""
+
+    rows_deleted: int = 0
+    rows_written: int = 0
+
+    def __bool__(self) -> bool:
+        return self.rows_written > 0 or self.rows_deleted > 0
 
 
 def _provider(spark: SparkSession, table: str) -> str:
@@ -31,69 +47,151 @@ def _provider(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"].lower() if rows else ""
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _set_properties(spark: SparkSession, table: str, **values: str) -> None:
+    text = ", ".join(f"'{k}' = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({text})")
+
+
 def _ensure_database(spark: SparkSession, table: str) -> None:
     if "." in table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
 
 
-def full_refresh(batch: DataFrame, table: str, keep_on_empty: bool = True) -> bool:
+def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows that are counted as they are written."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("n")), seen
+
+
+@contextmanager
+def _staged(rows: DataFrame, near: str):
+    """A copy of the rows as a table beside the one that is changed, dropped in the end."""
+    spark, name = rows.sparkSession, f"{near}__staged_{uuid.uuid4().hex[:12]}"
+    try:
+        rows.write.saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def new_version(rows: DataFrame, table: str) -> str:
+    """The rows written as a table of their own, recorded as a version of the published name that is not yet published."""
+    spark, version = rows.sparkSession, f"{table}__{uuid.uuid4().hex[:12]}"
+    _ensure_database(spark, table)
+    rows.write.saveAsTable(version)
+    record_version(spark, version, table)
+    return version
+
+
+def record_version(spark: SparkSession, version: str, table: str) -> None:
+    _set_properties(spark, version, **{VERSION_OF: table.lower(), STATE: "written"})
+
+
+def full_refresh(batch: DataFrame, table: str, keep_on_empty: bool = True) -> Changed:
     """Replace all rows by the batch. An empty batch leaves them by default.
 
     The batch is written to a table of its own and the name, a view, is switched to it, so that a
     failed run costs nothing.
     """
-    if keep_on_empty and batch.isEmpty():
-        return False
     spark = batch.sparkSession
-    _ensure_database(spark, table)
-    version = f"{table}__{uuid.uuid4().hex[:12]}"
-    nested_to_json(batch).write.saveAsTable(version)
+    if keep_on_empty and batch.isEmpty():
+        return Changed()
+    old = spark.table(table).count() if spark.catalog.tableExists(table) else 0
+    rows, seen = _counted(nested_to_json(batch))
+    version = new_version(rows, table)
     database, _, name = table.rpartition(".")
     switch_view(spark, database or spark.catalog.currentDatabase(), name, version)
-    return True
+    return Changed(old, seen.get["n"])
 
 
-def replace_days(batch: DataFrame, table: str, day: str = "serverDate") -> bool:
-    """Replace the days that the batch holds. The table is partitioned by day; others stay untouched."""
+def replace_days(batch: DataFrame, table: str, day: str = "serverDate") -> Changed:
+    """Replace the days that the batch holds. The table is partitioned by day; others stay untouched.
+
+    Rows without a day belong to no day: those of the batch are added, those of the table stay.
+    """
     spark = batch.sparkSession
     rows = nested_to_json(batch)
     if rows.isEmpty():
-        return False
+        return Changed()
     if not spark.catalog.tableExists(table):
         _ensure_database(spark, table)
-        rows.write.partitionBy(day).saveAsTable(table)
-        return True
-    columns = _known_columns(rows, spark.table(table))
-    rows.select(*columns).write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
-    return True
-
-
-def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANGE_SIZE) -> bool:
+        counted, seen = _counted(rows.hint("rebalance", F.col(day)))
+        counted.write.partitionBy(day).saveAsTable(table)
+        return Changed(0, seen.get["n"])
+    target = spark.table(table)
+    columns = _known_columns(rows, target)
+    days = rows.select(day).distinct()
+    deleted = target.select(day).join(days, day, "left_semi").count()
+    counted, seen = _counted(rows.select(*columns))
+    if rows.where(F.col(day).isNull()).isEmpty():
+        _overwrite_parts(counted, table, day)
+    else:  # the partition of rows without a day is overwritten too, so what it holds is written again
+        with _staged(target.where(F.col(day).isNull()), table) as kept:
+            _overwrite_parts(counted.unionByName(kept.select(*columns)), table, day)
+    return Changed(deleted, seen.get["n"])
+
+
+def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANGE_SIZE) -> Changed:
     """Delete target rows whose key is in the batch and add the batch; an empty batch does nothing.
 
-    A table on plain files is partitioned by ranges of a numeric key, or by hash buckets of another.
-    Only parts with a changed key are read and rewritten, so with ascending numbers a daily batch of
-    recent rows costs no more than the last ranges.
+    A table on plain files is partitioned by ranges of a whole-number key, or by hash parts of another, whose number
+    is stored with the table and grows with it. Only parts with a changed key are read and rewritten, so with
+    ascending numbers a daily batch of recent rows costs no more than the last ranges. Rows without a key match nothing: those of the
+    batch are added, those of the table stay. Rows of the batch that repeat a key are all added, in every format.
     """
     spark = batch.sparkSession
     rows = nested_to_json(batch)
     if rows.isEmpty():
-        return False
+        return Changed()
     if not spark.catalog.tableExists(table):
         _ensure_database(spark, table)
-        _with_range(rows, key, range_size).write.partitionBy(RANGE_COLUMN).saveAsTable(table)
-        return True
+        n = rows.count()
+        parts = _parts_for(n, range_size)
+        placed = _with_part(rows, key, range_size, parts)
+        placed.hint("rebalance", F.col(PART_COLUMN)).write.partitionBy(PART_COLUMN).saveAsTable(table)
+        _set_properties(spark, table, **{SIZE: str(range_size), PARTS: str(parts), ROWS: str(n)})
+        return Changed(0, n)
     if _provider(spark, table) in MERGE_FORMATS:
-        _merge(rows, table, key)
-        return True
-    ranged = _with_range(rows, key, range_size)
-    columns = _known_columns(ranged, spark.table(table))
-    current = _touched(spark.table(table), ranged)
-    staged = new_work_path(spark, "upsert")
-    upserted(current, ranged, key).write.parquet(staged)
-    result = spark.read.schema(spark.table(table).schema).parquet(staged).select(*columns)
-    result.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
-    return True
+        return _delete_and_insert(rows, table, key)
+    stored = _properties(spark, table)
+    range_size, parts = int(stored.get(SIZE, range_size)), int(stored[PARTS])
+    target = spark.table(table)
+    placed = _with_part(rows, key, range_size, parts)
+    columns = _known_columns(placed, target)
+    touched = target.join(F.broadcast(placed.select(PART_COLUMN).distinct()), PART_COLUMN, "left_semi")
+    before, had = _counted(touched)
+    counted, seen = _counted(placed)
+    with _staged(upserted(before, counted, key).select(*columns), table) as staged:
+        after = staged.count()
+        _overwrite_parts(staged, table, PART_COLUMN)
+    written, deleted = seen.get["n"], had.get["n"] + seen.get["n"] - after
+    total = int(stored.get(ROWS, 0)) + written - deleted
+    _set_properties(spark, table, **{ROWS: str(total)})
+    if not _whole_number(rows, key) and _parts_for(total, range_size) >= 2 * parts:
+        _cut_anew(spark, table, key, range_size, _parts_for(total, range_size))
+    return Changed(deleted, written)
+
+
+def _parts_for(rows: int, range_size: int) -> int:
+    return max(4, -(-rows // range_size))
+
+
+def _cut_anew(spark: SparkSession, table: str, key: str, range_size: int, parts: int) -> None:
+    """Deal a grown table to more hash parts: rewritten as a whole, each time it has doubled."""
+    with _staged(_with_part(spark.table(table).drop(PART_COLUMN), key, range_size, parts), table) as staged:
+        rows = staged.select(*spark.table(table).columns)
+        rows.hint("rebalance", F.col(PART_COLUMN)).write.option("partitionOverwriteMode", "static").mode("overwrite").insertInto(table)
+    _set_properties(spark, table, **{PARTS: str(parts)})
+
+
+def _overwrite_parts(rows: DataFrame, table: str, part: str) -> None:
+    """Replace the partitions that the rows hold. Dealt by partition, so that each is a few files of a useful size."""
+    dealt = rows.hint("rebalance", F.col(part))
+    dealt.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
 
 
 def _known_columns(batch: DataFrame, target: DataFrame) -> list[str]:
@@ -104,29 +202,30 @@ def _known_columns(batch: DataFrame, target: DataFrame) -> list[str]:
     return target.columns
 
 
-def _touched(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Target rows in the key ranges of the batch; a list of ranges prunes the scan when it is short."""
-    ranges = batch.select(RANGE_COLUMN).distinct()
-    found = ranges.limit(MAX_RANGES + 1).collect()
-    if len(found) > MAX_RANGES:
-        return target.join(ranges, RANGE_COLUMN, "left_semi")
-    return target.where(F.col(RANGE_COLUMN).isin([r[0] for r in found]))
+def _whole_number(rows: DataFrame, key: str) -> bool:
+    return isinstance(rows.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def _with_range(rows: DataFrame, key: str, range_size: int) -> DataFrame:
-    if isinstance(rows.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        part = F.expr(f"`{key}` DIV {int(range_size)}")
-    else:
-        part = F.pmod(F.xxhash64(F.col(key)), F.lit(HASH_PARTS))
-    return rows.withColumn(RANGE_COLUMN, part)
+def _with_part(rows: DataFrame, key: str, range_size: int, parts: int) -> DataFrame:
+    """Rows with the part that their key is in; rows without a key are a part of their own."""
+    number: Column = F.expr(f"`{key}` DIV {int(range_size)}") if _whole_number(rows, key) else F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(parts))
+    named = F.when(F.col(f"`{key}`").isNotNull(), F.concat(F.lit("p"), number.cast("string")))
+    return rows.withColumn(PART_COLUMN, F.coalesce(named, F.lit(NO_KEY)))
 
 
-def _merge(rows: DataFrame, table: str, key: str) -> None:
-    rows.createOrReplaceTempView("_upsert_batch")
-    rows.sparkSession.sql(
-        f"MERGE INTO {table} t USING _upsert_batch s ON t.{key} = s.{key} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+def _delete_and_insert(rows: DataFrame, table: str, key: str) -> Changed:
+    """The same on a format that can delete rows."""
+    spark, view = rows.sparkSession, f"upsert_batch_{uuid.uuid4().hex}"
+    columns = _known_columns(rows, spark.table(table))
+    deleted = spark.table(table).join(rows.select(key).distinct(), key, "left_semi").count()
+    rows.createOrReplaceTempView(view)
+    try:
+        spark.sql(f"DELETE FROM {table} WHERE `{key}` IN (SELECT `{key}` FROM {view} WHERE `{key}` IS NOT NULL)")
+        counted, seen = _counted(rows.select(*columns))
+        counted.write.mode("append").insertInto(table)
+    finally:
+        spark.catalog.dropTempView(view)
+    return Changed(deleted, seen.get["n"])
 
 
 def publish_view(model: DataFrame, name: str) -> str:
@@ -159,13 +258,36 @@ def publish_table(model: DataFrame, name: str, target: str = "prod", layer: str
     return full
 
 
+def publish_version(model: DataFrame, name: str, version: str, target: str = "prod", layer: str | None = "gold",
+                    sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> str:
+    """A model written as a version of its published name, for tests to read before :func:`switch_view`."""
+    full = publish_table(model, f"{name}__{version}", target, layer, sort_by, partition_by)
+    record_version(model.sparkSession, full, f"{layer_database(target, layer)}.{name}")
+    return full
+
+
 def switch_view(spark: SparkSession, database: str, name: str, table: str) -> str:
-    """Let the published name point to a newly written table, then drop the tables it replaces."""
+    """Let the published name point to a newly written version.
+
+    Only tables recorded as versions of this name that were replaced before the last switch are dropped: readers of the
+    version that is replaced now can finish, and versions that another run has written but not published are left alone.
+    """
     view = f"{database}.{name}"
     if spark.catalog.tableExists(view) and spark.catalog.getTable(view).tableType != "VIEW":
         spark.sql(f"DROP TABLE {view}")  # a table of that name from before views were switched
+    versions = {}
+    for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect():
+        full = f"{database}.{row['tableName']}"
+        kept = _properties(spark, full)
+        if kept.get(VERSION_OF) == view.lower() and full.lower() != table.lower():
+            versions[full] = kept.get(STATE)
+    record_version(spark, table, view)
     spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
-    for old in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect():
-        if f"{database}.{old['tableName']}" != table:
-            spark.sql(f"DROP TABLE {database}.{old['tableName']}")
+    now = datetime.now(timezone.utc).isoformat()
+    _set_properties(spark, table, **{STATE: "published", SINCE: now})
+    for old, state in versions.items():
+        if state == "replaced":
+            spark.sql(f"DROP TABLE IF EXISTS {old}")
+        elif state == "published":
+            _set_properties(spark, old, **{STATE: "replaced", SINCE: now})
     return view

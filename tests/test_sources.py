@@ -142,7 +142,7 @@ def test_full_refresh(spark):
     assert table_rows(spark, "w1.t", "id") == [(2,)]
     assert W.full_refresh(df.where("false"), "w1.t", keep_on_empty=False)
     assert table_rows(spark, "w1.t", "id") == []
-    assert spark.sql("SHOW TABLES IN w1").count() == 2  # the view and the table behind it
+    assert spark.sql("SHOW TABLES IN w1").count() == 3  # the view, the table behind it and the one before
     df.write.saveAsTable("w1.plain")
     assert W.full_refresh(df.where("id = 1"), "w1.plain")
     assert table_rows(spark, "w1.plain", "id") == [(1,)]
@@ -162,12 +162,12 @@ def test_columns_the_table_lacks_are_an_error(spark):
 def test_upsert_rewrites_only_touched_ranges(spark):
     rows = [(i, f"v{i}") for i in range(100)]
     W.upsert(spark.createDataFrame(rows, "id bigint, v string"), "w2.t", "id", range_size=10)
-    before = {r.f for r in spark.table("w2.t").select(F.input_file_name().alias("f")).where("_key_range <> 2").collect()}
+    before = {r.f for r in spark.table("w2.t").select(F.input_file_name().alias("f")).where("_key_part <> 'p2'").collect()}
     batch = spark.createDataFrame([(25, "new"), (26, "new")], "id bigint, v string")
     assert W.upsert(batch, "w2.t", "id", range_size=10)
     expected = sorted((i, "new" if i in (25, 26) else f"v{i}") for i in range(100))
     assert table_rows(spark, "w2.t", "id", "v") == expected
-    after = {r.f for r in spark.table("w2.t").select(F.input_file_name().alias("f")).where("_key_range <> 2").collect()}
+    after = {r.f for r in spark.table("w2.t").select(F.input_file_name().alias("f")).where("_key_part <> 'p2'").collect()}
     assert before == after
     assert W.upsert(batch, "w2.t", "id", range_size=10)
     assert table_rows(spark, "w2.t", "id", "v") == expected
@@ -194,10 +194,13 @@ def test_ingestion_runs(spark, tmp_path):
         sources = {"kinds": kinds, "people": people(*rows)}
         return G.ingest_spec(spec, lambda e: sources[e.table], dt.date(2024, 3, day))
 
-    first = run(1, [(1, "a", 1), (2, "b", 2), (3, "late", 9)])
-    assert (first["kinds"], first["people"]) == (True, True) and isinstance(first["broken"], KeyError)
-    assert run(3, [(2, "B", 3), (4, "d", 4)])["people"]
-    assert run(20, [(2, "never", 3)])["people"] is False
+    with pytest.raises(G.IngestionFailed, match="broken") as first:
+        run(1, [(1, "a", 1), (2, "b", 2), (3, "late", 9)])
+    assert isinstance(first.value.failed["broken"], KeyError)
+    assert (first.value.done["kinds"], first.value.done["people"]) == (W.Changed(0, 1), W.Changed(0, 2))
+    spec = S.parse_spec({**config, "extractions": {n: e for n, e in config["extractions"].items() if n != "broken"}})
+    assert run(3, [(2, "B", 3), (4, "d", 4)])["people"] == W.Changed(1, 2)
+    assert not run(20, [(2, "never", 3)])["people"]
     assert table_rows(spark, "w5.people", "id", "n") == [(1, "a"), (2, "B"), (4, "d")]
     assert "email" not in spark.table("w5.people").columns
     assert table_rows(spark, "w5.kinds", "id", "tags") == [(1, '["x"]')]
@@ -218,6 +221,63 @@ def test_replace_days(spark):
     assert not W.replace_days(spark.createDataFrame([], schema), "w3.v")
 
 
+def test_rows_without_key_or_day_stay(spark):
+    first = spark.createDataFrame([(1, "a"), (None, "old"), (2, "b")], "id bigint, v string")
+    assert W.upsert(first, "w7.u", "id") == W.Changed(0, 3)
+    assert W.upsert(spark.createDataFrame([(1, "A"), (None, "new")], "id bigint, v string"), "w7.u", "id") == W.Changed(1, 2)
+    assert sorted(r.v for r in spark.table("w7.u").collect()) == ["A", "b", "new", "old"]
+    text = first.selectExpr("cast(id as string) as id", "v")
+    assert W.upsert(text, "w7.t", "id") == W.Changed(0, 3)
+    assert W.upsert(text.where("v <> 'b'"), "w7.t", "id") == W.Changed(1, 2)
+    assert sorted(r.v for r in spark.table("w7.t").collect()) == ["a", "b", "old", "old"]
+    days = spark.createDataFrame([(1, "2024-01-01"), (2, None)], "i int, day string")
+    assert W.replace_days(days, "w7.d", "day") == W.Changed(0, 2)
+    assert W.replace_days(spark.createDataFrame([(3, None), (4, "2024-01-01")], "i int, day string"), "w7.d", "day") == W.Changed(1, 2)
+    assert table_rows(spark, "w7.d", "i") == [(2,), (3,), (4,)]
+    assert not [r for r in spark.sql("SHOW TABLES IN w7").collect() if "staged" in r.tableName]
+
+
+def test_repeated_keys_of_a_batch_are_all_added(spark):
+    W.upsert(spark.createDataFrame([(1, "a")], "id int, v string"), "w8.u", "id")
+    assert W.upsert(spark.createDataFrame([(1, "b"), (1, "c")], "id int, v string"), "w8.u", "id") == W.Changed(1, 2)
+    assert table_rows(spark, "w8.u", "v") == [("b",), ("c",)]
+
+
+def test_hash_parts_grow_with_the_table(spark):
+    def rows(*span):
+        return spark.range(*span).select(F.concat(F.lit("k"), "id").alias("id"), F.col("id").alias("v"))
+
+    W.upsert(rows(0, 40), "w9.u", "id", range_size=10)
+    assert W._properties(spark, "w9.u")[W.PARTS] == "4"
+    assert W.upsert(rows(20, 100), "w9.u", "id") == W.Changed(20, 80)
+    assert W._properties(spark, "w9.u")[W.PARTS] == "10" and W._properties(spark, "w9.u")[W.ROWS] == "100"
+    assert W.upsert(rows(0, 10), "w9.u", "id") == W.Changed(10, 10)
+    assert table_rows(spark, "w9.u", "v") == [(i,) for i in range(100)]
+
+
+def test_files_of_a_part_are_few(spark):
+    batch = spark.range(0, 2000, 1, 8).select(((F.col("id") * 7919) % 2000).alias("id"), F.lit("v").alias("v"))
+    W.upsert(batch, "w10.u", "id", range_size=100)
+    W.upsert(batch.where("id < 1000"), "w10.u", "id")
+    files = spark.table("w10.u").select(W.PART_COLUMN, F.input_file_name().alias("f")).distinct().groupBy(W.PART_COLUMN).count()
+    assert files.count() == 20 and files.agg(F.max("count")).first()[0] <= 2
+
+
+def test_versions_of_other_names_and_runs_are_left_alone(spark):
+    df = spark.range(3)
+    W.full_refresh(df, "w11.users")
+    df.write.saveAsTable("w11.users__notes")
+    W.full_refresh(df, "w11.users__more")
+    pending = W.new_version(df, "w11.users")
+    for n in range(4):
+        assert W.full_refresh(spark.range(n + 1), "w11.users").rows_written == n + 1
+    names = {r.tableName for r in spark.sql("SHOW TABLES IN w11").collect()}
+    assert {"users", "users__notes", "users__more", pending.split(".")[1]} <= names
+    assert len([n for n in names if n.startswith("users__") and W._properties(spark, f"w11.{n}").get(W.VERSION_OF) == "w11.users"]) == 3
+    assert spark.table("w11.users").count() == 4 and spark.table("w11.users__more").count() == 3
+    assert W.full_refresh(df, "w11.users") == W.Changed(4, 3)
+
+
 def test_publish(spark):
     df = spark.range(20).select("id", F.lit("2024-01").alias("month"))
     name = W.publish_table(df, "m", "dev", "gold", ["id"], ["month"])
