@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from layerwright.session import materialize
@@ -45,6 +47,16 @@ def unpacked(df: DataFrame, names: list[str], **columns: Column) -> DataFrame:
     return df.select(*kept, *extra)
 
 
+def finished(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are written.
+
+    It does so when the driver collects the objects that stood for them, which on a driver with room to spare may take longer
+    than the job, while every step's files wait on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, total: str, label: str) -> DataFrame:
     """``df`` with the running total of ``value`` within ``keys`` in the given order, the row itself included.
 
