@@ -1,43 +1,16 @@
-"""Joins that hold when the small side grows and when one key owns a large share of the rows."""
+"""Joins on equal keys. Building one runs nothing: Spark broadcasts a side whose size it knows to be under its
+threshold, from the files or from what a stage has written, and adaptive execution splits the tasks of hot keys. Where
+that can't, for hot rows on the optional side, the join is put so that it can, or keys are cut on request.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Defaults of the ``broadcast_bytes`` and ``hot_rows`` arguments below.
-BROADCAST_BYTES = 16 * 1024 * 1024
-HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-NULL_PIECES = 4_096
-
-
-def estimated_bytes(df: DataFrame, rows_kept: bool = False) -> int | None:
-    """Catalyst's size estimate, or None where it is no bound: for rows unfolded from arrays, whose
-    number it does not know, and in a session without a local plan (a remote one).
-
-    ``rows_kept`` states that the joins inside ``df`` add no rows (lookups of unique keys). Then
-    the sum of the inputs is a bound too, much closer than the product that the estimate takes.
-    """
-    if not hasattr(df, "_jdf"):
-        return None
-    plan = df._jdf.queryExecution().optimizedPlan()
-    if "Generate " in plan.toString():
-        return None
-    size = int(plan.stats().sizeInBytes())
-    if rows_kept:
-        leaves = plan.collectLeaves()
-        size = min(size, sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())))
-    return size
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None, rows_kept: bool = False) -> bool:
-    size = estimated_bytes(df, rows_kept)
-    return size is not None and size <= (BROADCAST_BYTES if limit is None else limit)
-
 
 def _hashable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.StructType):
@@ -56,104 +29,47 @@ def row_piece(df: DataFrame, pieces):
     return F.pmod(F.xxhash64(*cols, F.spark_partition_id()), pieces)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int | None = None, top: int = HOT_KEYS) -> list[Row]:
-    """Keys with at least ``hot_rows`` rows, each with the number of pieces to cut it into.
-
-    Counts are combined before the shuffle and at most ``top`` rows come back, the largest first. A key
-    left out loses only its cutting, no rows.
-    """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") >= hot_rows)
-    pieces = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("long").alias("_pieces")
-    return counted.orderBy(F.desc("_rows"), *on).limit(top).select(*on, pieces).collect()
-
-
-def _as_table(df: DataFrame, on: Sequence[str], rows: list[Row]) -> DataFrame:
-    schema = df.select(*on).schema.add("_pieces", "long")
-    return F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in rows], schema))
-
-
-def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                broadcast_bytes: int | None = None, hot_rows: int | None = None,
-                rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salt: int = 1) -> DataFrame:
     """Equi-join of a large left side, for ``inner``, ``left``, ``left_semi`` and ``left_anti``.
 
-    A right side within the size limit is broadcast. So is a small left side, to cut a large right one
-    down to its keys where it lies. With two large sides the keys of the left side are counted
-    (in ``counted`` where the left side is a longer plan over it). Hot keys are cut into pieces, and
-    only their right rows are copied; rows without a key, which match nothing, spread over many
-    tasks. The result is the same in every way.
+    With ``salt`` every key of the left side is cut into so many pieces and each right row copied to all of them: for
+    left keys so hot that even their split tasks are too long, and a right side small enough to be copied. Any salt gives the same rows.
     """
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     if how in ("left_semi", "left_anti"):
         right = right.select(*on)
-    if fits_broadcast(right, broadcast_bytes, rows_kept):
-        return left.join(F.broadcast(right), on, how)
-    if fits_broadcast(left, broadcast_bytes):
-        return _of_small_left(left, right, on, how)
+    if salt <= 1:
+        return left.join(right, on, how)
     if how in ("left_semi", "left_anti"):
         right = right.distinct()
-    hot = hot_keys(left if counted is None else counted, on, hot_rows)
-    if not hot:
-        return left.join(right, on, how)
-    pieces = _as_table(left, on, [r for r in hot if None not in tuple(r)])
-    no_key = F.lit(False)
-    for name in on:
-        no_key = no_key | F.col(f"`{name}`").isNull()
-    piece = (
-        F.when(no_key, row_piece(left, F.lit(NULL_PIECES)))
-        .when(F.col("_pieces").isNotNull(), row_piece(left, F.col("_pieces")))
-        .otherwise(F.lit(0).cast("long"))
-    )
-    cut = left.join(pieces, on, "left").withColumn("_piece", piece).drop("_pieces")
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_pieces"), F.lit(1)) - 1))
-    copied = right.join(pieces, on, "left").withColumn("_piece", copies).drop("_pieces")
+    cut = left.withColumn("_piece", row_piece(left, F.lit(salt)))
+    copied = right.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))))
     return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
-def _of_small_left(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
-    """The join where only the left side is small: it goes to the right rows, which stay in place."""
-    if how == "inner":
-        return F.broadcast(left).join(right, on, "inner")
-    wanted = F.broadcast(left.select(*on).distinct())
-    # No more keys than the small side has.
-    found = F.broadcast(right.select(*on).join(wanted, on, "left_semi").distinct())
-    if how in ("left_semi", "left_anti"):
-        return left.join(found, on, how)
-    matched = F.broadcast(left).join(right, on, "inner")
-    return matched.unionByName(left.join(found, on, "left_anti"), allowMissingColumns=True).select(*matched.columns)
-
-
-def lookup_many(left: DataFrame, right: DataFrame, on: Sequence[str], broadcast_bytes: int | None = None,
-                hot_rows: int | None = None, rows_kept: bool = False, counted: DataFrame | None = None) -> DataFrame:
+def lookup_many(left: DataFrame, right: DataFrame, on: Sequence[str], keys: DataFrame | None = None) -> DataFrame:
     """Left join of a table with one row per key to a table with many rows per key.
 
-    A key that holds a large share of the right rows surely has a match (``counted`` must not hold
-    keys that the right side lacks), so its rows need no outer join: they stay where they are and meet
-    the few left rows of hot keys, which are broadcast.
+    An outer join can't split the right rows of a hot key, an inner join can. So rows with a match are joined inner, and those
+    without are added. ``keys`` may name a cheaper frame with the same keys as ``right``.
     """
     on = list(on)
-    if fits_broadcast(right, broadcast_bytes, rows_kept):
-        return left.join(F.broadcast(right), on, "left")
-    hot = [r for r in hot_keys(right if counted is None else counted, on, hot_rows) if None not in tuple(r)]
-    if not hot:
-        return left.join(right, on, "left")
-    keys = _as_table(left, on, hot).drop("_pieces")
-    others = left.join(keys, on, "left_anti").join(right.join(keys, on, "left_anti"), on, "left")
-    heavy = right.join(F.broadcast(left.join(keys, on, "left_semi")), on, "inner")
-    return others.unionByName(heavy.select(*others.columns))
-
-
-def existing(df: DataFrame, other: DataFrame, on: Sequence[str], **options) -> DataFrame:
+    found = right.join(left, on, "inner")
+    alone = missing(left, right if keys is None else keys, on)
+    columns = [*left.columns, *[c for c in right.columns if c not in on]]
+    return alone.unionByName(found, allowMissingColumns=True).select(*[c for c in on], *[c for c in columns if c not in on])
+
+
+def existing(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is found in the other table."""
-    return spread_join(df, other, on, "left_semi", **options)
+    return spread_join(df, other, on, "left_semi")
 
 
-def missing(df: DataFrame, other: DataFrame, on: Sequence[str], **options) -> DataFrame:
+def missing(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is not found in the other table; rows without a key stay."""
-    return spread_join(df, other, on, "left_anti", **options)
+    return spread_join(df, other, on, "left_anti")
 
 
 def split_known(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +78,7 @@ def split_known(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame,
 
 
 def lookup_dimension(facts: DataFrame, dimension: DataFrame, keys: dict[str, str], take: dict[str, str],
-                     how: str = "left", **options) -> DataFrame:
+                     how: str = "left") -> DataFrame:
     """Add columns of a dimension to a fact table.
 
     ``keys`` maps fact columns to dimension columns, ``take`` dimension columns to output names.
@@ -170,4 +86,4 @@ def lookup_dimension(facts: DataFrame, dimension: DataFrame, keys: dict[str, str
     dim = dimension.select(
         *[F.col(d).alias(f) for f, d in keys.items()], *[F.col(d).alias(name) for d, name in take.items()]
     )
-    return spread_join(facts, dim, list(keys), how, **options)
+    return spread_join(facts, dim, list(keys), how)

@@ -23,7 +23,7 @@ def unique(model: DataFrame, *columns: str) -> DataFrame:
 
 def completeness(model: DataFrame, column: str, origin: DataFrame, origin_column: str,
                  model_filter: Column | None = None, origin_filter: Column | None = None,
-                 parity: bool = False, **options) -> DataFrame:
+                 parity: bool = False) -> DataFrame:
     """Origin keys (one row per origin row) that are not found in the model.
 
     With ``parity`` a model filter acts on the joined rows, where an absent match fails it as well:
@@ -34,15 +34,15 @@ def completeness(model: DataFrame, column: str, origin: DataFrame, origin_column
     if model_filter is not None and parity:
         return keys.where(F.lit(False))
     found = model if model_filter is None else model.where(model_filter)
-    return missing(keys, found.select(F.col(column).alias(origin_column)), [origin_column], **options)
+    return missing(keys, found.select(F.col(column).alias(origin_column)), [origin_column])
 
 
 def referential(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                child_filter: Column | None = None, parent_filter: Column | None = None, **options) -> DataFrame:
+                child_filter: Column | None = None, parent_filter: Column | None = None) -> DataFrame:
     """Whole child rows whose reference is not among the parents; a missing reference counts."""
     rows = child if child_filter is None else child.where(child_filter)
     keys = parent if parent_filter is None else parent.where(parent_filter)
-    return missing(rows, keys.select(F.col(parent_column).alias(column)), [column], **options)
+    return missing(rows, keys.select(F.col(parent_column).alias(column)), [column])
 
 
 Test = Callable[[], DataFrame]

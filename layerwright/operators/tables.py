@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from layerwright.operators.joins import existing, missing
 
-MAX_OFFSET = 1_000_000
-
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """All columns but the named ones, in order; case is ignored, unknown names too."""
@@ -18,10 +16,10 @@ def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in out])
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str], **options) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Target rows whose key is not in the batch, plus the whole batch."""
     on = [key] if isinstance(key, str) else list(key)
-    return missing(target, batch, on, **options).unionByName(batch, allowMissingColumns=True)
+    return missing(target, batch, on).unionByName(batch, allowMissingColumns=True)
 
 
 def replace_days(target: DataFrame, batch: DataFrame, day: str) -> DataFrame:
@@ -47,9 +45,7 @@ def tagged(df: DataFrame, tag: str, key: str, tag_column: str, id_column: str) -
 
 
 def page(df: DataFrame, order: Sequence[Column | str], offset: int, limit: int) -> DataFrame:
-    """One page of an ordered result. For far pages use :func:`page_after`."""
-    if offset + limit > MAX_OFFSET:
-        raise ValueError("offset paging keeps offset + limit rows per task: use page_after")
+    """One page of an ordered result. A far page costs a sort of all rows before it; :func:`page_after` does not."""
     return df.orderBy(*order).offset(offset).limit(limit)
 
 

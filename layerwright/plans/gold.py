@@ -67,7 +67,7 @@ def proposal_metrics(proposals: DataFrame, processes: DataFrame, visits: DataFra
     entities = lookup_dimension(
         rows.select("proposal_id", "process_id", "created_at", "proposal_title", "proposal_status",
                     "proposal_category"),
-        processes, {"process_id": "process_id"}, {"process_title": "process_title"}, "inner", rows_kept=True,
+        processes, {"process_id": "process_id"}, {"process_title": "process_title"}, "inner",
     )
     by_vote, by_comment = daily_votes(votes, only), daily_comments(comments, only)
     by_visit = daily_visits(visits, parity).drop("bounce_rate")

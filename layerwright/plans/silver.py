@@ -57,7 +57,6 @@ def participatory_processes(bronze: Bronze, organization: int = 1) -> DataFrame:
     )
     out = lookup_dimension(
         out, areas, {"decidim_area_id": "id", **org}, {"name": "area_name", "area_type_id": "area_type_id"},
-        counted=processes,
     )
     out = lookup_dimension(out, area_types, {"area_type_id": "id", **org}, {"name": "area_type_name"})
     return out.select(
@@ -88,7 +87,7 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
     components = latest_per_key(source(bronze, "decidim_components"), ["id"])
     authors = source(bronze, "decidim_coauthorships").where(F.col("coauthorable_type") == PROPOSAL_TYPE)
     categorized = source(bronze, "decidim_categorizations").where(F.col("categorizable_type") == PROPOSAL_TYPE)
-    # Hot proposals are counted in the raw rows, which name the same proposals.
+    # The raw rows name the same proposals and cost less to look in.
     author_keys = authors.select(F.col("coauthorable_id").alias("id"))
     if parity:
         authors = latest_per_key(authors, ["decidim_author_id", "coauthorable_id"])
@@ -108,7 +107,6 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
     out = lookup_dimension(
         out, components, {"decidim_component_id": "id"},
         {"participatory_space_id": "process_id", "participatory_space_type": "participatory_space_type"},
-        counted=narrow,
     )
     authors = authors.select(
         F.col("coauthorable_id").alias("id"), F.col("decidim_author_id").alias("user_id"),
@@ -117,8 +115,8 @@ def proposals(bronze: Bronze, organization: int = 1, parity: bool = True) -> Dat
     categories = named.select(
         F.col("categorizable_id").alias("id"), localized(F.col("category_name")).alias("proposal_category")
     )
-    out = lookup_many(out, authors, ["id"], counted=author_keys)
-    out = spread_join(out, categories, ["id"], "left", rows_kept=True, counted=author_keys)
+    out = lookup_many(out, authors, ["id"], author_keys)
+    out = spread_join(out, categories, ["id"])
     return out.select(
         F.col("id").alias("proposal_id"), "process_id", "participatory_space_type", "user_id", "author_type",
         "proposal_status", "created_at", "proposal_title", "proposal_text",
@@ -151,9 +149,7 @@ def votes(bronze: Bronze) -> DataFrame:
     on_proposals = latest_per_key(source(bronze, "decidim_proposals_proposal_votes"), ["id"])
     comment_votes = source(bronze, "decidim_comments_comment_votes")
     comment_ids = _process_comments(bronze).select(F.col("id").alias("decidim_comment_id"))
-    on_comments = existing(
-        latest_per_key(comment_votes, ["id"]), comment_ids, ["decidim_comment_id"], counted=comment_votes
-    )
+    on_comments = existing(latest_per_key(comment_votes, ["id"]), comment_ids, ["decidim_comment_id"])
 
     def shaped(rows: DataFrame, tag: str, target: str) -> DataFrame:
         return tagged(rows, tag, "id", "component_type", "vote_id").select(
@@ -233,6 +229,5 @@ def visits(bronze: Bronze, processes: DataFrame, parity: bool = True) -> DataFra
         *[F.col(f"action.{name}").alias(out) for name, out in ACTION_COLUMNS.items()],
     )
     slugs = processes.select(F.col("process_slug").alias("participatory_process_slug"), "process_id")
-    # The process model only looks up unique keys, so its inputs bound its size.
-    joined = spread_join(rows, slugs, ["participatory_process_slug"], "left", rows_kept=True)
+    joined = spread_join(rows, slugs, ["participatory_process_slug"])
     return joined.select("process_id", *rows.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from layerwright.functions.dates import pg_timestamp
 from layerwright.operators.joins import spread_join
+from layerwright.session import materialize
 
 LANDING_DDL = "poll_id bigint, seq bigint, send_time timestamp, data_start bigint, wal_end bigint, payload binary"
 
@@ -255,6 +256,7 @@ def cut_polls(messages: DataFrame, read_started_at) -> DataFrame:
     late = messages.where(
         (message_type(payload) == "B") & (pg_timestamp(big_endian(payload, 10, 8)).cast("timestamp") >= started)
     )
-    ends = late.groupBy("poll_id").agg(F.min("seq").alias("_end"))
+    # Written first: one row per poll, which Spark takes for as large as the log as long as it is only planned.
+    ends = materialize(late.groupBy("poll_id").agg(F.min("seq").alias("_end")), "poll-ends")
     kept = spread_join(messages, ends, ["poll_id"], "left")
     return kept.where(F.col("_end").isNull() | (F.col("seq") < F.col("_end"))).drop("_end")

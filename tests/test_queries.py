@@ -7,7 +7,6 @@ import pytest
 import __spark_entry__ as entry_module
 import oracle
 from layerwright.acceptance import catalog
-from layerwright.operators import joins
 
 
 @pytest.fixture(scope="module")
@@ -31,11 +30,20 @@ def test_query_equals_sql(spark, sf_dir, con, name):
     "q_slug_join", "q_upsert_by_key", "q_replace_by_day", "q_dq_completeness", "q_dq_referential", "q_dq_self_reference",
     "q_split_known", "q_config_merge", "q_comment_threads", "q_cdc_poll_cut",
 ])
-def test_large_side_ways_give_the_same(spark, sf_dir, con, name, monkeypatch):
-    """Nothing fits a broadcast and many keys are hot: every join takes the way meant for large data."""
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(joins, "HOT_ROWS", 3)
-    assert oracle.differences(catalog.QUERIES[name](spark, sf_dir), con, catalog.SQL[name]) == []
+def test_large_side_ways_give_the_same(spark, sf_dir, con, name):
+    """Nothing is broadcast and every task of more than a few bytes is split: the way taken by large data."""
+    large = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    for key, value in large.items():
+        spark.conf.set(key, value)
+    try:
+        assert oracle.differences(catalog.QUERIES[name](spark, sf_dir), con, catalog.SQL[name]) == []
+    finally:
+        for key in large:
+            spark.conf.unset(key)
 
 
 def test_entry_contract(spark):

@@ -37,59 +37,29 @@ def skewed(rows=3000, seed=7):
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-@pytest.mark.parametrize("ways", [{}, {"broadcast_bytes": 0, "hot_rows": 100}, {"broadcast_bytes": 0, "hot_rows": 10**9}])
-def test_spread_join_equals_plain_join(spark, how, ways):
+@pytest.mark.parametrize("salt", [1, 7])
+def test_spread_join_equals_plain_join(spark, how, salt):
     left = spark.createDataFrame(skewed(), "k int, v int").repartition(6)
     right = spark.createDataFrame([(k, k * 10) for k in range(0, 40)] + [(1, 11), (None, 5)], "k int, w int")
     expected = left.join(right, ["k"], how)
-    got = J.spread_join(left, right, ["k"], how, **ways)
+    got = J.spread_join(left, right, ["k"], how, salt)
     assert got.columns == expected.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
-def test_hot_key_is_cut_into_pieces(spark):
-    left = spark.createDataFrame(skewed(), "k int, v int").repartition(6)
-    hot = J.hot_keys(left, ["k"], 100)
-    assert {r.k: r._pieces for r in hot} == {1: 10, None: 10}
-    spread = left.where("k = 1").withColumn("p", J.row_piece(left, F.lit(10)))
-    assert spread.groupBy("p").count().agg(F.max("count")).first()[0] < 300
-
-
 def test_copies_of_one_row_spread_too(spark):
     copies = spark.range(0, 4000, 1, 40).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
     pieces = copies.withColumn("p", J.row_piece(copies, F.lit(8))).groupBy("p").count()
     assert pieces.count() >= 6
 
 
-@pytest.mark.parametrize("ways", [{}, {"broadcast_bytes": 0, "hot_rows": 50}, {"broadcast_bytes": 0, "hot_rows": 10**9}])
-def test_lookup_many_equals_left_join(spark, ways):
-    left = spark.createDataFrame([(k, f"n{k}") for k in range(100)], "k int, n string")
+def test_lookup_many_equals_left_join(spark):
+    left = spark.createDataFrame([(k, f"n{k}") for k in range(100)] + [(None, "none")], "k int, n string")
     right = spark.createDataFrame(skewed(), "k int, v int")
-    expected = sorted(map(str, left.join(right, ["k"], "left").collect()))
-    assert sorted(map(str, J.lookup_many(left, right, ["k"], **ways).collect())) == expected
-
-
-def test_size_check(spark, sf_dir):
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    assert J.fits_broadcast(nation) and not J.fits_broadcast(nation, 10)
-    product = nation.crossJoin(nation.toDF("a", "b", "c")).join(nation.toDF("d", "e", "f"), F.col("a") == F.col("d"))
-    assert J.estimated_bytes(product, rows_kept=True) < J.estimated_bytes(product)
-    unfolded = nation.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1000))))
-    assert J.estimated_bytes(unfolded) is None and not J.fits_broadcast(unfolded)
-
-
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_small_left_of_large_right(spark, sf_dir, how):
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet").withColumnRenamed("n_nationkey", "k")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select((F.col("o_custkey") % 40 * 2).alias("k"), "o_orderkey")
-    small = J.estimated_bytes(nation)
-    assert small < J.estimated_bytes(orders)
-    got = J.spread_join(nation, orders, ["k"], how, broadcast_bytes=small)
-    expected = nation.join(orders, "k", how)
+    expected = left.join(right, ["k"], "left")
+    got = J.lookup_many(left, right, ["k"])
     assert got.columns == expected.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan
 
 
 def test_split_known(spark):
@@ -122,8 +92,7 @@ def test_page_limits(spark):
     assert [r.id for r in T.page(df, ["id"], 3, 2).collect()] == [3, 4]
     assert [r.id for r in T.page_after(df, "id", 7, 5).collect()] == [8, 9]
     assert T.page_after(df, "id", None, 3).count() == 3
-    with pytest.raises(ValueError):
-        T.page(df, ["id"], T.MAX_OFFSET, 1)
+    assert T.page(df, ["id"], 10**8, 1).count() == 0
 
 
 def test_data_tests(spark):
