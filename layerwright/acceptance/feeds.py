@@ -155,12 +155,16 @@ def q_comment_threads(spark, sf):
     SELECT id AS comment_id, CASE WHEN role = 'user' THEN '🔄 🔄 🔄 Comentario atualizado: '
                                   ELSE '💬 Novo comentario: ' END
            || strftime(CASE WHEN role = 'user' THEN created + INTERVAL 1 HOUR ELSE created END, '%d/%m/%Y %H:%M')
-           || chr(10) || chr(10) || '<b>Autor</b>' || chr(10) || role
-           || chr(10) || chr(10) || '<b>Comentario</b>' || chr(10) || text
+           || chr(10) || chr(10) || '<b>Autor</b>' || chr(10) || CASE WHEN length(text) % 7 = 3 THEN '-' ELSE role END
+           || chr(10) || chr(10) || '<b>Comentario</b>' || chr(10) || CASE WHEN length(text) % 5 = 1 THEN '-' ELSE text END
            || chr(10) || chr(10) || '<a href="{SITE}/' || root || '">Acesse aqui</a>' AS message
     FROM t WHERE CASE WHEN role = 'user' THEN created + INTERVAL 1 HOUR ELSE created END > TIMESTAMP '2024-01-02'""")
 def q_comment_feed(spark, sf):
-    rows = feeds.comment_rows(_turns(spark, sf), SITE, lower=F.lit("2024-01-02").cast("timestamp"))
+    size = F.length("body")
+    turns = _turns(spark, sf).withColumns({  # comments without an author or a body
+        "author_name": F.when(size % 7 != 3, F.col("author_name")), "body": F.when(size % 5 != 1, F.col("body")),
+    })
+    rows = feeds.comment_rows(turns, SITE, lower=F.lit("2024-01-02").cast("timestamp"))
     return feeds.comment_message(rows).select("comment_id", "message")
 
 
@@ -189,7 +193,7 @@ def _spaces(spark, sf):
 
 _CONFIGS = """
     SELECT CAST(s_suppkey AS INT) AS component_id, 'Proposals' AS __typename,
-           'PLANO_N__' || s_suppkey || '_PARTICIPACAO_' || s_suppkey AS process_id,
+           'PLANO_No_' || s_suppkey || '_PARTICIPACAO_' || s_suppkey AS process_id,
            CASE WHEN s_acctbal > 2000 THEN DATE '2023-05-01' ELSE DATE '2024-01-31' END AS start_date,
            CASE WHEN s_acctbal > 8000 THEN DATE '2025-05-01' END AS end_date,
            CASE WHEN s_acctbal BETWEEN 0 AND 5000 THEN CAST('-100' || s_suppkey AS BIGINT) END AS telegram_group_id

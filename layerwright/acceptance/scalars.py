@@ -9,7 +9,7 @@ from layerwright.functions.dates import day_or_default, fixed_days, latest, leni
 from layerwright.functions.text import (
     blank_to_dash, blank_where, component_link, drop_hashtags, first_filled, first_matching_key, html_to_text,
     identifier, invalid_json, is_digits, last_segment, last_segment_lower_first, last_word_of_camel, link_to,
-    localized, plural, snake_case, title_from_identifier,
+    localized, plural, smallest_match, snake_case, title_from_identifier,
 )
 from layerwright.operators.nested import (
     flatten_structs, nested_to_json, unnest_json_array, value_of_key,
@@ -68,12 +68,35 @@ def q_title_case(spark, sf):
     return table(spark, sf, "part").select("p_partkey", title_from_identifier(code).alias("title"))
 
 
+def _case(number, cases):
+    """The input of one of the cases for each row, in turn."""
+    return F.element_at(F.array(*[F.lit(given) for given, _ in cases]), (number % len(cases) + 1).cast("int"))
+
+
+#: Names and their identifiers, worked out by hand.
+ID_CASES = [
+    ("Конференция", "KONFERENTsIIa"), ("½ price 5€", "1_2_PRICE_5EUR"), ("北京 plan", "U5317U4EAC_PLAN"),
+    ("São João nº 3", "SAO_JOAO_No_3"), ("a/b - c!", "A_B___C"),
+]
+
+
 @registry.add("q_normalise_id", r"""
     SELECT doc_id, trim(regexp_replace(replace(replace(replace(strip_accents(upper(replace(replace(source || '_' || text, 'ß', 'SS'), ' ', '_'))),
-           'Æ', 'AE'), 'Œ', 'OE'), 'Ø', 'O'), '[^A-Za-z0-9_]', '_', 'g'), '_') AS process_id
+           'Æ', 'AE'), 'Œ', 'OE'), 'Ø', 'O'), '[^A-Za-z0-9_]', '_', 'g'), '_') AS process_id,
+           CASE doc_id % 5 """ + " ".join(f"WHEN {i} THEN '{answer}'" for i, (_, answer) in enumerate(ID_CASES)) + """ END AS case_id
     FROM documents""")
 def q_normalise_id(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", identifier(F.col("source"), F.col("text")).alias("process_id"))
+    return table(spark, sf, "documents").select(
+        "doc_id", identifier(F.col("source"), F.col("text")).alias("process_id"),
+        identifier(_case(F.col("doc_id"), ID_CASES)).alias("case_id"))
+
+
+#: Fragments and the text that a parser of HTML finds in them, worked out by hand.
+HTML_CASES = [
+    ('<a title="x>y">z</a>', "z"), ("a<script>if (1 < 2) b", "a"), ("&#00000000065;x", "Ax"), ("a<!-- never closed b", "a"),
+    ("1 &lt; 2 &amp;amp; 3", "1 < 2 &amp; 3"), ("&#x1F600;&#xD800;&#99999999999;", "\U0001F600\ufffd\ufffd"),
+    ("<p class='a>b' id=c>d</p>", "d"), ("x < y &Aacute;", "x < y Á"), ("<style>p{}</style><STYLE a='>'>q", ""),
+]
 
 
 @registry.add("q_html_to_text", r"""
@@ -84,10 +107,13 @@ def q_normalise_id(spark, sf):
             '(?s)<!--.*?-->', '', 'g'), '(?s)</?[A-Za-z][^>]*>|<![A-Za-z][^>]*>', '', 'g') AS t
         FROM pages)
     SELECT page_id, regexp_replace(replace(replace(replace(t, '&middot;', '·'), '&copy;', '©'), '&quot;', '"'),
-           '&amp;|&amp$', '&', 'g') AS content
+           '&amp;|&amp$', '&', 'g') AS content,
+           CASE page_id % 9 """ + " ".join(f"WHEN {i} THEN '{answer}'" for i, (_, answer) in enumerate(HTML_CASES)) + r""" END AS case_text
     FROM (SELECT page_id, regexp_replace(t, '&(am);', '&\1', 'g') AS t FROM bare)""")
 def q_html_to_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", html_to_text(F.col("html")).alias("content"))
+    return table(spark, sf, "pages").select(
+        "page_id", html_to_text(F.col("html")).alias("content"),
+        html_to_text(_case(F.col("page_id"), HTML_CASES)).alias("case_text"))
 
 
 @registry.add("q_hashtag_clean", r"""
@@ -129,9 +155,8 @@ def q_blank_default(spark, sf):
     SELECT c_nationkey, min(c_name) FILTER (regexp_matches(c_name, '#0*[0-9]*7[0-9]*$')) AS first_name
     FROM customer GROUP BY 1""")
 def q_min_match(spark, sf):
-    return table(spark, sf, "customer").groupBy("c_nationkey").agg(
-        F.min(F.when(F.col("c_name").rlike("#0*[0-9]*7[0-9]*$"), F.col("c_name"))).alias("first_name")
-    )
+    name = smallest_match(F.col("c_name"), "#0*[0-9]*7[0-9]*$")
+    return table(spark, sf, "customer").groupBy("c_nationkey").agg(name.alias("first_name"))
 
 
 @registry.add("q_first_matching_key", """

@@ -18,6 +18,10 @@ HASHTAG_PATTERN = r"(?U)gid://decide/Decidim::Hashtag/\d/\w*|\n(?=\n?\z)"
 _SPELLED_OUT = {
     "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "ß": "ss", "Þ": "Th", "þ": "th",
     "Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "ı": "i",
+    "ª": "a", "º": "o", "¼": "1/4", "½": "1/2", "¾": "3/4", "€": "EUR",
+    "А": "A", "Б": "B", "В": "V", "Г": "G", "Д": "D", "Е": "E", "Ж": "Zh", "З": "Z", "И": "I", "Й": "I", "К": "K", "Л": "L",
+    "М": "M", "Н": "N", "О": "O", "П": "P", "Р": "R", "С": "S", "Т": "T", "У": "U", "Ф": "F", "Х": "Kh", "Ц": "Ts", "Ч": "Ch",
+    "Ш": "Sh", "Щ": "Shch", "Ъ": "", "Ы": "Y", "Ь": "", "Э": "E", "Ю": "Iu", "Я": "Ia",
 }
 
 
@@ -99,34 +103,56 @@ def is_digits(col: Column) -> Column:
 
 
 def strip_tags(col: Column) -> Column:
-    """Markup removed: script and style bodies, comments and declarations, then every tag."""
-    out = F.regexp_replace(col, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->", "")
-    return F.regexp_replace(out, r"(?s)</?[A-Za-z][^>]*>|<![A-Za-z][^>]*>|<\?[^>]*>", "")
+    """Markup removed: script and style bodies, comments and declarations, then every tag.
+
+    A ``>`` inside a quoted attribute value ends no tag. A script, style or comment that is never closed takes the rest of the text.
+    """
+    attributes = r"""(?:[^>"']|"[^"]*"|'[^']*')*+"""
+    out = F.regexp_replace(col, rf"(?is)<(script|style)\b{attributes}>.*?(?:</\1\s*>|\z)", "")
+    out = F.regexp_replace(out, r"(?s)<!--.*?(?:-->|\z)", "")
+    return F.regexp_replace(out, rf"(?s)</?[A-Za-z]{attributes}>|<![A-Za-z][^>]*>|<\?[^>]*>", "")
+
+
+#: Names of character references that are looked up first, as they make up nearly all.
+_USUAL = ("amp", "quot", "lt", "gt", "nbsp", "apos")
 
 
 def decode_entities(col: Column) -> Column:
     """Named and numeric character references decoded once, left to right.
 
-    The closing semicolon may be absent; an unknown name stays, without its semicolon.
+    The closing semicolon may be absent; an unknown name stays, without its semicolon. A number that is no
+    character gives the replacement character, as a browser does.
     """
     every = {name[:-1]: char for name, char in html.entities.html5.items() if name.endswith(";")}
-    # A map is searched from its start, so the usual names come first.
-    named = {name: every[name] for name in ("amp", "quot", "lt", "gt", "nbsp", "apos")} | every
-    table = F.from_json(F.lit(json.dumps(named)), "map<string,string>")
+    # A map is searched from its start, so names are looked up in the map of their first letter.
+    by_letter: dict[str, dict[str, str]] = {}
+    for name, char in every.items():
+        by_letter.setdefault(name[0], {})[name] = char
+
+    def named(token: Column) -> Column:
+        usual = F.create_map(*[F.lit(x) for name in _USUAL for x in (name, every[name])])
+        others = None
+        for letter, names in sorted(by_letter.items()):
+            table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+            value, here = F.try_element_at(table, token), F.substring(token, 1, 1) == letter
+            others = F.when(here, value) if others is None else others.when(here, value)
+        return F.coalesce(F.try_element_at(usual, token), others)
 
     def piece(part: Column) -> Column:
-        token = F.regexp_extract(part, r"^&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?", 1)
-        whole = F.regexp_extract(part, r"^&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);?", 0)
+        token = F.regexp_extract(part, r"^&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?", 1)
+        whole = F.regexp_extract(part, r"^&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);?", 0)
         rest = F.substr(part, F.length(whole) + 1)
-        code_point = F.when(
-            token.rlike("^#[xX]"), F.lpad(F.substr(token, F.lit(3)), 8, "0")
-        ).otherwise(F.lpad(F.conv(F.substr(token, F.lit(2)), 10, 16), 8, "0"))
-        char = F.decode(F.unhex(code_point), "UTF-32")
+        is_hex = token.rlike("^#[xX]")
+        digits = F.regexp_replace(token, "^#[xX]?0*", "")
+        # Any number has digits; more of them than the last character's number has are too many.
+        number = F.when(F.length(digits) <= 7, F.conv(F.when(digits == "", "0").otherwise(digits), 16, 10).cast("long"))
+        number = F.when(is_hex, number).otherwise(F.when(F.length(digits) <= 7, F.when(digits == "", "0").otherwise(digits).cast("long")))
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.when(F.coalesce(valid, F.lit(False)), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
         return (
             F.when(token == "", part)
             .when(token.startswith("#"), F.concat(char, rest))
-            .otherwise(F.concat(F.coalesce(F.try_element_at(table, token), F.concat(F.lit("&"), token)), rest))
+            .otherwise(F.concat(F.coalesce(named(token), F.concat(F.lit("&"), token)), rest))
         )
 
     parts = F.split(col, "(?=&)")
@@ -164,12 +190,25 @@ def to_ascii(col: Column) -> Column:
 
 
 def identifier(*parts: Column) -> Column:
-    """Upper-case ASCII identifier of several texts joined by ``_``."""
+    """Upper-case ASCII identifier of several texts joined by ``_``.
+
+    A letter or digit without a spelling here is put as its code point, as in ``U5317``, so that names in other scripts don't all
+    become one; every other character is ``_``.
+    """
     joined = F.concat_ws("_", *[F.replace(F.upper(part), F.lit(" "), F.lit("_")) for part in parts])
-    cleaned = F.regexp_replace(to_ascii(joined), r"[^A-Za-z0-9_]", "_")
+    plain = to_ascii(joined)
+    spelled = F.array_join(F.transform(F.split(plain, ""), lambda c: F.when(
+        c.rlike(r"^[^\x00-\x7F]\z") & c.rlike(r"^[\p{L}\p{N}]"), F.concat(F.lit("U"), F.lpad(F.hex(F.encode(c, "UTF-16BE")), 4, "0"))).otherwise(c)), "")
+    whole = F.when(plain.rlike(r"[\p{L}\p{N}&&[^\x00-\x7F]]"), spelled).otherwise(plain)
+    cleaned = F.regexp_replace(whole, r"[^A-Za-z0-9_]", "_")
     return F.trim(cleaned, F.lit("_"))
 
 
+def smallest_match(col: Column, pattern: str) -> Column:
+    """Aggregate: the smallest text that matches a pattern; NULL without one."""
+    return F.min(F.when(col.rlike(pattern), col))
+
+
 def title_from_identifier(col: Column) -> Column:
     """``AB_2CD`` gives ``Ab 2Cd``: every letter after a non-letter is a capital."""
     words = F.lower(F.replace(col, F.lit("_"), F.lit(" ")))

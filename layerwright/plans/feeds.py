@@ -75,9 +75,14 @@ def proposal_rows(nodes: DataFrame, link_base: Column | str, own_organizations:
     )
 
 
+def _message(*parts: Column | str) -> Column:
+    """Parts one behind the other. A missing one is left blank: it must not take the whole message with it."""
+    return F.concat(*[F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("")) for p in parts])
+
+
 def proposal_message(rows: DataFrame) -> DataFrame:
     """Rows with the message text of each proposal."""
-    return rows.withColumn("message", F.concat(
+    return rows.withColumn("message", _message(
         "state_sign", F.lit(" Proposta <b>"), "state_label", F.lit("</b>em "), message_time(F.col("date")),
         F.lit("\n\n<b>Proposta</b>\n"), "title",
         F.lit("\n\n<b>Autor</b>\n"), "author_name", F.lit(" "), "organization_name",
@@ -120,11 +125,11 @@ def comment_state(created: Column, updated: Column) -> Column:
 def comment_message(rows: DataFrame) -> DataFrame:
     """Rows with the message text of each comment."""
     state = comment_state(F.col("creation_date"), F.col("update_date"))
-    return rows.withColumn("message", F.concat(
+    return rows.withColumn("message", _message(
         lookup(state, COMMENT_SIGNS), F.lit(" "), lookup(state, COMMENT_LABELS), F.lit(": "),
         message_time(F.col("date_filter")),
-        F.lit("\n\n<b>Autor</b>\n"), "author_name",
-        F.lit("\n\n<b>Comentario</b>\n"), "body",
+        F.lit("\n\n<b>Autor</b>\n"), blank_to_dash(F.col("author_name")),
+        F.lit("\n\n<b>Comentario</b>\n"), blank_to_dash(F.col("body")),
         F.lit('\n\n<a href="'), "link", F.lit('">Acesse aqui</a>'),
     ))
 
