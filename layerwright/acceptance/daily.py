@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from layerwright.acceptance.tables import Registry, table
+from layerwright.acceptance.tables import Registry, scratch_database, table
 from layerwright.operators.series import daily_fill, expand_days
-from layerwright.session import new_work_path
+from layerwright.plans import gold
+from layerwright.sources.writers import publish_version, switch_view
 
 registry = Registry()
 
@@ -75,11 +76,11 @@ def q_daily_metrics(spark, sf):
 
 @registry.add("q_gold_roundtrip", _FLAGSHIP_SQL)
 def q_gold_roundtrip(spark, sf):
-    path = new_work_path(spark, "gold")
+    """The gold table written as a version, published under its name and read by it."""
     model = q_daily_metrics(spark, sf).withColumn("mes_operacao", F.date_format("data_operacao", "yyyy-MM"))
-    ordered = model.sortWithinPartitions("mes_operacao", "id_proposta", "data_operacao")
-    ordered.write.partitionBy("mes_operacao").parquet(path)
-    return spark.read.schema(model.schema).parquet(path).drop("mes_operacao")
+    database = scratch_database()
+    written = publish_version(model, "metrics", "v1", database, None, ["id_proposta", "data_operacao"], ["mes_operacao"])
+    return spark.table(switch_view(spark, database, "metrics", written, hide=["mes_operacao"]))
 
 
 @registry.add("q_daily_spine", f"""
@@ -94,32 +95,30 @@ def q_daily_spine(spark, sf):
     return expand_days(entities, "o_orderdate", "1995-12-31").select("id", "day")
 
 
+# The log as each kind of model row, whole, for the aggregates of the gold model.
+
+
 @registry.add("q_daily_visits", """
     SELECT CAST(ts AS DATE) AS day, user_id, count(DISTINCT event_id) AS qtd_visitas,
            CAST(sum(CASE WHEN value < 10 THEN 1 ELSE 0 END) AS BIGINT) AS qtd_rejeicao
     FROM events GROUP BY 1, 2""")
 def q_daily_visits(spark, sf):
-    return table(spark, sf, "events").groupBy(F.to_date("ts").alias("day"), "user_id").agg(
-        F.count_distinct("event_id").alias("qtd_visitas"),
-        F.sum(F.when(F.col("value") < 10, 1).otherwise(0)).alias("qtd_rejeicao"),
-    )
-
-
-def _count_sql(kind: str, counted: str, name: str) -> str:
-    return (f"SELECT CAST(ts AS DATE) AS day, user_id, {counted} AS {name} FROM events "
-            f"WHERE event_type = '{kind}' GROUP BY 1, 2")
-
-
-def _counted(spark, sf, kind, counted):
-    rows = table(spark, sf, "events").where(F.col("event_type") == kind)
-    return rows.groupBy(F.to_date("ts").alias("day"), "user_id").agg(counted)
+    visits = table(spark, sf, "events").select(
+        F.date_format("ts", "yyyy-MM-dd").alias("session_date"), F.col("user_id").cast("string").alias("proposal_id"),
+        F.col("event_id").alias("session_id"), F.when(F.col("value") < 10, 1).otherwise(2).alias("num_actions"))
+    daily = gold.daily_visits(visits)
+    return daily.select("day", F.col("proposal_id").alias("user_id"), "qtd_visitas", "qtd_rejeicao")
 
 
-@registry.add("q_daily_votes", _count_sql("purchase", "count(event_id)", "qtd_votos"))
+@registry.add("q_daily_votes", """
+    SELECT CAST(ts AS DATE) AS day, user_id, count(event_id) AS qtd_votos FROM events GROUP BY 1, 2""")
 def q_daily_votes(spark, sf):
-    return _counted(spark, sf, "purchase", F.count("event_id").alias("qtd_votos"))
+    votes = table(spark, sf, "events").select(F.col("ts").alias("created_at"), F.col("user_id").alias("voted_component_id"))
+    return gold.daily_votes(votes).withColumnRenamed("proposal_id", "user_id")
 
 
-@registry.add("q_daily_comments", _count_sql("click", "count(*)", "qtd_comentarios"))
+@registry.add("q_daily_comments", """
+    SELECT CAST(ts AS DATE) AS day, user_id, count(*) AS qtd_comentarios FROM events GROUP BY 1, 2""")
 def q_daily_comments(spark, sf):
-    return _counted(spark, sf, "click", F.count(F.lit(1)).alias("qtd_comentarios"))
+    comments = table(spark, sf, "events").select(F.col("ts").alias("created_at"), F.col("user_id").alias("commented_root_component_id"))
+    return gold.daily_comments(comments).withColumnRenamed("proposal_id", "user_id")

@@ -190,15 +190,26 @@ _TESTS = {
 }
 
 
+_TESTS |= {f"proposal_metrics.not_null_{c}": f"SELECT 1 FROM proposal_metrics WHERE {c} IS NULL" for c in (
+    "data_operacao", "id_processo", "id_proposta", "titulo_proposta", "titulo_processo", "qtd_rejeicao", "qtd_visitas", "qtd_votos",
+    "qtd_comentarios")}
+_TESTS["proposal_metrics.unique_proposal_per_day"] = (
+    "SELECT 1 FROM proposal_metrics WHERE id_proposta IS NOT NULL AND data_operacao IS NOT NULL "
+    "GROUP BY id_proposta, data_operacao HAVING count(*) > 1")
+
+
 @registry.add("q_dq_report", with_models(
-    " UNION ALL ".join(f"SELECT '{n}' AS test, count(*) AS failures FROM ({q})" for n, q in _TESTS.items()),
-    "users", "participatory_processes", "proposals", "comments", "votes")
+    f", proposal_metrics AS MATERIALIZED ({METRICS_SQL}) "
+    + " UNION ALL ".join(f"SELECT '{n}' AS test, count(*) AS failures FROM ({q})" for n, q in _TESTS.items()),
+    "users", "participatory_processes", "proposals", "comments", "votes", "visits")
     # A user may be bronze more than once, and every bronze row without a model row counts.
 )
 def q_dq_report(spark, sf):
     tables, models = _models(spark, sf)
-    models.pop("visits")
     written = {name: materialize(model, name) for name, model in models.items()}
+    metrics = gold.proposal_metrics(written["proposals"], written["participatory_processes"], written["visits"],
+                                    written["votes"], written["comments"], AS_OF)
+    written["proposal_metrics"] = materialize(metrics, "proposal_metrics")
     return pipeline.test_report(written, tables)
 
 

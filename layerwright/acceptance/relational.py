@@ -6,17 +6,15 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from layerwright.acceptance.tables import NAMES, Registry, table
+from layerwright.acceptance.tables import NAMES, Registry, scratch_database, table
 from layerwright.functions.text import url_part
 from layerwright.operators import quality as dq
 from layerwright.operators.dedup import any_per_key, latest_per_key
 from layerwright.operators.joins import existing, lookup_dimension, spread_join
-from layerwright.operators.tables import (
-    change_counts, drop_columns, page, page_after, replace_days, tagged, upsert,
-)
-from layerwright.session import new_work_path
+from layerwright.operators.tables import drop_columns, page, page_after, tagged
 from layerwright.sources.readers import extract, extract_all
 from layerwright.sources.specs import Extraction, parse_spec
+from layerwright.sources.writers import PART_COLUMN, full_refresh, replace_days, upsert
 
 registry = Registry()
 
@@ -70,52 +68,65 @@ def q_page_after(spark, sf):
 
 @registry.add("q_full_refresh", "SELECT * FROM orders")
 def q_full_refresh(spark, sf):
-    path = new_work_path(spark, "refresh")
-    table(spark, sf, "customer").write.parquet(path)
-    orders = table(spark, sf, "orders")
-    orders.write.mode("overwrite").parquet(path)
-    return spark.read.schema(orders.schema).parquet(path)
-
-
-def _target_and_batch(spark, sf):
-    orders = table(spark, sf, "orders")
-    target = orders.where(F.col("o_orderdate") < "1999-01-01")
-    batch = orders.where(F.col("o_orderdate") >= "1998-06-01").withColumn(
-        "o_totalprice", F.col("o_totalprice") * 2
-    ).withColumn("o_changed", F.lit(True))
-    return target, batch
-
-
-@registry.add("q_upsert_by_key", """
-    SELECT o_orderkey, o_custkey, o_orderstatus,
-           CASE WHEN o_orderdate >= DATE '1998-06-01' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
-           o_orderdate, o_orderpriority, CASE WHEN o_orderdate >= DATE '1998-06-01' THEN TRUE END AS o_changed
-    FROM orders""")
+    """The table is refreshed twice, the second time with other columns, and once with nothing, which changes nothing."""
+    name = f"{scratch_database()}.refreshed"
+    full_refresh(table(spark, sf, "customer"), name)
+    full_refresh(table(spark, sf, "orders"), name)
+    full_refresh(table(spark, sf, "orders").where("false"), name)
+    return spark.table(name)
+
+
+_CHANGES = """
+    WITH rows AS (
+        SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+               o_orderdate, o_orderpriority, CAST(NULL AS BOOLEAN) AS o_changed
+        FROM orders),
+    target AS (SELECT * FROM rows WHERE o_orderdate < DATE '1999-01-01'),
+    batch AS (SELECT * REPLACE (o_totalprice * 2 AS o_totalprice, TRUE AS o_changed) FROM rows WHERE o_orderdate >= DATE '1998-06-01')"""
+
+
+def _upserted(spark, sf):
+    """A table with rows without a key, and a batch that has some too, put in: the table's name and what has changed."""
+    rows = table(spark, sf, "orders").withColumns({
+        "o_orderkey": F.when(F.col("o_orderkey") % 97 != 0, F.col("o_orderkey")), "o_changed": F.lit(None).cast("boolean")})
+    batch = rows.where(F.col("o_orderdate") >= "1998-06-01").withColumns(
+        {"o_totalprice": F.col("o_totalprice") * 2, "o_changed": F.lit(True)})
+    name = f"{scratch_database()}.upserted"
+    upsert(rows.where(F.col("o_orderdate") < "1999-01-01"), name, "o_orderkey", range_size=5_000)
+    changed = upsert(batch, name, "o_orderkey")
+    upsert(batch.where("false"), name, "o_orderkey")
+    return name, changed
+
+
+@registry.add("q_upsert_by_key", _CHANGES + """
+    SELECT * FROM target WHERE o_orderkey IS NULL OR o_orderkey NOT IN (SELECT o_orderkey FROM batch WHERE o_orderkey IS NOT NULL)
+    UNION ALL SELECT * FROM batch""")
 def q_upsert_by_key(spark, sf):
-    return upsert(*_target_and_batch(spark, sf), "o_orderkey")
+    return spark.table(_upserted(spark, sf)[0]).drop(PART_COLUMN)
 
 
-@registry.add("q_upsert_metrics", """
-    SELECT count(*) FILTER (o_orderdate >= DATE '1998-06-01' AND o_orderdate < DATE '1999-01-01') AS rows_deleted,
-           count(*) FILTER (o_orderdate >= DATE '1998-06-01') AS rows_written
-    FROM orders""")
+@registry.add("q_upsert_metrics", _CHANGES + """
+    SELECT (SELECT count(*) FROM target WHERE o_orderkey IN (SELECT o_orderkey FROM batch)) AS rows_deleted,
+           (SELECT count(*) FROM batch) AS rows_written""")
 def q_upsert_metrics(spark, sf):
-    return change_counts(*_target_and_batch(spark, sf), "o_orderkey")
+    changed = _upserted(spark, sf)[1]
+    return spark.createDataFrame([(changed.rows_deleted, changed.rows_written)], "rows_deleted long, rows_written long")
 
 
 @registry.add("q_replace_by_day", """
-    SELECT event_id, CAST(ts AS DATE) AS day, value FROM events WHERE ts < TIMESTAMP '2024-01-20'
-    AND CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events
-                                 WHERE ts >= TIMESTAMP '2024-01-18 06:00:00' AND event_type <> 'error')
-    UNION ALL
-    SELECT event_id, CAST(ts AS DATE), -value FROM events
-    WHERE ts >= TIMESTAMP '2024-01-18 06:00:00' AND event_type <> 'error'""")
+    WITH rows AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN CAST(ts AS DATE) END AS day, value, ts FROM events),
+    target AS (SELECT event_id, day, value FROM rows WHERE ts < TIMESTAMP '2024-01-20'),
+    batch AS (SELECT event_id, day, -value AS value FROM rows WHERE ts >= TIMESTAMP '2024-01-18 06:00:00')
+    SELECT * FROM target WHERE day IS NULL OR day NOT IN (SELECT day FROM batch WHERE day IS NOT NULL)
+    UNION ALL SELECT * FROM batch""")
 def q_replace_by_day(spark, sf):
-    events = table(spark, sf, "events")
-    late = events.where("ts >= TIMESTAMP_NTZ'2024-01-18 06:00:00' and event_type <> 'error'")
-    target = events.where("ts < TIMESTAMP_NTZ'2024-01-20 00:00:00'").select("event_id", F.to_date("ts").alias("day"), "value")
-    batch = late.select("event_id", F.to_date("ts").alias("day"), (-F.col("value")).alias("value"))
-    return replace_days(target, batch, "day")
+    """Days of the batch take the place of the table's; rows without a day, in both, stay and are added."""
+    rows = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 50 != 0, F.to_date("ts")).alias("day"), "value", "ts")
+    name = f"{scratch_database()}.days"
+    replace_days(rows.where("ts < TIMESTAMP_NTZ'2024-01-20 00:00:00'").drop("ts"), name, "day")
+    late = rows.where("ts >= TIMESTAMP_NTZ'2024-01-18 06:00:00'").withColumn("value", -F.col("value")).drop("ts")
+    replace_days(late, name, "day")
+    return spark.table(name)
 
 
 @registry.add("q_dedup_latest", f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch_database() -> str:
+    """A name for a database of a query's own, for queries whose subject is the writing of tables."""
+    return f"acceptance_{uuid.uuid4().hex[:12]}"
+
+
 class Registry:
     """Queries by name, with their SQL."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,12 +49,36 @@ def referential(child: DataFrame, column: str, parent: DataFrame, parent_column:
 Test = Callable[[], DataFrame]
 
 
+@dataclass(frozen=True, eq=False)
+class NotNull:
+    """The test that a column is filled; a report makes all of one model's in one pass."""
+
+    model: DataFrame
+    column: str
+
+    def __call__(self) -> DataFrame:
+        return not_null(self.model, self.column)
+
+
+def _filled(tests: Mapping[str, NotNull]) -> DataFrame:
+    """Failures of the tests of one model, counted side by side."""
+    model = next(iter(tests.values())).model
+    counts = model.agg(*[F.count(F.when(F.col(t.column).isNull(), 1)).alias(name.replace(".", "_")) for name, t in tests.items()])
+    each = [F.struct(F.lit(name).alias("test"), F.col(name.replace(".", "_")).alias("failures")) for name in tests]
+    return counts.select(F.explode(F.array(*each)).alias("one")).select("one.*")
+
+
 def report(tests: Mapping[str, Test]) -> DataFrame:
-    """One row per test with its number of failures, as one plan."""
-    rows = None
+    """One row per test with its number of failures, as one plan: a pass for all not-null tests of a model, one for each other."""
+    rows, filled = None, {}
     for name, run in tests.items():
+        if isinstance(run, NotNull):
+            filled.setdefault(id(run.model), {})[name] = run
+            continue
         one = run().agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("test"), "failures")
         rows = one if rows is None else rows.unionAll(one)
+    for group in filled.values():
+        rows = _filled(group) if rows is None else rows.unionAll(_filled(group))
     if rows is None:
         raise ValueError("no tests given")
     return rows

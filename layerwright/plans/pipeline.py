@@ -17,21 +17,27 @@ from layerwright.sources.writers import publish_version, switch_view
 
 def model_tests(models: Mapping[str, DataFrame], bronze: Mapping[str, DataFrame],
                 parity: bool = False) -> dict[str, dict[str, dq.Test]]:
-    """The declared data tests by model; a test that names a model not at hand is left out."""
+    """The declared data tests of the given models. One that needs a table or model which is not at hand is an error:
+    a model must not be published because its test could not run."""
     raw = dict(bronze)
     tests: dict[str, dict[str, dq.Test]] = {}
 
     def add(model: str, name: str, needs: tuple[str, ...], run: Callable[[], DataFrame]) -> None:
-        if model in models and all(n in models or n in raw for n in needs):
-            tests.setdefault(model, {})[f"{model}.{name}"] = run
+        if model not in models:
+            return
+        absent = [n for n in needs if n not in models and n not in raw]
+        if absent:
+            raise KeyError(f"the test {model}.{name} needs {', '.join(absent)}")
+        tests.setdefault(model, {})[f"{model}.{name}"] = run
 
     def key_tests(model: str, column: str) -> None:
         add(model, f"unique_{column}", (), lambda: dq.unique(models[model], column))
-        add(model, f"not_null_{column}", (), lambda: dq.not_null(models[model], column))
+        filled(model, column)
 
     def filled(model: str, *columns: str) -> None:
         for column in columns:
-            add(model, f"not_null_{column}", (), lambda c=column: dq.not_null(models[model], c))
+            if model in models:
+                add(model, f"not_null_{column}", (), dq.NotNull(models[model], column))
 
     def complete(model: str, column: str, table: str, tag: str = "", **filters) -> None:
         add(model, f"complete_{column}{tag}", (table,), lambda: dq.completeness(
@@ -103,7 +109,7 @@ def run(spark: SparkSession, bronze: Mapping[str, DataFrame], as_of: date | str,
         tests = model_tests(models, bronze, parity).get(name)
         if tests:
             dq.require_passed(dq.report(tests), allow_failures)
-        names[name] = switch_view(spark, layer_database(target, layer), name, written)
+        names[name] = switch_view(spark, layer_database(target, layer), name, written, hide=partition_by)
 
     build("users", silver.users(bronze), "silver")
     build("participatory_processes", silver.participatory_processes(bronze), "silver")

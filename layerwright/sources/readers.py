@@ -16,9 +16,16 @@ from layerwright.sources.specs import Extraction, ExtractionSpec
 
 def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str | None = None,
                lower=None, upper=None, partitions: int = 1, **options: str) -> DataFrame:
-    """A database table. With a partition column the read is cut into parallel ranges."""
+    """A database table, read in parallel ranges of ``partition_column`` from ``lower`` to ``upper`` (the ends take what lies beyond).
+
+    Without a partition column one task reads it all, which is for small tables; asking for ``partitions`` without one is an error.
+    """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
-    if partition_column:
+    if partition_column is None and partitions > 1:
+        raise ValueError("a parallel read needs a partition column")
+    if partition_column is not None:
+        if lower is None or upper is None or partitions < 2:
+            raise ValueError("a partition column needs its bounds and the number of ranges")
         reader = reader.options(
             partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper),
             numPartitions=str(partitions),
@@ -43,10 +50,37 @@ def bronze_tables(spark: SparkSession, database: str = "raw") -> dict[str, DataF
     return {n: spark.table(f"{database}.{n}") for n in BRONZE_DDL if spark.catalog.tableExists(f"{database}.{n}")}
 
 
+#: The column that keeps the fields of a feed which its schema does not declare.
+OTHER_FIELDS = "other_fields"
+
+
+class BrokenPage(Exception):
+    """Pages that are no array of objects; nothing of the feed is written until they are landed again."""
+
+
 def visit_pages(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Landed pages of the visits feed, each file a JSON array. Nested cells stay JSON text."""
+    """Landed pages of the visits feed, each file a JSON array. Nested cells stay JSON text.
+
+    Declared fields are columns; all others are kept, as JSON text by name, in ``other_fields``. A page that can't be read is
+    an error, found before any row is written.
+    """
     declared = bronze_schema("matomo_detailed_visits") if schema is None else schema
-    return spark.read.schema(declared).option("multiLine", "true").json(path)
+    pages = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("file"))
+    items = F.from_json("value", "array<string>")  # each object as its JSON text
+    bad = items.isNull() | F.exists(items, lambda x: F.coalesce(~F.startswith(x, F.lit("{")), F.lit(True)))
+    broken = [r["file"] for r in pages.where(F.trim("value") != "").where(bad).select("file").limit(5).collect()]
+    if broken:
+        raise BrokenPage(", ".join(broken))
+    return _declared(pages.select(F.explode(items).alias("item")), declared)
+
+
+def _declared(rows: DataFrame, declared: T.StructType) -> DataFrame:
+    """JSON objects as the declared columns and the rest of their fields."""
+    text = F.col("item")
+    fields = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    names = F.array(*[F.lit(n) for n in declared.fieldNames()])
+    others = F.map_filter(fields, lambda k, _: ~F.array_contains(names, k))
+    return rows.select(F.from_json(text, declared).alias("row"), F.when(F.size(others) > 0, F.to_json(others)).alias(OTHER_FIELDS)).select("row.*", OTHER_FIELDS)
 
 
 def pages_of_arrays(pages: DataFrame, col: str, element: str | T.DataType) -> DataFrame:

@@ -266,8 +266,8 @@ def publish_version(model: DataFrame, name: str, version: str, target: str = "pr
     return full
 
 
-def switch_view(spark: SparkSession, database: str, name: str, table: str) -> str:
-    """Let the published name point to a newly written version.
+def switch_view(spark: SparkSession, database: str, name: str, table: str, hide: Sequence[str] = ()) -> str:
+    """Let the published name point to a newly written version; columns that only lay out its files can be hidden.
 
     Only tables recorded as versions of this name that were replaced before the last switch are dropped: readers of the
     version that is replaced now can finish, and versions that another run has written but not published are left alone.
@@ -282,7 +282,8 @@ def switch_view(spark: SparkSession, database: str, name: str, table: str) -> st
         if kept.get(VERSION_OF) == view.lower() and full.lower() != table.lower():
             versions[full] = kept.get(STATE)
     record_version(spark, table, view)
-    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    shown = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in hide)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {shown} FROM {table}")
     now = datetime.now(timezone.utc).isoformat()
     _set_properties(spark, table, **{STATE: "published", SINCE: now})
     for old, state in versions.items():

@@ -127,7 +127,10 @@ def test_whole_run_and_gate(spark, sf_dir):
     before = spark.table("open_gold.proposal_metrics").count()
     again = pipeline.run(spark, tables_, AS_OF, target="open", allow_failures=tuple(names))
     assert again == made and spark.table("open_gold.proposal_metrics").count() == before
-    assert spark.sql("SHOW TABLES IN open_gold").count() == 2  # the view and the table behind it
+    assert spark.sql("SHOW TABLES IN open_gold").count() == 3  # the view, the table behind it and the one before
+    assert len(spark.table("open_gold.proposal_metrics").columns) == 11
+    with pytest.raises(KeyError, match="decidim_users"):
+        pipeline.model_tests(models, {n: t for n, t in tables_.items() if n != "decidim_users"})
     assert not spark.catalog.tableExists("gated_gold.proposal_metrics")
 
 
