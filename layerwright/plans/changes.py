@@ -65,7 +65,8 @@ def with_relation(rows: DataFrame, headers: DataFrame, chunk: int = CHUNK) -> Da
 def change_records(messages: DataFrame, parity: bool = False, chunk: int = CHUNK) -> DataFrame:
     """All changes of landed messages, good and bad: a bad one has a ``problem``.
 
-    ``row_before_transaction`` and ``row_after_transaction`` map column names to text. Columns whose
+    ``row_before_transaction`` and ``row_after_transaction`` map column names to text, ``column_types`` to the type id and
+    modifier that the relation in force gives them. Columns whose
     large value did not change are listed and NULL; with ``parity`` they hold the marker text instead.
 
     The bytes are distributed once and stay packed while transactions and relations are carried along;
@@ -94,6 +95,8 @@ def change_records(messages: DataFrame, parity: bool = False, chunk: int = CHUNK
         F.concat_ws(".", "_body.namespace", "_body.relation_name").alias("table"),
         F.col("type").alias("operation_type"), "operation_timestamp",
         named("old").alias("row_before_transaction"), named("new").alias("row_after_transaction"),
+        F.map_from_arrays(names, F.arrays_zip(F.col("_body.type_ids").alias("type_id"), F.col("_body.modifiers").alias("modifier")))
+        .alias("column_types"),
         F.transform(F.col("_body.new_unchanged"), lambda i: F.get(names, i)).alias("unchanged_columns"),
         F.col("_body.replica_identity_changed").alias("replica_identity_changed"),
         "_transaction_id", "_transaction_start_lsn", "_transaction_end_lsn",
@@ -116,8 +119,33 @@ def open_tail(messages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return data_messages(messages, chunk).where(F.col("problem") == "open transaction")
 
 
-def typed(records: DataFrame, side: str, columns: Mapping[str, int], parity: bool = False) -> DataFrame:
-    """One side of the records of a table as typed columns; ``columns`` maps names to type ids."""
-    return records.select(*records.columns, *[
-        parse_value(F.col(side)[name], type_id, parity=parity).alias(name) for name, type_id in columns.items()
-    ])
+def column_types(records: DataFrame, table: str) -> dict[str, tuple[int, int]]:
+    """Type id and modifier of each column of a table, as its newest relation message in the records has them."""
+    types = records.where((F.col("table") == table) & F.col("column_types").isNotNull())
+    newest = types.select("poll_id", "seq", F.explode("column_types").alias("name", "of")).groupBy("name").agg(
+        F.max_by("of", F.struct("poll_id", "seq")).alias("of"))
+    return {r["name"]: (r["of"]["type_id"], r["of"]["modifier"]) for r in newest.collect()}
+
+
+def typed(records: DataFrame, side: str, columns: Mapping[str, int | tuple[int, int]], parity: bool = False) -> DataFrame:
+    """One side of the records of a table as typed columns.
+
+    ``columns`` maps names to type ids, or to type id and modifier as :func:`column_types` finds them; a ``numeric`` is an exact
+    decimal with its modifier and a double without one.
+    """
+    shown = []
+    for name, kind in columns.items():
+        type_id, modifier = kind if isinstance(kind, tuple) else (kind, -1)
+        shown.append(parse_value(F.col(side)[name], type_id, modifier, parity).alias(name))
+    return records.select(*records.columns, *shown)
+
+
+def by_table(records: DataFrame, out: str) -> None:
+    """Change records written in commit order, a folder for each table.
+
+    Rows are dealt by ranges of table and place in the log, so that a table with most of the changes takes many files; within
+    a file, and from one file of a table to the next, records are in the order of commit.
+    """
+    order = ["table", "poll_id", "_transaction_end_lsn", "seq"]
+    dealt = records.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt.write.partitionBy("table").mode("overwrite").parquet(out)

@@ -161,6 +161,8 @@ CHANGE = T.StructType([
     T.StructField("namespace", T.StringType()),
     T.StructField("relation_name", T.StringType()),
     T.StructField("names", T.ArrayType(T.StringType())),
+    T.StructField("type_ids", T.ArrayType(T.IntegerType())),
+    T.StructField("modifiers", T.ArrayType(T.IntegerType())),
     *[f for f in BODY.fields if f.name.startswith(("replica", "old", "new"))],
     T.StructField("error", T.StringType()),
 ])
@@ -177,7 +179,9 @@ def change_reader():
                 seen.clear()
             found = body(data)
             if "columns" in found:
-                found["names"] = [c["column_name"] for c in found.pop("columns")]
+                columns = found.pop("columns")
+                for name, field in (("names", "column_name"), ("type_ids", "data_type"), ("modifiers", "data_type_modifier")):
+                    found[name] = [c[field] for c in columns]
             seen[data] = found
         return seen[data]
 

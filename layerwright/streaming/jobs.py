@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from layerwright.operators.joins import existing, spread_join
 from layerwright.operators.tables import newer_than
 from layerwright.plans.changes import change_records
-from layerwright.sources.wal import LANDING_DDL
+from layerwright.session import materialize
+from layerwright.sources.wal import LANDING_DDL, decode_headers, message_type
 from layerwright.sources.writers import replace_days, upsert
 
 LATE_DAYS = 3
@@ -77,18 +79,39 @@ def feed_stream(nodes: DataFrame, to_messages: Callable[[DataFrame], DataFrame],
 
 
 def change_stream(messages: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Change records of newly landed polls, one output folder per batch.
+    """Change records of newly landed messages, one output folder per batch.
 
-    A poll carries its own relation messages and is landed as a whole, so a batch needs no state of
-    earlier ones. Records with a problem are written beside the good ones.
+    A batch may cut a poll. What follows a poll's last commit is held back until the rest of the transaction has come, and
+    relation messages are kept, as later messages of the poll need them; both are written beside the output, per batch, so
+    that a repeated batch starts from the same. :func:`held_messages` has what still waits. Records with a problem
+    are written beside the good ones.
     """
+    spark = messages.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        change_records(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        rows = batch
+        if batch_id > 0:
+            rows = rows.unionByName(spark.read.schema(batch.schema).parquet(f"{out}/_held/{batch_id - 1}"))
+        rows = rows.persist()
+        headers = decode_headers(rows.select("poll_id", "seq", "payload"))
+        ends = headers.groupBy("poll_id").agg(F.max(F.when(F.col("type") == "B", F.col("seq"))).alias("begun"),
+                                              F.max(F.when(F.col("type") == "C", F.col("seq"))).alias("ended"))
+        waiting = ends.where("begun IS NOT NULL AND (ended IS NULL OR begun > ended)").select("poll_id", F.coalesce("ended", F.lit(-1)).alias("_end"))
+        placed = spread_join(rows, waiting, ["poll_id"]).withColumn("_waits", F.coalesce(F.col("seq") > F.col("_end"), F.lit(False)))
+        held, whole = (placed.where(w).select(*rows.columns) for w in (F.col("_waits"), ~F.col("_waits")))
+        change_records(whole).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        fresh = existing(whole.where(message_type(F.col("payload")) == "R"), batch.select("poll_id"), ["poll_id"])
+        held.unionByName(fresh).write.mode("overwrite").parquet(f"{out}/_held/{batch_id}")
+        rows.unpersist()
 
     return run_available(messages, checkpoint, write)
 
 
+def held_messages(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
+    """Messages that wait for the end of their transaction after a batch, with relation messages kept for later ones."""
+    return spark.read.schema(LANDING_DDL).parquet(f"{out}/_held/{batch_id}")
+
+
 def landed_messages(spark: SparkSession, path: str) -> DataFrame:
     return landed_files(spark, path, LANDING_DDL)
 
@@ -106,3 +129,20 @@ def save_mark(messages: DataFrame, col: str, table: str) -> None:
     """Add the newest time of the sent messages to the marks; nothing new leaves the mark as it is."""
     newest = messages.agg(F.max(col).cast("timestamp").alias("mark")).where(F.col("mark").isNotNull())
     newest.write.mode("append").saveAsTable(table)
+
+
+def feed_run(nodes: DataFrame, to_messages: Callable[[DataFrame, Column], DataFrame], deliver: Callable[[DataFrame], None],
+             marks: str, default: str, order: str = "date") -> int:
+    """One run of a feed: from the stored mark to the next. Returns the number of messages.
+
+    Messages of nodes after the mark are written once as a step, delivered in order of ``order``, and only when that has
+    succeeded is the mark moved to the newest of them. A run that fails is repeated from the old mark with the same
+    messages; one without messages delivers nothing and leaves the mark.
+    """
+    spark = nodes.sparkSession
+    messages = materialize(to_messages(nodes, read_mark(spark, marks, default)), "feed")
+    n = messages.count()
+    if n:
+        deliver(messages.orderBy(order, *[c for c in ("id",) if c in messages.columns]))
+        save_mark(messages, order, marks)
+    return n

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from itertools import combinations
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,9 +66,16 @@ def test_visit_pages(spark, tmp_path):
     ]
     for i, page in enumerate(pages):
         (tmp_path / f"p{i}.json").write_text(json.dumps(page, ensure_ascii=False, indent=1))
-    got = {r.idVisit: r.actionDetails for r in R.visit_pages(spark, str(tmp_path)).collect()}
+    rows = R.visit_pages(spark, str(tmp_path)).collect()
+    got = {r.idVisit: r.actionDetails for r in rows}
     assert json.loads(got.pop(1)) == [{"url": "ã"}]
     assert got == {2: None}
+    assert {r.idVisit: r.other_fields for r in rows} == {1: '{"extra":"1"}', 2: None}
+    (tmp_path / "broken.json").write_text('[{"idVisit": 3}, {"idVisit"')
+    with pytest.raises(R.BrokenPage, match="broken.json"):
+        R.visit_pages(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="bounds"):
+        R.jdbc_table(spark, "jdbc:none", "t", "id")
 
 
 def test_pages_of_nodes_in_any_order(spark):
@@ -84,15 +91,25 @@ def test_pages_of_nodes_in_any_order(spark):
     assert [c[0] for c in cursors] == [None, "b"]
 
 
-def test_components_over_all_subsets_of_spaces(spark):
-    names = ["processes", "initiatives", "consultations", "conferences", "assemblies"]
-    frames = {n: spark.createDataFrame(
-        [([{"id": i * 10, "__typename": "Proposals"}, {"id": i * 10 + 1, "__typename": "Meetings"}],), ([],)],
-        "components array<struct<id:int,__typename:string>>") for i, n in enumerate(names)}
-    for size in (1, 3, 5):
-        for subset in combinations(names, size):
-            got = R.components_of_type([frames[n] for n in subset], ["Proposals"])
-            assert sorted(r.id for r in got.collect()) == [names.index(n) * 10 for n in subset]
+def test_components_of_any_number_of_spaces(spark):
+    draw = random.Random(11)
+    for kinds in range(1, 5):
+        wanted, frames, number = set(), [], 0
+        for _ in range(kinds):
+            spaces = []
+            for _ in range(draw.randint(0, 4)):
+                held = []
+                for _ in range(draw.randint(0, 3)):
+                    number += 1
+                    held.append({"id": number, "__typename": draw.choice(["Kiosk", "Forum", "Survey"])})
+                    if held[-1]["__typename"] != "Survey":
+                        wanted.add(number)
+                spaces.append((held,))
+            frames.append(spark.createDataFrame(spaces, "components array<struct<id:int,__typename:string>>"))
+        got = R.components_of_type(frames, ["Kiosk", "Forum"]).collect()
+        assert {r.id for r in got} == wanted and len(got) == len(wanted)
+    with pytest.raises(ValueError):
+        R.components_of_type([], ["Kiosk"])
 
 
 def test_unnest(spark):
