@@ -161,14 +161,11 @@ def q_cdc_transactions(spark, sf):
 
 
 @registry.add("q_cdc_schema_asof", _LOG + """
-    SELECT poll_id, seq, 'public.orders' AS table_name, 'o_orderkey,o_custkey,' || named AS columns
-    FROM r WHERE op = 'I' AND problem IS NULL""")
+    SELECT poll_id, seq, op AS operation_type, 'o_orderkey,o_custkey,' || named AS columns
+    FROM r WHERE relation_id = 16400 AND problem IS NULL""")
 def q_cdc_schema_asof(spark, sf):
-    records = changes.changes(landed(spark, sf)).where(F.col("operation_type") == "I")
-    return records.select(
-        "poll_id", "seq", F.col("table").alias("table_name"),
-        F.array_join(F.map_keys("row_after_transaction"), ",").alias("columns"),
-    )
+    records = changes.changes(landed(spark, sf)).where(F.col("table") == "public.orders")
+    return records.select("poll_id", "seq", "operation_type", F.array_join(F.map_keys("column_types"), ",").alias("columns"))
 
 
 @registry.add("q_cdc_changes", _LOG + """
@@ -241,3 +238,24 @@ def q_cdc_latest_rows(spark, sf):
         F.col("row_after_transaction")["o_custkey"].try_cast("long").alias("customer"), "seq",
     )
     return latest_per_key(rows, ["id"], "seq").drop("seq")
+
+
+_MONEY = ((15 << 16) | 2) + 4  # the modifier of numeric(15, 2)
+
+
+@registry.add("q_cdc_typed", """
+    SELECT o_orderkey AS id, o_orderstatus = 'F' AS finished, CAST(o_totalprice AS DECIMAL(15, 2)) AS price,
+           CAST(o_orderdate AS DATE) AS day, CAST(o_orderdate AS TIMESTAMP) + INTERVAL 90 MINUTE AS at,
+           hex(encode(o_orderpriority)) AS raw, CAST(NULL AS SMALLINT) AS absent
+    FROM orders""")
+def q_cdc_typed(spark, sf):
+    """Rows as the log carries them, as text by column name, in the types of their relation."""
+    at = F.date_format(F.col("o_orderdate").cast("timestamp_ntz"), "yyyy-MM-dd")
+    row = F.map_from_arrays(
+        F.array(*[F.lit(n) for n in ("id", "finished", "price", "day", "at", "raw")]),
+        F.array(F.col("o_orderkey").cast("string"), F.when(F.col("o_orderstatus") == "F", "t").otherwise("f"),
+                F.format_string("%.2f", "o_totalprice"), at, F.concat(at, F.lit(" 01:30:00")),
+                F.concat(F.lit("\\x"), F.lower(F.hex(F.encode("o_orderpriority", "UTF-8"))))))
+    records = table(spark, sf, "orders").select(row.alias("after"))
+    types = {"id": 20, "finished": 16, "price": (1700, _MONEY), "day": 1082, "at": 1114, "raw": 17, "absent": 21}
+    return changes.typed(records, "after", types).drop("after").withColumn("raw", F.hex("raw"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 import traceback
 from pathlib import Path
@@ -16,11 +17,17 @@ from layerwright.session import build_session  # noqa: E402
 
 
 def main() -> int:
+    with tempfile.TemporaryDirectory(prefix="check-") as work:
+        return compare(work)
+
+
+def compare(work: str) -> int:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     parts = sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g",
-                             "spark.ui.showConsoleProgress": "false"})
+                             "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": f"{work}/shared",
+                             "spark.sql.warehouse.dir": f"{work}/warehouse"})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle.connect(sf_dir)
     failed = 0
