@@ -128,24 +128,45 @@ _LOG = f"""
 
 
 @registry.add("q_cdc_decode", """
-    WITH o AS (SELECT *, CAST(year(o_orderdate) AS BIGINT) AS poll_id FROM orders)
-    SELECT poll_id, o_orderkey * 8 + k AS seq, CASE k WHEN 0 THEN 'B' WHEN 2 THEN 'I' ELSE 'U' END AS type,
-           CASE WHEN k = 0 THEN o_orderkey * 100 + 1 END AS lsn,
-           CASE WHEN k = 0 THEN CAST(o_orderkey AS INT) END AS transaction_id,
-           CASE WHEN k = 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS commit_timestamp,
-           CASE WHEN k > 0 THEN 16400 END AS relation_id,
-           CASE WHEN k = 2 THEN o_orderkey || ',' || o_custkey || ',' || o_orderstatus
-                WHEN k = 3 THEN o_orderkey || ',?,' || o_orderstatus END AS new_row,
-           CASE WHEN k = 3 THEN o_orderkey || ',' || o_custkey || ',É' END AS old_row,
-           CASE WHEN k = 3 THEN '1' WHEN k = 2 THEN '' END AS unchanged
-    FROM o, (SELECT unnest([0, 2, 3]) AS k) WHERE k < 3 OR o_orderstatus = 'F'""")
+    WITH o AS (SELECT *, CAST(year(o_orderdate) AS BIGINT) AS poll_id, CAST(o_orderdate AS TIMESTAMP) AS made,
+                      o_orderkey = max(o_orderkey) OVER (PARTITION BY year(o_orderdate)) AS is_last,
+                      o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' AS wrong,
+                      o_orderkey * 100 + 1 AS own FROM orders),
+    m AS (SELECT *, substr('BRIUDTC', k + 1, 1) AS type FROM o, (SELECT unnest([0, 1, 2, 3, 4, 5, 6]) AS k)
+          WHERE k IN (0, 2) OR (k = 1 AND left(o_orderpriority, 1) IN ('1', '2', '5')) OR (k = 3 AND o_orderstatus = 'F')
+                OR (k = 4 AND o_orderstatus = 'P') OR (k = 5 AND o_orderpriority = '3-MEDIUM') OR (k = 6 AND NOT is_last))
+    SELECT poll_id, o_orderkey * 8 + k AS seq, type,
+           CASE WHEN type = 'B' THEN own END AS lsn, CASE WHEN type = 'B' THEN CAST(o_orderkey AS INT) END AS transaction_id,
+           CASE WHEN type = 'B' THEN made END AS commit_timestamp,
+           CASE WHEN type = 'C' THEN own + CAST(wrong AS INT) END AS commit_lsn,
+           CASE WHEN type = 'C' THEN own + 49 END AS transaction_lsn, CASE WHEN type = 'C' THEN made END AS commit_time,
+           CASE WHEN type = 'R' AND o_orderpriority = '2-HIGH' THEN 16500 WHEN type IN ('R', 'I', 'U', 'D') THEN 16400 END AS relation_id,
+           CASE WHEN type = 'R' THEN CASE WHEN o_orderpriority = '2-HIGH' THEN 'public.audit' ELSE 'public.orders' END END AS relation,
+           CASE WHEN type = 'R' THEN 100 END AS identity_setting,
+           CASE WHEN type = 'R' THEN CASE o_orderpriority
+                WHEN '2-HIGH' THEN 'entry 1 25 -1'
+                WHEN '1-URGENT' THEN 'o_orderkey 1 20 -1,o_custkey 1 20 -1,o_orderstatus 1 25 -1'
+                ELSE 'o_orderkey 1 20 -1,o_custkey 1 20 -1,o_state 1 25 -1' END END AS columns,
+           CASE type WHEN 'I' THEN o_orderkey || ',' || o_custkey || ',' || o_orderstatus
+                     WHEN 'U' THEN o_orderkey || ',?,' || o_orderstatus END AS new_row,
+           CASE type WHEN 'U' THEN o_orderkey || ',' || o_custkey || ',É' WHEN 'D' THEN o_orderkey || ',?,?' END AS old_row,
+           CASE type WHEN 'U' THEN '1' WHEN 'I' THEN '' END AS unchanged,
+           CASE type WHEN 'U' THEN FALSE WHEN 'D' THEN TRUE END AS key_only,
+           CASE WHEN type = 'T' THEN '16400,16500' END AS truncated, CASE WHEN type = 'T' THEN 1 END AS truncate_option
+    FROM m""")
 def q_cdc_decode(spark, sf):
-    decoded = wal.decode(landed(spark, sf)).where(F.col("type").isin("B", "I", "U"))
-    return decoded.select(
+    def joined(name):
+        return F.array_join(F.col(name).cast("array<string>"), ",", "?")
+
+    columns = F.transform("columns", lambda c: F.concat_ws(" ", c["column_name"], c["key"], c["data_type"], c["data_type_modifier"]))
+    relation = F.when(F.col("type") == "R", F.concat_ws(".", "namespace", "relation_name"))
+    return wal.decode(landed(spark, sf)).select(
         "poll_id", "seq", "type", "lsn", "transaction_id",
-        F.col("commit_timestamp").cast("timestamp_ntz").alias("commit_timestamp"), "relation_id",
-        F.array_join("new_values", ",", "?").alias("new_row"), F.array_join("old_values", ",", "?").alias("old_row"),
-        F.array_join(F.col("new_unchanged").cast("array<string>"), ",").alias("unchanged"),
+        F.col("commit_timestamp").cast("timestamp_ntz").alias("commit_timestamp"), "commit_lsn", "transaction_lsn",
+        F.col("commit_time").cast("timestamp_ntz").alias("commit_time"), "relation_id", relation.alias("relation"),
+        "identity_setting", F.array_join(columns, ",").alias("columns"), joined("new_values").alias("new_row"),
+        joined("old_values").alias("old_row"), joined("new_unchanged").alias("unchanged"),
+        F.col("replica_identity_changed").alias("key_only"), joined("truncated_relations").alias("truncated"), "truncate_option",
     )
 
 
