@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from layerwright.acceptance.tables import Registry, table
 from layerwright.functions.dates import inside_open_interval, latest, message_time
-from layerwright.functions.text import lookup
 from layerwright.operators.joins import split_known
 from layerwright.operators.tables import high_water_mark, newer_than
 from layerwright.plans import configs, feeds
@@ -16,7 +15,7 @@ registry = Registry()
 MARK = "1999-06-30 00:00:00"
 SITE = "https://site.example/processes/p/f/1/proposals"
 
-_STATES = ", ".join(f"('{k}', '{feeds.STATE_LABELS[k]}', '{feeds.STATE_SIGNS[k]}')" for k in feeds.STATE_LABELS)
+_STATES = ", ".join(f"('{k}', '{label}', '{sign}')" for k, (label, sign) in feeds.STATES.items())
 
 # An order is a proposal: open ones are accepted, finished ones rejected, the rest have no known state.
 _PROPOSALS_SQL = f"""
@@ -107,7 +106,7 @@ def q_comment_window(spark, sf):
     ))
     state = feeds.comment_state(F.col("ts"), F.col("date_filter"))
     return kept.select(
-        "event_id", "date_filter", state.alias("state"), lookup(state, feeds.COMMENT_LABELS).alias("label"),
+        "event_id", "date_filter", state.alias("state"), feeds.label_and_sign(state, feeds.COMMENT_STATES)[0].alias("label"),
         message_time(F.col("date_filter")).alias("shown"),
     )
 

@@ -15,30 +15,26 @@ from layerwright.operators.nested import flatten_structs
 from layerwright.operators.tables import newer_than
 from layerwright.operators.threads import expand_threads
 
-# Labels and signs of message texts by proposal state and comment state.
-STATE_LABELS = {
-    "accepted": "aceita ",
-    "evaluating": "em avaliação ",
-    "withdrawn": "retirada ",
-    "rejected": "rejeitada ",
-    "others": "atualizada ",
-    "new": "",
+# Label and sign in messages by proposal state and by comment state.
+STATES = {
+    "accepted": ("aceita ", "✅ ✅ ✅"),
+    "evaluating": ("em avaliação ", "📥 📥 📥"),
+    "withdrawn": ("retirada ", "🚫 🚫 🚫"),
+    "rejected": ("rejeitada ", "⛔ ⛔ ⛔"),
+    "others": ("atualizada ", "🔄 🔄 🔄"),
+    "new": ("", "📣 📣 📣 <b>[NOVA]</b>"),
 }
-STATE_SIGNS = {
-    "accepted": "✅ ✅ ✅",
-    "evaluating": "📥 📥 📥",
-    "withdrawn": "🚫 🚫 🚫",
-    "rejected": "⛔ ⛔ ⛔",
-    "others": "🔄 🔄 🔄",
-    "new": "📣 📣 📣 <b>[NOVA]</b>",
-}
-COMMENT_LABELS = {"update": "Comentario atualizado", "new": "Novo comentario"}
-COMMENT_SIGNS = {"update": "🔄 🔄 🔄", "new": "💬"}
+COMMENT_STATES = {"update": ("Comentario atualizado", "🔄 🔄 🔄"), "new": ("Novo comentario", "💬")}
+
+
+def label_and_sign(state: Column, states: dict[str, tuple[str, str]]) -> tuple[Column, Column]:
+    label, sign = ({name: pair[i] for name, pair in states.items()} for i in (0, 1))
+    return lookup(state, label, ""), lookup(state, sign, "")
 
 
 def proposal_state(state: Column, published: Column, updated: Column) -> Column:
     """The state if it has a label; else ``others`` for an updated proposal and ``new`` for a fresh one."""
-    known = state.isin(*STATE_LABELS)
+    known = state.isin(*STATES)
     return F.when(known, state).when(updated > published, F.lit("others")).otherwise(F.lit("new"))
 
 
@@ -56,6 +52,7 @@ def proposal_rows(nodes: DataFrame, link_base: Column | str, own_organizations:
     published, updated = (F.col(c).cast("timestamp") for c in ("publishedAt", "updatedAt"))
     is_update = F.coalesce(updated > published, F.lit(False))
     state = proposal_state(text("state"), published, updated)
+    label, sign = label_and_sign(state, STATES)
     organization = blank_where(F.coalesce(text("author.organizationName"), F.lit("")), ["-", *own_organizations])
     base = link_base if isinstance(link_base, Column) else F.lit(link_base)
     return flat.select(
@@ -66,8 +63,8 @@ def proposal_rows(nodes: DataFrame, link_base: Column | str, own_organizations:
         blank_to_dash(text("author.name")).alias("author_name"),
         organization.alias("organization_name"),
         state.alias("state"),
-        lookup(state, STATE_LABELS, "").alias("state_label"),
-        lookup(state, STATE_SIGNS, "").alias("state_sign"),
+        label.alias("state_label"),
+        sign.alias("state_sign"),
         published.alias("publishedAt"),
         updated.alias("updatedAt"),
         F.when(is_update, updated).otherwise(published).alias("date"),
@@ -124,9 +121,9 @@ def comment_state(created: Column, updated: Column) -> Column:
 
 def comment_message(rows: DataFrame) -> DataFrame:
     """Rows with the message text of each comment."""
-    state = comment_state(F.col("creation_date"), F.col("update_date"))
+    label, sign = label_and_sign(comment_state(F.col("creation_date"), F.col("update_date")), COMMENT_STATES)
     return rows.withColumn("message", _message(
-        lookup(state, COMMENT_SIGNS), F.lit(" "), lookup(state, COMMENT_LABELS), F.lit(": "),
+        sign, F.lit(" "), label, F.lit(": "),
         message_time(F.col("date_filter")),
         F.lit("\n\n<b>Autor</b>\n"), blank_to_dash(F.col("author_name")),
         F.lit("\n\n<b>Comentario</b>\n"), blank_to_dash(F.col("body")),

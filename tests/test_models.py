@@ -152,7 +152,7 @@ def node(spark, **changes):
 ])
 def test_proposal_states(spark, changes, state):
     row = feeds.proposal_rows(node(spark, **changes), "https://h/p").first()
-    assert (row.state, row.state_sign, row.state_label) == (state, feeds.STATE_SIGNS[state], feeds.STATE_LABELS[state])
+    assert (row.state, row.state_label, row.state_sign) == (state, *feeds.STATES[state])
     assert row.date == max(T1, changes.get("updatedAt", T1))
 
 
