@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerwright.llm import chat_format, decontamination, language_id, line_dedup, mixing, nearest, ngram_join, suffix_dedup, token_counts, url_filter
+from layerwright.llm import (
+    chat_format, decontamination, kneser_ney, language_id, lexical_search, line_dedup, mixing, nearest, ngram_join, periodic_runs, suffix_dedup, token_counts, url_filter,
+)
 from layerwright.llm import sql as oracle
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,8 +90,46 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0)
+    model = kneser_ney.train(docs.filter("NOT held_out"))
+    scored = kneser_ney.score(docs, model)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """The contract's texts: of every tenth document, by a hash of its id, the words from one on repeat with a period."""
+    by_id = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    words = by_id.withColumn("words", F.when(F.col("h") % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")))
+    shaped = words.withColumn("n", F.size("words")).withColumn("g", F.expr("h DIV 10"))
+    shaped = shaped.withColumn("a", F.expr("IF(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    repeated = F.array_join(F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(
+        F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))), " ")
+    return shaped.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periodic_runs.find_runs(planted_periods(docs))
+    ranked = F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period")))
+    found = found.withColumn("best", F.array_min(ranked))
+    length = -F.col("best.shorter")
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+                                                   r["period"].cast("string"), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"),
+                        F.col("best.period").alias("period"), F.floor(F.lit(1000) * length / F.col("best.period")).alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = lexical_search.ranked_search(docs, table(spark, sf_dir, "benchmark"), k=10)
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
 QUERIES = {q.__name__: q for q in (op1_line_dedup, op2_chat_format, op3_token_counts, op4_source_mix, op5_url_filter, op6_suffix_dedup, op7_ngram_join, op8_language_id,
-                                op9_nearest_vectors, op10_decontamination)}
+                                op9_nearest_vectors, op10_decontamination, op11_kneser_ney, op12_periodic_runs, op13_lexical_search)}
 SQL = {
     "op1_line_dedup": oracle.OP1,
     "op2_chat_format": oracle.OP2,
@@ -97,4 +137,5 @@ SQL = {
     "op7_ngram_join": oracle.OP7,
     "op9_nearest_vectors": oracle.OP9,
     "op10_decontamination": oracle.OP10,
+    "op13_lexical_search": oracle.OP13,
 }

@@ -136,3 +136,28 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN size USING (doc_id)
 JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM reach GROUP BY node) USING (doc_id)
 """
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM documents
+), b AS (
+  SELECT item_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM benchmark
+), size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM size),
+length AS (SELECT doc_id, 100 - 75 + ((75 * n * big_n) // big_l) AS m FROM size, total),
+posting AS (SELECT term, doc_id, count(*) AS tf FROM d WHERE term IN (SELECT term FROM b) GROUP BY term, doc_id),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM posting, total GROUP BY term
+), score AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM b JOIN posting USING (term) JOIN weight USING (term) JOIN length USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM score WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

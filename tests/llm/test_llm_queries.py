@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 def test_all_are_registered():
     known = entry_module.queries()
     assert set(queries.QUERIES) <= set(known) and "pipeline" in known
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_token_counts_equal_library(spark, sf_dir):
