@@ -1,17 +1,17 @@
 """An interpolated modified Kneser-Ney model of words, counted in Spark and mapped by the workers that score.
 
-Words are 64-bit hashes, an n-gram is the hash of its words. Tasks count the n-grams of their documents and deal them, sorted, to
-shards by the n-gram's own hash, so no frequent word or context makes a shard large. A shard adds up its n-grams, writes them as sorted
-arrays to the shared folder and hands what it adds to the next lower order on: sums of contexts and the numbers of different
-words before. Workers that score sort the n-grams of a batch, too, and go through the arrays shard by shard, mapped into memory one at a time.
+Words are numbered by their place among the sorted hashes of all words, which are written first; an n-gram is the hash of its words'
+numbers. Tasks count the n-grams of their documents and deal them to shards by the n-gram's own hash, so no frequent word
+or context makes a shard large. A shard adds up its n-grams, writes them as sorted arrays to the shared folder and hands on what it
+adds to the next lower order: sums of contexts and the numbers of different words before. Workers that look n-grams up sort theirs, too, and
+go through the arrays shard by shard, mapped into memory one at a time.
 """
 
 from __future__ import annotations
 
-import math
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from urllib.parse import urlparse
 
@@ -24,8 +24,9 @@ from layerwright.llm.common import finished, packed, unpacked
 from layerwright.llm.shingles import mix, word_hashes
 from layerwright.session import materialize, new_work_path
 
-#: Hashes of what stands before and after a text, and of the empty n-gram.
-BEGIN, END, EMPTY = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9FB21C651E98DF25), np.uint64(0x8C2F9A1D6E0B3F57)
+#: Numbers of what stands before a text and after it and of a word that was never seen; others follow. The hash of the empty n-gram.
+BEGIN, END, UNSEEN, FIRST = 0, 1, 2, 3
+EMPTY = np.uint64(0x8C2F9A1D6E0B3F57)
 #: Numbers of an n-gram, added up over tasks: different words before it, occurrences, and as a context: the sum of its
 #: followers' counts and how many of them count one, two, and more.
 COUNTS = ("adjusted", "raw", "follow", "ones", "twos", "more")
@@ -38,20 +39,19 @@ def gram_hash(words: list[np.ndarray]) -> np.ndarray:
     """The hash of n-grams given by their first, second ... words."""
     out = np.full(len(words[0]), EMPTY)
     for word in words:
-        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + word)
+        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + word.astype(np.uint64))
     return out
 
 
-def tokens(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts' words one behind the other, each text between ``order - 1`` begins and one end; and the texts' ends."""
-    before, after = np.full(order - 1, BEGIN), np.array([END])
-    parts, ends, size = [], [], 0
-    for text in texts:
-        found = word_hashes(text or "")
-        parts += [before, found, after]
-        size += order + len(found)
-        ends.append(size)
-    return np.concatenate([np.empty(0, np.uint64), *parts]), np.array(ends, np.int64)
+def tokens(texts: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all texts' words, given by hashes, one behind the other, each text between begins and one end; and the texts' ends."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(sizes + model.order)
+    out = np.full(int(ends[-1]) if len(ends) else 0, BEGIN, model.number)
+    out[ends - 1] = END
+    words = np.concatenate([np.empty(0, np.uint64), *texts])
+    out[np.arange(len(words)) + np.repeat(ends - 1 - np.cumsum(sizes), sizes)] = model.numbers_of(words)
+    return out, ends
 
 
 def added_up(words: list[np.ndarray], counts: dict[str, np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], dict[str, np.ndarray]]:
@@ -90,32 +90,36 @@ def shard_of(key: np.ndarray, shards: int) -> np.ndarray:
     return ((key >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
-def count_tokens(batches: Iterator[pa.RecordBatch], order: int, shards: int, batch_tokens: int) -> Iterator[pa.RecordBatch]:
-    """The n-grams of the highest order in a task's documents, counted for about ``batch_tokens`` at a time."""
-    held: list[np.ndarray] = []
-
-    def flushed() -> pa.RecordBatch:
-        found = np.concatenate(held)
-        n = max(0, len(found) - order + 1)
-        real = np.flatnonzero(found[order - 1:] != BEGIN) if n else np.empty(0, np.int64)
-        words = [found[real + i] for i in range(order)]
-        one = np.ones(len(real), np.int64)
-        key, words, counts = added_up(words, {"adjusted": one})
-        held.clear()
-        return pa.RecordBatch.from_pylist(list(dealt(key, words, counts | {"raw": counts["adjusted"]}, shards, order)), BLOB)
-
-    size = 0
+def hashed(batches: Iterator[pa.RecordBatch], batch_tokens: int) -> Iterator[list[np.ndarray]]:
+    """The hashes of the words of a task's texts, for about ``batch_tokens`` words at a time."""
+    held, size = [], 0
     for batch in batches:
-        texts = batch.column(0)
-        for first in range(0, len(texts), 64):
-            found, _ = tokens(texts.slice(first, 64).to_pylist(), order)
-            held.append(found)
-            size += len(found)
+        for text in batch.column(0):
+            held.append(word_hashes(text.as_py() or ""))
+            size += len(held[-1]) + 1
             if size >= batch_tokens:
-                yield flushed()
-                size = 0
+                full, held, size = held, [], 0
+                yield full
+                del full
     if held:
-        yield flushed()
+        yield held
+
+
+def list_words(batches: Iterator[pa.RecordBatch], shards: int, batch_tokens: int) -> Iterator[pa.RecordBatch]:
+    """The different words of a task's documents."""
+    for texts in hashed(batches, batch_tokens):
+        words = np.sort(np.concatenate(texts))
+        words = words[np.r_[True, words[1:] != words[:-1]]] if len(words) else words
+        yield pa.RecordBatch.from_pylist(list(dealt(words, [words], {}, shards, 0)), BLOB)
+
+
+def count_tokens(batches: Iterator[pa.RecordBatch], model: Model, batch_tokens: int) -> Iterator[pa.RecordBatch]:
+    """The n-grams of the highest order in a task's documents."""
+    for texts in hashed(batches, batch_tokens):
+        words, _ = model.grams(tokens(texts, model)[0])
+        texts.clear()
+        key, words, counts = added_up(words, {"adjusted": np.ones(len(words[0]), np.int64)})
+        yield pa.RecordBatch.from_pylist(list(dealt(key, words, counts | {"raw": counts["adjusted"]}, model.shards, model.order)), BLOB)
 
 
 def write_array(folder: str, name: str, values: np.ndarray) -> None:
@@ -126,15 +130,23 @@ def write_array(folder: str, name: str, values: np.ndarray) -> None:
     os.replace(part, f"{folder}/{name}.npy")
 
 
-def add_shard(table: pa.Table, folder: str, level: int, shards: int, order: int) -> pa.Table:
+def write_words(table: pa.Table, folder: str) -> pa.Table:
+    """Writes a shard's words as a sorted array; gives how many there are."""
+    words = np.unique(np.concatenate([np.frombuffer(parts[0], np.uint64) for parts in table.column("words").to_pylist()]))
+    shard = table.column("shard")[0].as_py()
+    write_array(folder, f"0-{shard}-key", words)
+    return pa.Table.from_pylist([{"numbers": [len(words)], "level": 0, "shard": shard}], DONE)
+
+
+def add_shard(table: pa.Table, model: Model, level: int) -> pa.Table:
     """Writes a shard's n-grams as sorted arrays; gives its numbers and what it adds to the next lower order."""
+    folder, shards, order = model.folder, model.shards, model.order
     rows = table.to_pylist()
-    width = len(rows[0]["words"])
-    words = [np.concatenate([np.frombuffer(r["words"][i], np.uint64) for r in rows]) for i in range(width)]
+    words = [np.concatenate([np.frombuffer(r["words"][i], model.number) for r in rows]) for i in range(level)]
     names = COUNTS[:2] if level == order else COUNTS
     counts: dict[str, list[np.ndarray]] = {name: [] for name in names}
     for r in rows:
-        size = len(r["words"][0]) // 8
+        size = len(r["words"][0]) // model.number.itemsize
         own = {n: np.frombuffer(c, np.dtype(k)) for n, c, k in zip(r["names"], r["counts"], r["kinds"], strict=True)}
         for name in names:
             counts[name].append(own.get(name, np.zeros(size, np.int64)).astype(np.int64))
@@ -187,30 +199,53 @@ class Level:
 
 @dataclass
 class Model:
-    """Where the arrays are, and the numbers of each order."""
+    """Where the arrays are, the number of each shard's first word, and the numbers of each order."""
 
     folder: str
     order: int
     shards: int
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
     levels: dict[int, Level] = field(default_factory=dict)
 
+    @property
+    def number(self) -> np.dtype:
+        """The type of words' numbers."""
+        return np.dtype(np.uint32 if self.starts[-1] < 1 << 32 else np.uint64)
+
+    def numbers_of(self, words: np.ndarray) -> np.ndarray:
+        """The numbers of words given by their hashes."""
+        asked, place = np.unique(words, return_inverse=True)
+        out = np.full(len(asked), UNSEEN, self.number)
+        for shard, part in self._by_shard(asked):
+            known = np.load(f"{self.folder}/0-{shard}-key.npy", mmap_mode="r")
+            at = np.minimum(np.searchsorted(known, asked[part]), len(known) - 1)
+            out[part] = np.where(known[at] == asked[part], self.starts[shard] + at, UNSEEN)
+        return out[place]
+
+    def grams(self, found: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """The words of the n-grams of the highest order that end with a token of a text, and where these end."""
+        real = np.flatnonzero(found[self.order - 1:] != BEGIN) + self.order - 1
+        return [found[real - self.order + 1 + i] for i in range(self.order)], real
+
+    def _by_shard(self, asked: np.ndarray, level: int = 0) -> Iterator[tuple[int, slice]]:
+        """The shards that have an array of a level, each with its stretch of sorted hashes."""
+        edges = np.searchsorted(shard_of(asked, self.shards), np.arange(self.shards + 1))
+        for shard in np.flatnonzero(edges[1:] > edges[:-1]):
+            if os.path.exists(f"{self.folder}/{level}-{shard}-key.npy"):  # else nothing of the corpus is in its range
+                yield int(shard), slice(edges[shard], edges[shard + 1])
+
     def look_up(self, level: int, key: np.ndarray, names: tuple[str, ...]) -> dict[str, np.ndarray]:
         """Counts of n-grams by hash, 0 where there are none. Arrays are mapped shard by shard and let go."""
         asked, place = np.unique(key, return_inverse=True)
         out = {name: np.zeros(len(asked), np.int64) for name in names}
-        shards = shard_of(asked, self.shards)
-        edges = np.searchsorted(shards, np.arange(self.shards + 1))
-        for shard in np.flatnonzero(edges[1:] > edges[:-1]):
+        for shard, part in self._by_shard(asked, level):
             stem = f"{self.folder}/{level}-{shard}-"
-            if not os.path.exists(f"{stem}key.npy"):
-                continue  # no n-gram of the corpus is in its range
-            part = np.arange(edges[shard], edges[shard + 1])
             known = np.load(f"{stem}key.npy", mmap_mode="r")
             at = np.minimum(np.searchsorted(known, asked[part]), len(known) - 1)
-            hit = known[at] == asked[part]
+            hit = np.flatnonzero(known[at] == asked[part])
             for name in names:
                 if os.path.exists(f"{stem}{name}.npy"):
-                    out[name][part[hit]] = np.load(f"{stem}{name}.npy", mmap_mode="r")[at[hit]]
+                    out[name][part.start + hit] = np.load(f"{stem}{name}.npy", mmap_mode="r")[at[hit]]
         return {name: values[place] for name, values in out.items()}
 
 
@@ -223,7 +258,7 @@ def _mounted(path: str) -> str:
 
 
 def train(docs: DataFrame, text_col: str = "text", *, order: int = 2, model_dir: str | None = None, shard_bytes: int = 16_000_000,
-          batch_tokens: int = 2_000_000) -> Model:
+          batch_tokens: int = 1_000_000) -> Model:
     """A model of the words of all texts, A-Z lower-cased, each text ended by a token of its own.
 
     Every n-gram of every text is kept: none is pruned. Null and empty texts are one end. No documents give a model that
@@ -241,31 +276,36 @@ def train(docs: DataFrame, text_col: str = "text", *, order: int = 2, model_dir:
     folder = _mounted(f"{model_dir.rstrip('/')}/kneser-ney-{uuid.uuid4().hex}" if model_dir else new_work_path(spark, "kneser-ney"))
     os.makedirs(folder)
     model = Model(folder, order, shards)
-    blobs = texts.mapInArrow(lambda batches: count_tokens(batches, order, shards, batch_tokens), BLOB_DDL)
+    listed = texts.mapInArrow(lambda batches: list_words(batches, shards, batch_tokens), BLOB_DDL)
+    sizes = _shards(spark, listed, lambda table: write_words(table, folder)).select("shard", F.get("numbers", F.lit(0)).alias("n"))
+    starts = np.full(shards + 1, FIRST, np.int64)
+    for row in sizes.collect():
+        starts[row["shard"] + 1:] += row["n"]
+    model.starts = starts
+    blobs = texts.mapInArrow(lambda batches: count_tokens(batches, model, batch_tokens), BLOB_DDL)
     for level in range(order, 0, -1):
-        blobs, model.levels[level] = _level(spark, blobs, model, level)
+        done = _shards(spark, blobs, lambda table, level=level: add_shard(table, model, level))
+        sums = [F.coalesce(F.sum(F.get("numbers", F.lit(i))), F.lit(0)).alias(name) for i, name in enumerate(NUMBERS)]
+        model.levels[level] = Level(**done.filter(F.col("numbers").isNotNull()).select("numbers").agg(*sums).first().asDict())
+        blobs = done.filter(F.col("numbers").isNull()).drop("numbers")
     return model
 
 
-def _level(spark: SparkSession, blobs: DataFrame, model: Model, level: int) -> tuple[DataFrame, Level]:
-    folder, shards, order = model.folder, model.shards, model.order
-
-    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return add_shard(table, folder, level, shards, order)
+def _shards(spark: SparkSession, blobs: DataFrame, work: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """What ``work`` makes of each shard, written."""
+    def run(table: pa.Table) -> pa.Table:
+        return work(table)
 
-    done = materialize(blobs.groupBy("shard").applyInArrow(add, DONE_DDL), "n-grams")
+    done = materialize(blobs.groupBy("shard").applyInArrow(run, DONE_DDL), "n-grams")
     finished(spark)
-    sums = [F.coalesce(F.sum(F.get("numbers", F.lit(i))), F.lit(0)).alias(name) for i, name in enumerate(NUMBERS)]
-    numbers = done.filter(F.col("numbers").isNotNull()).select("numbers").agg(*sums).first().asDict()
-    return done.filter(F.col("numbers").isNull()).drop("numbers"), Level(**numbers)
+    return done
 
 
 def log_probabilities(model: Model, texts: list[str | None]) -> tuple[np.ndarray, ...]:
     """For each text: tokens, known tokens, log10 probability of the add-0.1 unigram model and of the model."""
     order = model.order
-    found, ends = tokens(texts, order)
-    real = np.flatnonzero(found[order - 1:] != BEGIN) + order - 1
-    words = [found[real - order + 1 + i] for i in range(order)]
+    found, ends = tokens([word_hashes(t or "") for t in texts], model)
+    words, real = model.grams(found)
     unigrams = model.levels[1]
     lowest = model.look_up(1, gram_hash(words[-1:]), ("adjusted", "raw"))
     base = np.log10((lowest["raw"] + 0.1) / (unigrams.raw_total + 0.1 * (unigrams.n_grams + 1)))
