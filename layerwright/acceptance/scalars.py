@@ -12,7 +12,7 @@ from layerwright.functions.text import (
     localized, plural, smallest_match, snake_case, title_from_identifier,
 )
 from layerwright.operators.nested import (
-    flatten_structs, nested_to_json, unnest_json_array, value_of_key,
+    flatten_structs, json_rejects, nested_to_json, unnest_json_array, value_of_key,
 )
 from layerwright.sources.readers import components_of_type, next_cursor, pages_of_arrays, pages_of_nodes
 
@@ -215,16 +215,30 @@ _ACTION = {"event_id": "bigint", "kind": "string", "amount": "int", "absent": "s
            CASE WHEN event_type IN ('signup', 'error') THEN NULL ELSE event_type END AS kind,
            CASE WHEN event_type IN ('signup', 'error') OR k = 2 THEN NULL ELSE CAST(floor(value) AS INT) END AS amount,
            CAST(NULL AS VARCHAR) AS absent
-    FROM events, (SELECT unnest([1, 2]) AS k) WHERE k = 1 OR event_type NOT IN ('signup', 'error')""")
+    FROM events, (SELECT unnest([1, 2]) AS k)
+    WHERE k = 1 OR (event_type NOT IN ('signup', 'error') AND event_id % 11 <> 3)""")
 def q_lateral_outer_unnest(spark, sf):
-    actions = (
+    """Some arrays are cut off inside their second element, which costs them no more than that."""
+    rows = unnest_json_array(_visits_with_actions(spark, sf), "actions", _ACTION, "action")
+    return rows.select("visit_id", "action.event_id", "action.kind", "action.amount", "action.absent")
+
+
+@registry.add("q_unnest_rejects", """
+    SELECT event_id AS visit_id, 2 AS place, '{"event_id":' || event_id || ',"kind":"' || event_type || '","am' AS element
+    FROM events WHERE event_type NOT IN ('signup', 'error') AND event_id % 11 = 3""")
+def q_unnest_rejects(spark, sf):
+    return json_rejects(_visits_with_actions(spark, sf), "actions")
+
+
+def _visits_with_actions(spark, sf):
+    whole = (
         "case event_type when 'signup' then null when 'error' then '[]' else to_json(array("
         "named_struct('event_id', event_id, 'kind', event_type, 'amount', cast(cast(floor(value) as int) as string)),"
-        "named_struct('event_id', event_id, 'kind', event_type, 'amount', 'unknown'))) end as actions"
+        "named_struct('event_id', event_id, 'kind', event_type, 'amount', 'unknown'))) end"
     )
-    visits = table(spark, sf, "events").selectExpr("event_id as visit_id", actions)
-    rows = unnest_json_array(visits, "actions", _ACTION, "action")
-    return rows.select("visit_id", "action.event_id", "action.kind", "action.amount", "action.absent")
+    cut = "substr(actions, 1, length(actions) - length('ount\":\"unknown\"}]'))"
+    visits = table(spark, sf, "events").selectExpr("event_id as visit_id", f"{whole} as actions")
+    return visits.selectExpr("visit_id", f"case when visit_id % 11 = 3 and length(actions) > 2 then {cut} else actions end as actions")
 
 
 @registry.add("q_complex_to_json", """

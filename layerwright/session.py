@@ -23,7 +23,6 @@ def build_session(app: str = "layerwright", master: str | None = None, **conf: s
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Lets a join on (poll, relation, chunk) use rows that are distributed by (poll, chunk).
         "spark.sql.requireAllClusterKeysForCoPartition": "false",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -1,20 +1,22 @@
 """Writing layer tables.
 
-A table on plain files cannot be changed in place. ``full_refresh`` writes anew and switches a name,
-``replace_days`` overwrites the days it replaces; ``upsert`` rewrites only the key parts that the batch touches, through a staged
-copy, so that no plan reads what it overwrites. Table formats with ``MERGE INTO`` delete and insert. Every sink tells how many rows it
-deleted and wrote.
+A table on plain files cannot be changed in place. ``full_refresh`` writes anew and switches a name; ``replace_days`` and
+``upsert`` replace the partitions that a batch touches and no others, whatever the session's settings. A batch is read once, into
+a table of its own; what the touched partitions are to hold is written next; then the change is noted in the table's properties and carried out, and a
+run that dies on the way is finished by the next one (:func:`recover`). Table formats with ``MERGE INTO`` delete and insert. Every sink
+tells how many rows it deleted and wrote.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,9 +28,12 @@ MERGE_FORMATS = ("delta", "iceberg", "hudi")
 PART_COLUMN = "_key_part"
 RANGE_SIZE = 1_000_000
 NO_KEY = "none"
-#: Table properties: how a key is cut into parts; whose version a table is, in which state, and since when.
-SIZE, PARTS, ROWS = "layerwright.range_size", "layerwright.parts", "layerwright.rows"
+LEAST_PARTS = 4
+#: Table properties: how a key is cut into parts, and how many rows there are; whose version a table is, in which state, and since when.
+SIZE, PARTS, ROWS = "layerwright.range_size", "layerwright.hash_parts", "layerwright.rows"
 VERSION_OF, STATE, SINCE = "layerwright.version_of", "layerwright.state", "layerwright.since"
+#: A change that is being made, and the last batch of each stream that was taken in.
+PENDING, TAKEN = "layerwright.pending", "layerwright.taken."
 
 
 @dataclass(frozen=True)
@@ -42,9 +47,29 @@ class Changed:
         return self.rows_written > 0 or self.rows_deleted > 0
 
 
+@dataclass(frozen=True)
+class Batch:
+    """A numbered batch of a stream. A sink takes each number once, in order."""
+
+    stream: str
+    number: int
+
+    @property
+    def taken(self) -> dict[str, str]:
+        return {TAKEN + self.stream: str(self.number)}
+
+
+class RowsLost(Exception):
+    """A table does not hold what a change should have left; the change stays noted, with the rows it was to write."""
+
+
+def _described(spark: SparkSession, table: str, what: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == what).collect()
+    return rows[-1]["data_type"] if rows else ""
+
+
 def _provider(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").collect()
-    return rows[0]["data_type"].lower() if rows else ""
+    return _described(spark, table, "Provider").lower()
 
 
 def _properties(spark: SparkSession, table: str) -> dict[str, str]:
@@ -52,7 +77,10 @@ def _properties(spark: SparkSession, table: str) -> dict[str, str]:
 
 
 def _set_properties(spark: SparkSession, table: str, **values: str) -> None:
-    text = ", ".join(f"'{k}' = '{v}'" for k, v in values.items())
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    text = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in values.items())
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({text})")
 
 
@@ -61,18 +89,19 @@ def _ensure_database(spark: SparkSession, table: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.rsplit('.', 1)[0]}")
 
 
-def _counted(rows: DataFrame) -> tuple[DataFrame, Observation]:
-    """Rows that are counted as they are written."""
-    seen = Observation()
-    return rows.observe(seen, F.count(F.lit(1)).alias("n")), seen
+def _written_beside(rows: DataFrame, table: str) -> str:
+    """The rows as a table beside the one that is changed."""
+    name = f"{table}__staged_{uuid.uuid4().hex[:12]}"
+    _ensure_database(rows.sparkSession, name)
+    rows.write.saveAsTable(name)
+    return name
 
 
 @contextmanager
-def _staged(rows: DataFrame, near: str):
-    """A copy of the rows as a table beside the one that is changed, dropped in the end."""
-    spark, name = rows.sparkSession, f"{near}__staged_{uuid.uuid4().hex[:12]}"
+def _staged(rows: DataFrame, table: str) -> Iterator[DataFrame]:
+    """A copy of the rows, dropped in the end. Whatever is asked of it, the rows themselves are read once."""
+    spark, name = rows.sparkSession, _written_beside(rows, table)
     try:
-        rows.write.saveAsTable(name)
         yield spark.table(name)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
@@ -94,112 +123,197 @@ def record_version(spark: SparkSession, version: str, table: str) -> None:
 def full_refresh(batch: DataFrame, table: str, keep_on_empty: bool = True) -> Changed:
     """Replace all rows by the batch. An empty batch leaves them by default.
 
-    The batch is written to a table of its own and the name, a view, is switched to it, so that a
-    failed run costs nothing.
+    The batch is read once, into a table of its own; then the name, a view, is switched to it, so that a failed run costs
+    nothing. How many rows there were is stored with the version that is replaced.
     """
     spark = batch.sparkSession
-    if keep_on_empty and batch.isEmpty():
+    version = new_version(nested_to_json(batch), table)
+    n = spark.table(version).count()
+    if not n and keep_on_empty:
+        spark.sql(f"DROP TABLE {version}")
         return Changed()
-    old = spark.table(table).count() if spark.catalog.tableExists(table) else 0
-    rows, seen = _counted(nested_to_json(batch))
-    version = new_version(rows, table)
+    _set_properties(spark, version, **{ROWS: str(n)})
     database, _, name = table.rpartition(".")
-    switch_view(spark, database or spark.catalog.currentDatabase(), name, version)
-    return Changed(old, seen.get["n"])
+    database = database or spark.catalog.currentDatabase()
+    old = _rows_of_published(spark, table, database, name)
+    switch_view(spark, database, name, version)
+    return Changed(old, n)
+
+
+def _rows_of_published(spark: SparkSession, table: str, database: str, name: str) -> int:
+    if not spark.catalog.tableExists(table):
+        return 0
+    for row in spark.sql(f"SHOW TABLES IN {database} LIKE '{name}__*'").collect():
+        kept = _properties(spark, f"{database}.{row['tableName']}")
+        if kept.get(VERSION_OF) == f"{database}.{name}".lower() and kept.get(STATE) == "published" and ROWS in kept:
+            return int(kept[ROWS])
+    return spark.table(table).count()
 
 
-def replace_days(batch: DataFrame, table: str, day: str = "serverDate") -> Changed:
+def replace_days(batch: DataFrame, table: str, day: str = "serverDate", once: Batch | None = None) -> Changed:
     """Replace the days that the batch holds. The table is partitioned by day; others stay untouched.
 
-    Rows without a day belong to no day: those of the batch are added, those of the table stay.
+    Rows without a day belong to no day: those of the batch are added, those of the table stay. Columns that the batch lacks are
+    null; ``once`` names the batch of a stream, which is left out if the table has taken it in before.
     """
     spark = batch.sparkSession
-    rows = nested_to_json(batch)
-    if rows.isEmpty():
+    if _taken(spark, table, once):
         return Changed()
-    if not spark.catalog.tableExists(table):
-        _ensure_database(spark, table)
-        counted, seen = _counted(rows.hint("rebalance", F.col(day)))
-        counted.write.partitionBy(day).saveAsTable(table)
-        return Changed(0, seen.get["n"])
-    target = spark.table(table)
-    columns = _known_columns(rows, target)
-    days = rows.select(day).distinct()
-    deleted = target.select(day).join(days, day, "left_semi").count()
-    counted, seen = _counted(rows.select(*columns))
-    if rows.where(F.col(day).isNull()).isEmpty():
-        _overwrite_parts(counted, table, day)
-    else:  # the partition of rows without a day is overwritten too, so what it holds is written again
-        with _staged(target.where(F.col(day).isNull()), table) as kept:
-            _overwrite_parts(counted.unionByName(kept.select(*columns)), table, day)
-    return Changed(deleted, seen.get["n"])
-
-
-def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANGE_SIZE) -> Changed:
+    with _staged(nested_to_json(batch), table) as rows:
+        n = rows.count()
+        if not n:
+            return Changed()
+        _create(rows, table, day)
+        target = spark.table(table)
+        content = _written_beside(_shaped(rows, target), table)
+        deleted = target.select(day).join(rows.select(day).distinct(), day, "left_semi").count()
+        if not rows.where(F.col(day).isNull()).isEmpty():  # the partition of rows without a day keeps what it has
+            target.where(F.col(day).isNull()).write.mode("append").saveAsTable(content)
+        _replace_parts(spark, table, day, content, [], once.taken if once else {})
+    return Changed(deleted, n)
+
+
+def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANGE_SIZE, once: Batch | None = None) -> Changed:
     """Delete target rows whose key is in the batch and add the batch; an empty batch does nothing.
 
-    A table on plain files is partitioned by ranges of a whole-number key, or by hash parts of another, whose number
-    is stored with the table and grows with it. Only parts with a changed key are read and rewritten, so with
-    ascending numbers a daily batch of recent rows costs no more than the last ranges. Rows without a key match nothing: those of the
-    batch are added, those of the table stay. Rows of the batch that repeat a key are all added, in every format.
+    A table on plain files is partitioned by ranges of a whole-number key, or by hash parts of another. Only parts with a changed key
+    are read and rewritten, so with ascending numbers a daily batch of recent rows costs no more than the last ranges. Hash parts
+    are split as the table grows, a few at a time and along with those that a batch rewrites anyway. Rows without a key match nothing: those of the
+    batch are added, those of the table stay. Rows of the batch that repeat a key are all added, in every format. Columns that the
+    batch lacks are null; ``once`` names the batch of a stream, which is left out if the table has taken it in before.
     """
     spark = batch.sparkSession
-    rows = nested_to_json(batch)
-    if rows.isEmpty():
+    if _taken(spark, table, once):
         return Changed()
-    if not spark.catalog.tableExists(table):
-        _ensure_database(spark, table)
+    with _staged(nested_to_json(batch), table) as rows:
         n = rows.count()
-        parts = _parts_for(n, range_size)
-        placed = _with_part(rows, key, range_size, parts)
-        placed.hint("rebalance", F.col(PART_COLUMN)).write.partitionBy(PART_COLUMN).saveAsTable(table)
-        _set_properties(spark, table, **{SIZE: str(range_size), PARTS: str(parts), ROWS: str(n)})
-        return Changed(0, n)
-    if _provider(spark, table) in MERGE_FORMATS:
-        return _delete_and_insert(rows, table, key)
-    stored = _properties(spark, table)
-    range_size, parts = int(stored.get(SIZE, range_size)), int(stored[PARTS])
-    target = spark.table(table)
-    placed = _with_part(rows, key, range_size, parts)
-    columns = _known_columns(placed, target)
-    touched = target.join(F.broadcast(placed.select(PART_COLUMN).distinct()), PART_COLUMN, "left_semi")
-    before, had = _counted(touched)
-    counted, seen = _counted(placed)
-    with _staged(upserted(before, counted, key).select(*columns), table) as staged:
-        after = staged.count()
-        _overwrite_parts(staged, table, PART_COLUMN)
-    written, deleted = seen.get["n"], had.get["n"] + seen.get["n"] - after
-    total = int(stored.get(ROWS, 0)) + written - deleted
-    _set_properties(spark, table, **{ROWS: str(total)})
-    if not _whole_number(rows, key) and _parts_for(total, range_size) >= 2 * parts:
-        _cut_anew(spark, table, key, range_size, _parts_for(total, range_size))
-    return Changed(deleted, written)
+        if not n:
+            return Changed()
+        if spark.catalog.tableExists(table) and _provider(spark, table) in MERGE_FORMATS:
+            return _delete_and_insert(rows, table, key, once)
+        numbered = _whole_number(rows, key)
+        first = {SIZE: str(range_size), ROWS: "0", PARTS: str(0 if numbered else _parts_for(n, range_size))}
+        _create(rows.withColumn(PART_COLUMN, F.lit("")), table, PART_COLUMN, first)
+        stored = _properties(spark, table)
+        if PARTS not in stored:
+            raise ValueError(f"{table} was not made by upsert")
+        size, parts, total = (int(stored[name]) for name in (SIZE, PARTS, ROWS))
+        if numbered != (parts == 0):
+            raise ValueError(f"{table} is cut by another type of key")
+        target = spark.table(table)
+        shaped = _shaped(rows, target)
+        own = _with_part(shaped, key, size, parts).select(PART_COLUMN, key).distinct()
+        deleted = target.join(own, [PART_COLUMN, key], "left_semi").count()
+        total += n - deleted
+        more = max(parts, _parts_for(total, size)) if parts else 0
+        moved = [(f"p{_parent(j, parts)}",) for j in range(parts, more)]
+        touched = own.select(PART_COLUMN)
+        if moved:
+            touched = touched.union(spark.createDataFrame(moved, f"{PART_COLUMN} string"))
+        before = target.join(touched.distinct(), PART_COLUMN, "left_semi")
+        after = _with_part(upserted(before, shaped, key), key, size, more)
+        content = _written_beside(after.select(*target.columns), table)
+        left = spark.createDataFrame(moved, f"{PART_COLUMN} string").join(spark.table(content), PART_COLUMN, "left_anti").distinct().collect() if moved else []
+        done = {ROWS: str(total), PARTS: str(more), **(once.taken if once else {})}
+        _replace_parts(spark, table, PART_COLUMN, content, [r[0] for r in left], done)
+    return Changed(deleted, n)
+
+
+def _taken(spark: SparkSession, table: str, once: Batch | None) -> bool:
+    """Whether a table has taken a batch in, after finishing what an earlier run has left."""
+    recover(spark, table)
+    if once is None or not spark.catalog.tableExists(table):
+        return False
+    return int(_properties(spark, table).get(TAKEN + once.stream, -1)) >= once.number
+
+
+def _create(rows: DataFrame, table: str, part: str, properties: dict[str, str] | None = None) -> None:
+    """An empty table for such rows, if there is none."""
+    spark = rows.sparkSession
+    if not spark.catalog.tableExists(table):
+        rows.limit(0).write.partitionBy(part).saveAsTable(table)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{STATE}' = 'made')")
+    kept = _properties(spark, table)
+    if properties and not any(name in kept for name in properties) and kept.get(STATE) == "made":
+        _set_properties(spark, table, **properties)
 
 
-def _parts_for(rows: int, range_size: int) -> int:
-    return max(4, -(-rows // range_size))
+def _replace_parts(spark: SparkSession, table: str, part: str, content: str, gone: list[str], done: dict[str, str]) -> None:
+    """Let the partitions that ``content`` has rows of hold just these, and drop those in ``gone``; then ``done`` are the table's properties."""
+    todo = {"content": content, "part": part, "gone": gone, "done": done}
+    _set_properties(spark, table, **{PENDING: json.dumps(todo)})
+    recover(spark, table)
+
+
+def recover(spark: SparkSession, table: str) -> bool:
+    """Finish a change that was noted but not finished; false if there is none. Every sink calls it first.
+
+    All of it can be done again: the rows to write wait in a table of their own until they are in place and counted.
+    """
+    todo = json.loads((_properties(spark, table).get(PENDING) if spark.catalog.tableExists(table) else None) or "{}")
+    if not todo:
+        return False
+    part, content = todo["part"], spark.table(todo["content"])
+    before = _partitions(spark, table)
+    # By path: there the option counts, while a write by the table's name goes by the session's setting alone.
+    dealt = content.hint("rebalance", F.col(part)).write.format(_provider(spark, table)).partitionBy(part)
+    dealt.option("partitionOverwriteMode", "dynamic").mode("overwrite").save(_described(spark, table, "Location"))
+    for value in todo["gone"]:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{part}` = '{value}')")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+    _check(spark, table, part, content, before - {f"{part}={value}" for value in todo["gone"]})
+    _set_properties(spark, table, **todo["done"], **{PENDING: ""})
+    spark.sql(f"DROP TABLE IF EXISTS {todo['content']}")
+    return True
+
+
+def _partitions(spark: SparkSession, table: str) -> set[str]:
+    return {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def _check(spark: SparkSession, table: str, part: str, content: DataFrame, expected: set[str]) -> None:
+    """The partitions of before are there, and those that were replaced have the rows they were to have."""
+    lost = expected - _partitions(spark, table)
+    if lost:
+        raise RowsLost(f"{table} has lost {', '.join(sorted(lost)[:5])}")
+    target, parts = spark.table(table).select(part), content.select(part).distinct()
+    held = target.join(parts, part, "left_semi").count()
+    if part != PART_COLUMN and not parts.where(F.col(part).isNull()).isEmpty():
+        held += target.where(F.col(part).isNull()).count()
+    if held != (wanted := content.count()):
+        raise RowsLost(f"the replaced partitions of {table} have {held} rows instead of {wanted}")
 
 
-def _cut_anew(spark: SparkSession, table: str, key: str, range_size: int, parts: int) -> None:
-    """Deal a grown table to more hash parts: rewritten as a whole, each time it has doubled."""
-    with _staged(_with_part(spark.table(table).drop(PART_COLUMN), key, range_size, parts), table) as staged:
-        rows = staged.select(*spark.table(table).columns)
-        rows.hint("rebalance", F.col(PART_COLUMN)).write.option("partitionOverwriteMode", "static").mode("overwrite").insertInto(table)
-    _set_properties(spark, table, **{PARTS: str(parts)})
+def _parts_for(rows: int, range_size: int) -> int:
+    return max(LEAST_PARTS, -(-rows // range_size))
 
 
-def _overwrite_parts(rows: DataFrame, table: str, part: str) -> None:
-    """Replace the partitions that the rows hold. Dealt by partition, so that each is a few files of a useful size."""
-    dealt = rows.hint("rebalance", F.col(part))
-    dealt.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
+def _parent(part: int, parts: int) -> int:
+    """The hash part whose rows a new part takes over some of."""
+    while part >= parts:
+        part -= 1 << (part.bit_length() - 1)
+    return part
 
 
-def _known_columns(batch: DataFrame, target: DataFrame) -> list[str]:
-    """Columns of the target; a batch column that it lacks is an error, not something to lose silently."""
-    new = {c.lower() for c in batch.columns} - {c.lower() for c in target.columns}
+def _shaped(batch: DataFrame, target: DataFrame) -> DataFrame:
+    """The batch in the columns and types of the target; a column that it lacks is an error, not something to lose silently."""
+    have = {c.lower(): c for c in batch.columns}
+    new = set(have) - {c.lower() for c in target.columns}
     if new:
         raise ValueError(f"the table has no column {', '.join(sorted(new))}")
-    return target.columns
+
+    def value(f: T.StructField) -> Column:
+        name = have.get(f.name.lower())
+        if name is None:
+            return F.lit(None).cast(f.dataType)
+        col = F.col(f"`{name}`")
+        if batch.schema[name].dataType == f.dataType:
+            return col
+        problem = F.concat(F.lit(f"no {f.dataType.simpleString()} for {f.name}: "), col.cast("string"))
+        return F.coalesce(col.try_cast(f.dataType), F.when(col.isNotNull(), F.raise_error(problem)).cast(f.dataType))
+
+    return batch.select(*[value(f).alias(f.name) for f in target.schema.fields])
 
 
 def _whole_number(rows: DataFrame, key: str) -> bool:
@@ -207,25 +321,35 @@ def _whole_number(rows: DataFrame, key: str) -> bool:
 
 
 def _with_part(rows: DataFrame, key: str, range_size: int, parts: int) -> DataFrame:
-    """Rows with the part that their key is in; rows without a key are a part of their own."""
-    number: Column = F.expr(f"`{key}` DIV {int(range_size)}") if _whole_number(rows, key) else F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(parts))
-    named = F.when(F.col(f"`{key}`").isNotNull(), F.concat(F.lit("p"), number.cast("string")))
+    """Rows with the part that their key is in; rows without a key are a part of their own.
+
+    ``parts`` is the number of hash parts, 0 for ranges. A hash part beyond it is not split off yet: its rows are in its parent.
+    """
+    col = F.col(f"`{key}`")
+    if parts:
+        whole = 1 << (parts - 1).bit_length()
+        hashed = F.pmod(F.xxhash64(col), F.lit(whole))
+        number = F.when(hashed < parts, hashed).otherwise(hashed - whole // 2)
+    else:
+        number = F.expr(f"`{key}` DIV {int(range_size)}")
+    named = F.when(col.isNotNull(), F.concat(F.lit("p"), number.cast("string")))
     return rows.withColumn(PART_COLUMN, F.coalesce(named, F.lit(NO_KEY)))
 
 
-def _delete_and_insert(rows: DataFrame, table: str, key: str) -> Changed:
+def _delete_and_insert(rows: DataFrame, table: str, key: str, once: Batch | None) -> Changed:
     """The same on a format that can delete rows."""
     spark, view = rows.sparkSession, f"upsert_batch_{uuid.uuid4().hex}"
-    columns = _known_columns(rows, spark.table(table))
+    shaped = _shaped(rows, spark.table(table))
     deleted = spark.table(table).join(rows.select(key).distinct(), key, "left_semi").count()
     rows.createOrReplaceTempView(view)
     try:
         spark.sql(f"DELETE FROM {table} WHERE `{key}` IN (SELECT `{key}` FROM {view} WHERE `{key}` IS NOT NULL)")
-        counted, seen = _counted(rows.select(*columns))
-        counted.write.mode("append").insertInto(table)
+        shaped.write.mode("append").insertInto(table)
     finally:
         spark.catalog.dropTempView(view)
-    return Changed(deleted, seen.get["n"])
+    if once:
+        _set_properties(spark, table, **once.taken)
+    return Changed(deleted, rows.count())
 
 
 def publish_view(model: DataFrame, name: str) -> str:

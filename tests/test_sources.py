@@ -120,6 +120,36 @@ def test_unnest(spark):
         [(0, 12, "x"), (0, 7, None), (1, None, None), (2, None, None), (3, 5, None), (4, None, None)], key=str)
 
 
+BROKEN = {  # text: elements that are read, and rejects
+    '[{"a":"1"},{"a":"2"},{"a":"3': (["1", "2"], [(3, '{"a":"3')]),
+    '[{"a":"1"},{"a":"2"},{"a"': (["1", "2"], [(3, '{"a"')]),
+    ' [{"a":"1"} , {"a":"2"},': (["1", "2"], []),
+    '[{"a":"1"},{"a":"2"}': (["1", "2"], []),
+    '[{"a":"1"},7,"x,y",{"a":"2"}]': (["1", "2"], [(2, "7"), (3, '"x,y"')]),
+    '[{"a":"1"},{b},{"a":"2"}] junk': (["1", "2"], [(2, "{b}")]),
+    r'[{"a":"]},\\"{"},{"a":{"b":[1,{"c":2}]}},{"a":}]': ([']},"{', '{"b":[1,{"c":2}]}'], [(3, '{"a":}')]),
+    "x": ([], [(1, "x")]),
+    '{"a": "5"': ([], [(1, '{"a": "5"')]),
+    "[": ([], []),
+    "": ([], []),
+    " ": ([], []),
+}
+
+
+def test_broken_arrays_keep_their_good_elements(spark):
+    texts = [t.replace("\\\\", "\\") for t in BROKEN]
+    df = spark.createDataFrame(list(enumerate([*texts, None, '[{"a":"z"}]'])), "i int, j string")
+    got: dict = {}
+    for r in N.unnest_json_array(df, "j", {"a": "string"}).collect():
+        got.setdefault(r.i, []).append(r.item.a)
+    rejects: dict = {}
+    for r in N.json_rejects(df, "j").collect():
+        rejects.setdefault(r.i, []).append((r.place, r.element))
+    for i, (values, bad) in enumerate(BROKEN.values()):
+        assert got[i] == (values or [None]) and sorted(rejects.get(i, [])) == bad, texts[i]
+    assert got[len(texts)] == [None] and got[len(texts) + 1] == ["z"] and max(rejects) < len(texts)
+
+
 def test_flatten_and_find(spark):
     df = spark.createDataFrame([((1, (2, (3,))),)], "r struct<a:int,b:struct<c:int,d:struct<e:int>>>")
     assert N.flatten_structs(df).columns == ["r.a", "r.b.c", "r.b.d.e"]

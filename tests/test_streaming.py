@@ -84,6 +84,174 @@ def test_a_poll_cut_by_batches_equals_the_batch(spark, tmp_path, cut):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
 
 
+def run_changes(spark, tmp_path, part, **options):
+    part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    jobs.change_stream(jobs.landed_messages(spark, str(tmp_path / "in")), str(tmp_path / "o"), str(tmp_path / "c"), **options)
+
+
+def streamed(spark, tmp_path):
+    return spark.read.parquet(str(tmp_path / "o")).drop("batch_id")
+
+
+def assert_same_records(got, want):
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+
+
+def test_a_poll_that_misses_batches_keeps_its_relations(spark, tmp_path):
+    whole = landed(spark, {1: MESSAGES[:12], 2: MESSAGES[:4], 3: MESSAGES[:15]})
+    pieces = ["poll_id = 1 AND seq < 4", "poll_id = 2 AND seq < 2", "poll_id = 3 AND seq < 7", "poll_id = 2 AND seq >= 2",
+              "poll_id = 1 AND seq >= 4", "poll_id = 3 AND seq >= 7"]
+    for piece in pieces:
+        run_changes(spark, tmp_path, whole.where(piece))
+    got = streamed(spark, tmp_path)
+    assert_same_records(got, changes.change_records(whole).where("problem IS NULL OR problem <> 'open transaction'"))
+    # Of each relation of a poll the newest message is kept, however many came.
+    kept = jobs.held_messages(spark, str(tmp_path / "o"), len(pieces) - 1).collect()
+    assert sorted((r.poll_id, r.seq) for r in kept) == [(1, 8), (1, 11), (2, 1), (3, 8), (3, 12)]
+
+
+def test_a_silent_poll_is_over(spark, tmp_path):
+    first = landed(spark, {1: MESSAGES[:6]})
+    late = landed(spark, {2: MESSAGES[:4]}).withColumn("send_time", F.expr("send_time + INTERVAL 3 DAYS"))
+    for part in (first, late.where("seq < 2"), late.where("seq >= 2")):
+        run_changes(spark, tmp_path, part, quiet="2 days")
+    got = streamed(spark, tmp_path)
+    assert_same_records(got, changes.change_records(first.unionByName(late)))
+    assert got.where("problem = 'open transaction'").count() == 1
+    assert {r.poll_id for r in jobs.held_messages(spark, str(tmp_path / "o"), 2).collect()} == {2}
+
+
+class Died(Exception):
+    pass
+
+
+def test_a_repeated_batch_of_changes_equals_the_batch(spark, tmp_path, monkeypatch):
+    whole = landed(spark, {1: MESSAGES[:12], 2: MESSAGES[:4]})
+    real, died = jobs.latest_per_key, []
+
+    def dies_once(*args, **named):
+        if len(died) % 2 == 0:
+            died.append(1)
+            raise Died  # the records are written, what is kept is not
+        died.append(1)
+        return real(*args, **named)
+
+    for piece in ("seq < 3", "seq >= 3 AND seq < 9", "seq >= 9"):
+        with monkeypatch.context() as patched:
+            patched.setattr(jobs, "latest_per_key", dies_once)
+            with pytest.raises(Exception, match="Died"):
+                run_changes(spark, tmp_path, whole.where(piece))
+            jobs.change_stream(jobs.landed_messages(spark, str(tmp_path / "in")), str(tmp_path / "o"), str(tmp_path / "c"))
+    assert len(died) == 6
+    assert_same_records(streamed(spark, tmp_path), changes.change_records(whole).where("problem IS NULL OR problem <> 'open transaction'"))
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+@pytest.mark.parametrize("sink", ["upsert", "replace_days"])
+def test_a_repeated_batch_changes_nothing(spark, tmp_path, monkeypatch, sink, mode):
+    """The run dies when the table is written and the checkpoint has not moved; rows without key or day show it."""
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (None, None)], "id bigint, day string")
+    name, real = f"st2_{mode}.{sink}", getattr(jobs, sink)
+    calls = []
+
+    def dies_afterwards(*args, **named):
+        calls.append(real(*args, **named))
+        if len(calls) % 2:
+            raise Died
+
+    def run():
+        stream = jobs.landed_files(spark, str(tmp_path / "in"), rows.schema)
+        make = jobs.upsert_stream if sink == "upsert" else jobs.replace_days_stream
+        make(stream, name, "id" if sink == "upsert" else "day", str(tmp_path / "c"))
+
+    try:
+        for part in (rows, rows.where("id = 2 OR id IS NULL")):
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+            with monkeypatch.context() as patched:
+                patched.setattr(jobs, sink, dies_afterwards)
+                with pytest.raises(Exception, match="Died"):
+                    run()
+                run()
+        assert [bool(c) for c in calls] == [True, False, True, False]
+        assert sorted(spark.table(name).select("id").collect(), key=str) == sorted([(1,), (2,), (None,), (None,)], key=str)
+        # Another stream into the same table counts its batches on its own.
+        make = jobs.upsert_stream if sink == "upsert" else jobs.replace_days_stream
+        make(jobs.landed_files(spark, str(tmp_path / "in"), rows.schema), name, "id" if sink == "upsert" else "day", str(tmp_path / "other"))
+        assert spark.table(name).where("id IS NULL").count() == 4
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+#: Where a run of a feed fails or dies, what was received by then, and what the next run sends.
+STEPS = [("to_messages", [], [1, 2]), ("queued", [], [1, 2]), ("before", [], [1, 2]), ("delivery", [], [1, 2]), ("mark", [1, 2], [])]
+
+
+@pytest.mark.parametrize("step,received,then", STEPS)
+def test_a_feed_that_fails_sends_nothing_twice(spark, monkeypatch, step, received, then):
+    nodes = node(spark, state="accepted").unionByName(node(spark, id=2, publishedAt=dt.datetime(2024, 2, 1), updatedAt=None))
+    marks, sent = f"fr_{step}", []
+
+    def messages(rows, mark):
+        if step == "to_messages" and not broken:
+            broken.append(1)
+            raise Died
+        return feeds.proposal_feed(rows, "https://h", mark)
+
+    def deliver(rows):
+        if step == "delivery" and not broken:
+            broken.append(1)
+            raise Died
+        sent.extend(r.id for r in rows.collect())
+
+    def note(rows, outbox, state, with_text=False):
+        if (step, state) in (("queued", jobs.QUEUED), ("before", jobs.SENDING)) and not broken:
+            broken.append(1)
+            raise Died
+        return real_note(rows, outbox, state, with_text)
+
+    def save(*args):
+        if step == "mark" and not broken:
+            broken.append(1)
+            raise Died
+        return real_save(*args)
+
+    broken, real_note, real_save = [], jobs._note, jobs.save_mark
+    monkeypatch.setattr(jobs, "_note", note)
+    monkeypatch.setattr(jobs, "save_mark", save)
+    with pytest.raises(Died):
+        jobs.feed_run(nodes, messages, deliver, marks, "2023-01-01 00:00:00")
+    assert sent == received
+    assert jobs.feed_run(nodes, messages, deliver, marks, "2023-01-01 00:00:00") == len(then)
+    assert sent == received + then
+    assert jobs.feed_run(nodes, messages, deliver, marks, "2023-01-01 00:00:00") == 0
+    states = jobs.outbox_states(spark, f"{marks}_outbox").collect()
+    assert {(r.id, r.state) for r in states} == {("1", jobs.SENT), ("2", jobs.SENT)} and all("Proposta" in r.message for r in states)
+
+
+@pytest.mark.parametrize("choice,more", [("resend", [1, 2]), ("skip", [])])
+def test_a_feed_that_dies_while_sending_leaves_a_doubt(spark, monkeypatch, choice, more):
+    nodes = node(spark, state="accepted").unionByName(node(spark, id=2, publishedAt=dt.datetime(2024, 2, 1), updatedAt=None))
+    sent, marks = [], f"fd_{choice}"
+
+    def messages(rows, mark):
+        return feeds.proposal_feed(rows, "https://h", mark)
+
+    def dies(rows):
+        raise KeyboardInterrupt  # no error that the run could still note
+
+    with pytest.raises(KeyboardInterrupt):
+        jobs.feed_run(nodes, messages, dies, marks, "2023-01-01 00:00:00")
+
+    def deliver(rows):
+        sent.extend(r.id for r in rows.collect())
+
+    with pytest.raises(jobs.InDoubt, match="1, 2"):
+        jobs.feed_run(nodes, messages, deliver, marks, "2023-01-01 00:00:00")
+    assert jobs.feed_run(nodes, messages, deliver, marks, "2023-01-01 00:00:00", in_doubt=choice) == len(more)
+    assert sent == more and jobs.feed_run(nodes, messages, deliver, marks, "2023-01-01 00:00:00") == 0
+
+
 def test_feed_run_moves_the_mark_only_after_delivery(spark, tmp_path):
     nodes = node(spark, state="accepted").unionByName(node(spark, id=2, publishedAt=dt.datetime(2024, 2, 1), updatedAt=None))
     sent = []
