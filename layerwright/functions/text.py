@@ -5,7 +5,8 @@ from __future__ import annotations
 import html.entities
 import json
 import unicodedata
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -172,21 +173,38 @@ def drop_hashtags(col: Column) -> Column:
     return F.regexp_replace(col, HASHTAG_PATTERN, "")
 
 
-def to_ascii(col: Column) -> Column:
-    """Latin letters without their marks; other characters stay as they are."""
+def evaluated_once(col: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(col)`` with the value of ``col`` worked out once, however often ``of`` names it."""
+    return F.get(F.transform(F.array(col), of), F.lit(0))
+
+
+@lru_cache(maxsize=1)
+def _unmarked() -> tuple[str, str]:
+    """Latin letters with marks, and the letters without them."""
     source, target = [], []
     for point in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
         base = unicodedata.normalize("NFKD", chr(point))[0]
         if base.isascii() and base.isalpha() and base != chr(point):
             source.append(chr(point))
             target.append(base)
-    out = F.when(
-        col.rlike(r"[^\x00-\x7F]"), F.translate(col, "".join(source), "".join(target))
-    ).otherwise(col)
-    spelled_out = out
-    for char, spelled in _SPELLED_OUT.items():
-        spelled_out = F.replace(spelled_out, F.lit(char), F.lit(spelled))
-    return F.when(out.rlike("[" + "".join(_SPELLED_OUT) + "]"), spelled_out).otherwise(out)
+    return "".join(source), "".join(target)
+
+
+def _spelled_out(col: Column) -> Column:
+    """Letters that have a spelling of their own, spelled. Those of one letter go in one pass with the marks."""
+    source, target = _unmarked()
+    single = {c: s for c, s in _SPELLED_OUT.items() if len(s) == 1}
+    out = F.translate(col, source + "".join(single), target + "".join(single.values()))
+    longer = {c: s for c, s in _SPELLED_OUT.items() if len(s) != 1}
+    spelled = out
+    for char, text in longer.items():
+        spelled = F.replace(spelled, F.lit(char), F.lit(text))
+    return F.when(col.rlike("[" + "".join(longer) + "]"), spelled).otherwise(out)
+
+
+def to_ascii(col: Column) -> Column:
+    """Latin letters without their marks, letters with a known spelling spelled; other characters stay as they are."""
+    return evaluated_once(col, lambda t: F.when(t.rlike(r"[^\x00-\x7F]"), _spelled_out(t)).otherwise(t))
 
 
 def identifier(*parts: Column) -> Column:
@@ -195,12 +213,19 @@ def identifier(*parts: Column) -> Column:
     A letter or digit without a spelling here is put as its code point, as in ``U5317``, so that names in other scripts don't all
     become one; every other character is ``_``.
     """
-    joined = F.concat_ws("_", *[F.replace(F.upper(part), F.lit(" "), F.lit("_")) for part in parts])
-    plain = to_ascii(joined)
-    spelled = F.array_join(F.transform(F.split(plain, ""), lambda c: F.when(
-        c.rlike(r"^[^\x00-\x7F]\z") & c.rlike(r"^[\p{L}\p{N}]"), F.concat(F.lit("U"), F.lpad(F.hex(F.encode(c, "UTF-16BE")), 4, "0"))).otherwise(c)), "")
-    whole = F.when(plain.rlike(r"[\p{L}\p{N}&&[^\x00-\x7F]]"), spelled).otherwise(plain)
-    cleaned = F.regexp_replace(whole, r"[^A-Za-z0-9_]", "_")
+    other = r"[\p{L}\p{N}&&[^\x00-\x7F]]"
+
+    def coded(text: Column) -> Column:
+        """Each letter without a spelling as its code point; what stands between them is passed over in one piece."""
+        pieces = F.split(text, f"(?={other})|(?<={other})")
+        code = F.transform(pieces, lambda p: F.when(p.rlike(f"^{other}"), F.concat(F.lit("U"), F.lpad(F.hex(F.encode(p, "UTF-16BE")), 4, "0"))).otherwise(p))
+        return F.when(text.rlike(other), F.array_join(code, "")).otherwise(text)
+
+    def whole(text: Column) -> Column:
+        return F.when(text.rlike(r"[^\x00-\x7F]"), evaluated_once(_spelled_out(text), coded)).otherwise(text)
+
+    joined = F.concat_ws("_", *[F.upper(part) for part in parts])
+    cleaned = F.regexp_replace(evaluated_once(joined, whole), r"[^A-Za-z0-9_]", "_")
     return F.trim(cleaned, F.lit("_"))
 
 
