@@ -18,7 +18,7 @@ SITE = "https://site.example/processes/p/f/1/proposals"
 _STATES = ", ".join(f"('{k}', '{label}', '{sign}')" for k, (label, sign) in feeds.STATES.items())
 
 # An order is a proposal: open ones are accepted, finished ones rejected, the rest have no known state.
-_PROPOSALS_SQL = f"""
+PROPOSALS_SQL = f"""
     WITH labels_of(state, label, sign) AS (VALUES {_STATES}),
     p AS (
         SELECT o_orderkey AS id, o_orderdate AS published,
@@ -32,7 +32,7 @@ _PROPOSALS_SQL = f"""
         FROM p)"""
 
 
-def _nodes(spark, sf):
+def nodes(spark, sf):
     priority = F.col("o_orderpriority")
     updated = F.when(priority.isin("1-URGENT", "2-HIGH"), F.expr("o_orderdate + INTERVAL 2 DAY")).otherwise(
         F.col("o_orderdate"))
@@ -54,17 +54,17 @@ def _nodes(spark, sf):
     )
 
 
-@registry.add("q_state_label", _PROPOSALS_SQL + """
+@registry.add("q_state_label", PROPOSALS_SQL + """
     SELECT id, s.state, label, sign, date FROM s JOIN labels_of l ON s.state = l.state""")
 def q_state_label(spark, sf):
-    rows = feeds.proposal_rows(_nodes(spark, sf), SITE)
+    rows = feeds.proposal_rows(nodes(spark, sf), SITE)
     return rows.select(
         "id", "state", F.col("state_label").alias("label"), F.col("state_sign").alias("sign"),
         F.col("date").cast("timestamp_ntz").alias("date"),
     )
 
 
-@registry.add("q_notify_feed", _PROPOSALS_SQL + f"""
+@registry.add("q_notify_feed", PROPOSALS_SQL + f"""
     SELECT id, date, sign || ' Proposta <b>' || label || '</b>em ' || strftime(date, '%d/%m/%Y %H:%M')
            || chr(10) || chr(10) || '<b>Proposta</b>' || chr(10)
            || CASE WHEN o_orderstatus = 'P' THEN '-' ELSE 'Pedido ' || id END
@@ -78,15 +78,15 @@ def q_state_label(spark, sf):
     WHERE published > TIMESTAMP '{MARK}' OR updated > TIMESTAMP '{MARK}'""")
 def q_notify_feed(spark, sf):
     mark = F.lit(MARK).cast("timestamp")
-    rows = feeds.proposal_feed(_nodes(spark, sf), SITE, mark, own_organizations=["Own Office"])
+    rows = feeds.proposal_feed(nodes(spark, sf), SITE, mark, own_organizations=["Own Office"])
     return rows.select("id", F.col("date").cast("timestamp_ntz").alias("date"), "message")
 
 
-@registry.add("q_high_water_mark", _PROPOSALS_SQL + f"""
+@registry.add("q_high_water_mark", PROPOSALS_SQL + f"""
     SELECT max(date) AS max_datetime FROM s
     WHERE published > TIMESTAMP '{MARK}' OR updated > TIMESTAMP '{MARK}'""")
 def q_high_water_mark(spark, sf):
-    rows = feeds.proposal_rows(_nodes(spark, sf), SITE)
+    rows = feeds.proposal_rows(nodes(spark, sf), SITE)
     fresh = newer_than(rows, ["publishedAt", "updatedAt"], F.lit(MARK).cast("timestamp"))
     return high_water_mark(fresh, "date").select(F.col("max_datetime").cast("timestamp_ntz").alias("max_datetime"))
 
@@ -170,7 +170,7 @@ def q_comment_feed(spark, sf):
 # Configs: a supplier is a space, with one accepted component and one of another type.
 
 
-def _spaces(spark, sf):
+def spaces(spark, sf):
     key = F.col("s_suppkey").cast("string")
     balance = F.col("s_acctbal")
 
@@ -201,7 +201,7 @@ _CONFIGS = """
 
 @registry.add("q_config_rows", _CONFIGS)
 def q_config_rows(spark, sf):
-    return configs.config_rows(_spaces(spark, sf), "2024-01-31")
+    return configs.config_rows(spaces(spark, sf), "2024-01-31")
 
 
 def _stored(spark, sf):
@@ -234,7 +234,7 @@ _STORED = """
            sid IS NOT NULL AS was_stored
     FROM n LEFT JOIN o ON component_id = sid""")
 def q_config_merge(spark, sf):
-    merged = configs.merge_configs(configs.config_rows(_spaces(spark, sf), "2024-01-31"), _stored(spark, sf))
+    merged = configs.merge_configs(configs.config_rows(spaces(spark, sf), "2024-01-31"), _stored(spark, sf))
     return merged.select(
         "component_id", "process_id", "start_date", "end_date", "telegram_group_id",
         F.col("topics")["telegram_moderation_proposals_topic_id"].alias("kept_topic"),

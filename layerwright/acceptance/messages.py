@@ -101,7 +101,7 @@ def landed(spark, sf) -> DataFrame:
 
 
 # The same log in SQL: orders with their poll, schema in force and problem.
-_LOG = f"""
+LOG_SQL = f"""
     WITH o AS (
         SELECT *, CAST(year(o_orderdate) AS BIGINT) AS poll_id, o_orderkey * 8 AS base,
                o_orderkey = max(o_orderkey) OVER (PARTITION BY year(o_orderdate)) AS is_last,
@@ -170,7 +170,7 @@ def q_cdc_decode(spark, sf):
     )
 
 
-@registry.add("q_cdc_transactions", _LOG + """
+@registry.add("q_cdc_transactions", LOG_SQL + """
     SELECT DISTINCT poll_id, seq, CAST(o_orderkey AS INT) AS transaction_id, o_orderkey * 100 + 1 AS start_lsn,
            CASE WHEN NOT is_last THEN o_orderkey * 100 + 50 END AS end_lsn, broken AS problem FROM r""")
 def q_cdc_transactions(spark, sf):
@@ -181,7 +181,7 @@ def q_cdc_transactions(spark, sf):
     )
 
 
-@registry.add("q_cdc_schema_asof", _LOG + """
+@registry.add("q_cdc_schema_asof", LOG_SQL + """
     SELECT poll_id, seq, op AS operation_type, 'o_orderkey,o_custkey,' || named AS columns
     FROM r WHERE relation_id = 16400 AND problem IS NULL""")
 def q_cdc_schema_asof(spark, sf):
@@ -189,7 +189,7 @@ def q_cdc_schema_asof(spark, sf):
     return records.select("poll_id", "seq", "operation_type", F.array_join(F.map_keys("column_types"), ",").alias("columns"))
 
 
-@registry.add("q_cdc_changes", _LOG + """
+@registry.add("q_cdc_changes", LOG_SQL + """
     SELECT poll_id, seq, CASE WHEN relation_id = 16400 THEN 'public.orders' ELSE 'public.audit' END AS table_name,
            op AS operation_type, CAST(o_orderdate AS TIMESTAMP) AS operation_timestamp,
            CASE WHEN op IN ('U', 'D') THEN o_orderkey END AS key_before,
@@ -216,14 +216,14 @@ def q_cdc_changes(spark, sf):
     )
 
 
-@registry.add("q_cdc_rejects", _LOG + """
+@registry.add("q_cdc_rejects", LOG_SQL + """
     SELECT problem, op AS operation_type, count(*) AS n FROM r WHERE problem IS NOT NULL GROUP BY ALL""")
 def q_cdc_rejects(spark, sf):
     rejects = changes.change_rejects(landed(spark, sf))
     return rejects.groupBy("problem", "operation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registry.add("q_cdc_truncate", _LOG + """
+@registry.add("q_cdc_truncate", LOG_SQL + """
     SELECT poll_id, seq, CASE WHEN relation_id = 16400 THEN 'public.orders' ELSE 'public.audit' END AS table_name,
            CAST(o_orderkey AS INT) AS transaction_id
     FROM r WHERE op = 'T' AND problem IS NULL""")
@@ -245,7 +245,7 @@ def q_cdc_poll_cut(spark, sf):
     )
 
 
-@registry.add("q_cdc_latest_rows", _LOG + """
+@registry.add("q_cdc_latest_rows", LOG_SQL + """
     SELECT o_orderkey AS id, operation_type, customer
     FROM (SELECT o_orderkey, op AS operation_type, CASE WHEN op = 'I' THEN o_custkey END AS customer, seq
           FROM r WHERE problem IS NULL AND op <> 'T')

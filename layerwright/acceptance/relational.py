@@ -105,6 +105,26 @@ def q_upsert_by_key(spark, sf):
     return spark.table(_upserted(spark, sf)[0]).drop(PART_COLUMN)
 
 
+@registry.add("q_upsert_one_part", """
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey BETWEEN 100 AND 250 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN o_orderkey BETWEEN 100 AND 250 THEN 'x' ELSE o_orderstatus END AS o_orderstatus
+    FROM orders""")
+def q_upsert_one_part(spark, sf):
+    """A batch that is in one of many key ranges; then the same by text keys, for the other column, with parts that split."""
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    few = rows.where("o_orderkey BETWEEN 100 AND 250")
+    name = f"{scratch_database()}.u"
+    upsert(rows, name, "o_orderkey", range_size=1_000)
+    upsert(few.withColumn("o_totalprice", -F.col("o_totalprice")), name, "o_orderkey")
+    texts = spark.table(name).drop(PART_COLUMN).withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
+    changed = texts.where("CAST(o_orderkey AS BIGINT) BETWEEN 100 AND 250").withColumn("o_orderstatus", F.lit("x"))
+    by_text = f"{name}_by_text"
+    upsert(texts.where("CAST(o_orderkey AS BIGINT) <= 2000"), by_text, "o_orderkey", range_size=400)
+    for batch in (changed, texts.where("CAST(o_orderkey AS BIGINT) > 2000")):
+        upsert(batch, by_text, "o_orderkey")
+    return spark.table(by_text).drop(PART_COLUMN).withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
+
+
 @registry.add("q_upsert_metrics", _CHANGES + """
     SELECT (SELECT count(*) FROM target WHERE o_orderkey IN (SELECT o_orderkey FROM batch)) AS rows_deleted,
            (SELECT count(*) FROM batch) AS rows_written""")

@@ -9,6 +9,26 @@ from layerwright.operators.joins import spread_join
 from layerwright.session import materialize
 
 
+def with_ancestors(wanted: DataFrame, comments: DataFrame, comment_id: str, parent_id: str) -> DataFrame:
+    """Comments asked for and all that they reply to, up to the roots.
+
+    Every round looks up the parents that were not met before, in the stretch of ids that they are in, which the scan takes as a
+    filter; so the work goes with the threads of the comments asked for, and not with all that was ever written. It takes a round per
+    reply of the deepest thread.
+    """
+    met = materialize(wanted.select(*comments.columns), "window")
+    frontier = met
+    while True:
+        asked = frontier.select(F.col(parent_id).alias("_asked")).where("_asked IS NOT NULL").distinct()
+        asked = materialize(asked.join(met.select(F.col(comment_id).alias("_asked")), "_asked", "left_anti"), "parents")
+        ends = asked.agg(F.min("_asked").alias("low"), F.max("_asked").alias("high")).first()
+        if ends["low"] is None:
+            return met
+        near = comments.where(F.col(comment_id).between(F.lit(ends["low"]), F.lit(ends["high"])))
+        frontier = materialize(near.join(asked, F.col(comment_id) == F.col("_asked"), "left_semi"), "parents")
+        met = met.unionByName(frontier)
+
+
 def expand_threads(comments: DataFrame, comment_id: str, parent_id: str, root_id: str) -> DataFrame:
     """Every comment reachable from a root comment, with its thread.
 

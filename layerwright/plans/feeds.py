@@ -13,7 +13,7 @@ from layerwright.functions.text import (
 )
 from layerwright.operators.nested import flatten_structs
 from layerwright.operators.tables import newer_than
-from layerwright.operators.threads import expand_threads
+from layerwright.operators.threads import expand_threads, with_ancestors
 
 # Label and sign in messages by proposal state and by comment state.
 STATES = {
@@ -103,16 +103,18 @@ def comment_rows(comments: DataFrame, link_base: Column | str, lower: Column | N
     ``comments`` has ``id, parent_id, root_component_id, body, author_id, author_name, createdAt,
     updatedAt, status``; only root comments need the root component.
     """
-    threads = expand_threads(comments, "id", "parent_id", "root_component_id")
     base = link_base if isinstance(link_base, Column) else F.lit(link_base)
     created, updated = (lenient_timestamp(F.col(c)) for c in ("createdAt", "updatedAt"))
-    rows = threads.select(
+    inside = inside_open_interval(latest(created, updated), lower, upper)
+    if lower is not None or upper is not None:  # threads only of what is told; the rest of history is not walked
+        comments = with_ancestors(comments.where(inside), comments, "id", "parent_id")
+    threads = expand_threads(comments, "id", "parent_id", "root_component_id")
+    return threads.where(inside).select(
         "root_component_id", "parent_comment_id", "body", "author_id", "author_name",
         F.col("id").alias("comment_id"), created.alias("creation_date"), updated.alias("update_date"), "status",
         latest(created, updated).alias("date_filter"), link_to(base, F.col("root_component_id")).alias("link"),
         "thread_id", "depth",
     )
-    return rows.where(inside_open_interval(F.col("date_filter"), lower, upper))
 
 
 def comment_state(created: Column, updated: Column) -> Column:

@@ -37,6 +37,23 @@ def daily_visits(visits: DataFrame, parity: bool = True) -> DataFrame:
     )
 
 
+def visit_sketches(visits: DataFrame, lg_k: int = 12) -> DataFrame:
+    """A sketch of the distinct visits of each proposal and day, of some kilobytes, whatever their number.
+
+    Days can be added up later without the visits (:func:`visits_between`), which exact counts can't. The standard error of an estimate
+    is about 1.04 / sqrt(2 ** lg_k), 1.6 per cent by default.
+    """
+    rows = visits.where(F.col("proposal_id").isNotNull() & is_digits(F.col("proposal_id")))
+    return rows.groupBy(F.col("session_date").try_cast("date").alias("day"), F.col("proposal_id").try_cast("bigint").alias("proposal_id")).agg(
+        F.hll_sketch_agg("session_id", F.lit(lg_k)).alias("sketch"))
+
+
+def visits_between(sketches: DataFrame, first: date | str, last: date | str) -> DataFrame:
+    """About how many different visits each proposal had from one day to another, both included."""
+    rows = sketches.where(F.col("day").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date")))
+    return rows.groupBy("proposal_id").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("visits"))
+
+
 def daily_votes(votes: DataFrame, only: str | None = None) -> DataFrame:
     """Votes by day and component; ``only`` limits them to one component type."""
     rows = votes if only is None else votes.where(F.col("component_type") == only)

@@ -33,6 +33,31 @@ def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str
     return reader.load()
 
 
+def cuts_query(table: str, column: str, partitions: int) -> str:
+    """Standard SQL for the ends of ranges of a key that hold about as many rows each, which equal steps of the key do not."""
+    inner = f"SELECT {column} AS k, ntile({int(partitions)}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
+    return f"SELECT DISTINCT max(k) AS cut FROM ({inner}) x GROUP BY part ORDER BY cut"
+
+
+def range_predicates(column: str, cuts: Sequence) -> list[str]:
+    """Conditions that share all rows out by the ends of ranges; the first takes rows without a key, the last what lies beyond."""
+    def literal(value) -> str:
+        return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''") + "'"
+
+    ends = [literal(c) for c in list(dict.fromkeys(cuts))[:-1]]
+    if not ends:
+        return ["1 = 1"]
+    between = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(ends, ends[1:])]
+    return [f"{column} <= {ends[0]} OR {column} IS NULL", *between, f"{column} > {ends[-1]}"]
+
+
+def jdbc_table_evenly(spark: SparkSession, url: str, table: str, column: str, partitions: int, **options: str) -> DataFrame:
+    """A database table read in parallel ranges of about as many rows each, found by one query beforehand."""
+    cuts = spark.read.format("jdbc").option("url", url).option("query", cuts_query(table, column, partitions)).options(**options).load()
+    predicates = range_predicates(column, [r["cut"] for r in cuts.orderBy("cut").collect()])
+    return spark.read.jdbc(url, table, predicates=predicates, properties=options)
+
+
 def extract(table: DataFrame, spec: Extraction, run_date: date) -> DataFrame:
     """Rows and columns that a spec asks for. Filter and column list are pushed into the scan."""
     predicate = spec.predicate(run_date)

@@ -46,10 +46,10 @@ def without_repeats(events: DataFrame, time: str, key: Sequence[str], late: str
     return timed.dropDuplicatesWithinWatermark(list(key)).drop("_time")
 
 
-def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
     """Process what has landed, batch by batch, and stop. The checkpoint remembers what was read."""
     query = (
-        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -10,8 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerwright.operators.carry import carry
-from layerwright.operators.threads import expand_threads
+from layerwright.operators.threads import expand_threads, with_ancestors
 from layerwright.plans import changes as C
+from layerwright.plans import feeds
 from layerwright.sources import wal
 
 MICROS = 757_382_400_000_000  # 2024-01-01 since 2000-01-01
@@ -159,3 +160,41 @@ def test_threads_against_a_walk(spark):
             depth, top = depth + 1, parents[top]
         expected[i] = (top, depth, f"r{top}", i if parents[i] is None else parents[i])
     assert got == expected
+
+
+def test_threads_of_a_window_read_only_what_they_hang_on(spark, tmp_path):
+    """A long history and a few late replies: the closure has their ancestors alone, and scans only the ids near them."""
+    parents = {i: None if i % 10 == 0 else i - 1 for i in range(5000)}
+    parents.update({5000: 4999, 5001: 5000, 5002: None, 5003: 4203, 5004: 9999})
+    data = [(i, p, f"r{i}" if p is None else None) for i, p in parents.items()]
+    spark.createDataFrame(data, "id long, parent long, root string").repartitionByRange(20, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / "c"))
+    comments = spark.read.parquet(str(tmp_path / "c"))
+    read = []
+    between = type(F.col("id")).between
+
+    def noting(self, low, high):
+        bounds = spark.range(1).select(low, high).first()
+        read.append(spark.read.parquet(str(tmp_path / "c")).where(f"id BETWEEN {bounds[0]} AND {bounds[1]}").count())
+        return between(self, low, high)
+
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(type(F.col("id")), "between", noting)
+        near = with_ancestors(comments.where("id IN (5001, 5002, 5004, 4999)"), comments, "id", "parent")
+    assert sorted(r.id for r in near.collect()) == [*range(4990, 5003), 5004]
+    assert read and sum(read) < 60  # of more than 5,000 comments
+    closure = with_ancestors(comments.where("id >= 5000"), comments, "id", "parent")
+    whole = {r.id: r for r in expand_threads(comments, "id", "parent", "root").collect()}
+    got = {r.id: r for r in expand_threads(closure, "id", "parent", "root").collect()}
+    assert got == {i: whole[i] for i in got} and {5000, 5001, 5002, 5003} <= set(got) and 5004 not in got
+    assert with_ancestors(comments.limit(0), comments, "id", "parent").count() == 0
+
+
+def test_a_window_of_comments_equals_the_window_of_all(spark):
+    rows = [(i, None if i % 7 == 0 else i - 1 - i % 2 * (i % 7 > 1), "c" if i % 7 == 0 else None, "b", 1, "n", f"2024-01-{i % 28 + 1:02d}T00:00:00Z", None, "s")
+            for i in range(140)]
+    comments = spark.createDataFrame(rows, "id long, parent_id long, root_component_id string, body string, author_id long, author_name string, "
+                                           "createdAt string, updatedAt string, status string")
+    low, high = F.lit("2024-01-09").cast("timestamp"), F.lit("2024-01-13").cast("timestamp")
+    everything = {r.comment_id: r for r in feeds.comment_rows(comments, "https://h").collect()}
+    got = {r.comment_id: r for r in feeds.comment_rows(comments, "https://h", low, high).collect()}
+    assert got == {i: r for i, r in everything.items() if dt.datetime(2024, 1, 9) < r.date_filter < dt.datetime(2024, 1, 13)} and len(got) > 10

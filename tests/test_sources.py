@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from layerwright import schemas
 from layerwright.operators import nested as N
+from layerwright.plans import gold
 from layerwright.sources import ingest as G
 from layerwright.sources import readers as R
 from layerwright.sources import specs as S
@@ -343,3 +344,58 @@ def test_bucketed_tables_join_in_place(spark):
         assert joined.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def rows_scanned(df):
+    """Rows that the scans of a plan gave out, which leaves skipped row groups out."""
+    df.collect()
+    scans, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName() == "FileSourceScanExec":
+            scans += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return scans
+
+
+def test_an_index_reads_few_rows(spark):
+    df = spark.range(0, 200_000, 1, 8).select(((F.col("id") * 7919) % 50_000 * 2).alias("k"), F.col("id").alias("v"))
+    plain = W.publish_table(df, "ix_plain", "dev", "gold")
+    indexed = W.publish_table(df, "ix", "dev", "gold", ["v"], index_by=["k"])
+    look_up = {name: spark.table(name).where("k = 31338") for name in (plain, indexed)}
+    assert look_up[plain].count() == look_up[indexed].count() == 4
+    assert rows_scanned(look_up[plain]) == 200_000 and rows_scanned(look_up[indexed]) <= 50_000
+    # A number that is inside the ranges and is not there is told by the filters alone.
+    assert rows_scanned(spark.table(plain).where("k = 31339")) == 200_000 and rows_scanned(spark.table(indexed).where("k = 31339")) == 0
+    with pytest.raises(ValueError, match="buckets"):
+        W.publish_table(df, "ix", "dev", "gold", index_by=["k"], partition_by=["v"])
+
+
+@pytest.mark.parametrize("values", [[1] * 90 + list(range(10)), list(range(100)), [5] * 10, [None, 3, None], [], ["a", "o'b", "c", "c", None]])
+def test_ranges_follow_skewed_keys(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "k string" if "a" in values else "k int")
+    df.createOrReplaceTempView("skewed_keys")
+    cuts = [r.cut for r in spark.sql(R.cuts_query("skewed_keys", "k", 4)).collect()]
+    predicates = R.range_predicates("k", cuts)
+    counts = [df.where(p).count() for p in predicates]
+    assert sum(counts) == len(values) and df.where(" OR ".join(f"({p})" for p in predicates)).count() == len(values)
+    if values == list(range(100)):
+        assert counts == [25, 25, 25, 25]
+    if values[:2] == [1, 1]:  # equal steps would put 99 of 100 rows into one range as well as a hot value does; no range is empty
+        assert min(counts) > 0 and len(counts) >= 2
+
+
+def test_sketches_add_up(spark):
+    visits = spark.range(60_000).select(
+        F.format_string("2024-01-%02d", F.col("id") % 20 + 1).alias("session_date"), (F.col("id") % 3).cast("string").alias("proposal_id"),
+        (F.col("id") % 9_000).alias("session_id"))
+    sketches = gold.visit_sketches(visits.unionByName(visits.withColumn("proposal_id", F.lit("none"))))
+    assert sketches.count() == 60
+    for first, last in (("2024-01-01", "2024-01-20"), ("2024-01-03", "2024-01-09")):
+        exact = {r.proposal_id: r.n for r in visits.where(f"session_date BETWEEN '{first}' AND '{last}'").groupBy("proposal_id").agg(
+            F.count_distinct("session_id").alias("n")).collect()}
+        for r in gold.visits_between(sketches, first, last).collect():
+            assert abs(r.visits - exact[str(r.proposal_id)]) <= 0.065 * exact[str(r.proposal_id)]
