@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerwright.llm.common import packed, unpacked
+from layerwright.session import materialize
 
 #: A-Z lower-cased; every other ASCII character but 0-9 and a-z separates words; bytes of other characters stay.
 _WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -86,7 +87,7 @@ def hits(text: str | None, search: list[WuManber]) -> tuple[int, int, list[str],
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", *, item_col: str = "item_id",
                            item_text_col: str = "text", window: int = 13, least_share: int = 20,
-                           max_benchmark_chars: int = 50_000_000) -> DataFrame:
+                           max_benchmark_chars: int = 2_000_000) -> DataFrame:
     """``docs`` plus ``n_words, n_hit, item_ids, hit_runs, contaminated``.
 
     A document word inside an occurrence of a window of an item is hit; a document is contaminated when it has hits and
@@ -95,23 +96,21 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, text_col: str
     have no words and are clean. Items of a null id count as item ``null``, repeated items once; an empty benchmark hits
     nothing. Columns of the input with these names are replaced.
 
-    The benchmark goes to every task, so its size is looked at first: beyond ``max_benchmark_chars`` it is searched
-    in parts of about that size, each in a pass of its own over the words, and the runs are merged.
+    The benchmark goes to every task, as tables of about a hundred times its size, so that is looked at first: beyond ``max_benchmark_chars`` it is
+    searched in parts of about that size (an item is never cut), one after the other: each is collected, searched for in all texts and let go
+    before the next, and what the parts have found of a row is put together in the end.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(f"`{item_col}`").cast("string"), F.lit("null")).alias("item"),
                              F.coalesce(F.col(f"`{item_text_col}`"), F.lit("")).alias("text")).distinct()
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = -(-size // max_benchmark_chars) or 1
-    found = []
-    for part in range(parts):
-        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
-        patterns = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
-        found.append(_searching(patterns, window)(f"row.`{text_col}`").alias(f"part{part}"))
-    base = packed(docs).select("row", *found)
-    ids = F.array_sort(F.array_distinct(F.flatten(F.array(*[f"part{p}.item_ids" for p in range(parts)]))))
-    runs = F.col("part0.hit_runs") if parts == 1 else _merged_runs(F.flatten(F.array(*[f"part{p}.hit_runs" for p in range(parts)])))
-    out = base.select("row", F.col("part0.n_words").alias("n_words"), ids.alias("item_ids"), runs.alias("hit_runs"))
+    if parts == 1:
+        patterns = spark.sparkContext.broadcast([tuple(r) for r in items.collect()])
+        found = packed(docs).select("row", _searching(patterns, window)(f"row.`{text_col}`").alias("found"))
+        out = found.select("row", "found.*")
+    else:
+        out = _by_parts(packed(docs), items, text_col, parts, window)
     hit = F.aggregate("hit_runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     out = out.withColumn("n_hit", hit)
     enough = F.lit(least_share) * F.col("n_hit") >= F.col("n_words")
@@ -119,6 +118,30 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, text_col: str
                     hit_runs=F.col("hit_runs"), contaminated=(F.col("n_hit") > 0) & enough)
 
 
+def _by_parts(base: DataFrame, items: DataFrame, text_col: str, parts: int, window: int) -> DataFrame:
+    """``row, n_words, item_ids, hit_runs``, the benchmark searched part by part. Only what is found waits, written, for the other parts."""
+    spark = base.sparkSession
+    numbered = materialize(base.withColumn("no", F.monotonically_increasing_id()), "numbered")
+    found = counts = None
+    for part in range(parts):
+        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part)
+        patterns = spark.sparkContext.broadcast([tuple(r) for r in own.collect()])
+        searched = numbered.select("no", _searching(patterns, window)(f"row.`{text_col}`").alias("found")).select("no", "found.*")
+        if part:
+            searched = materialize(searched.filter(F.size("item_ids") > 0), "found")
+        else:  # the first part counts the words, too
+            searched = materialize(searched, "found")
+            counts = searched.select("no", "n_words")
+        patterns.destroy()
+        hits_of = searched.filter(F.size("item_ids") > 0).select("no", "item_ids", "hit_runs")
+        found = hits_of if found is None else found.unionByName(hits_of)
+    together = found.groupBy("no").agg(F.flatten(F.collect_list("item_ids")).alias("item_ids"), F.flatten(F.collect_list("hit_runs")).alias("hit_runs"))
+    runs = F.coalesce("hit_runs", F.array().cast("array<struct<start:int,end:int>>"))
+    ids = F.coalesce("item_ids", F.array().cast("array<string>"))
+    joined = numbered.join(counts, "no").join(together, "no", "left")
+    return joined.select("row", "n_words", F.array_sort(F.array_distinct(ids)).alias("item_ids"), _merged_runs(runs).alias("hit_runs"))
+
+
 def _searching(patterns, window: int):
     """The search for the broadcast items as a column function; the tables are built once per task."""
 

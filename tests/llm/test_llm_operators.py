@@ -425,3 +425,32 @@ def test_contaminated(spark, most):
     none = decontamination.contaminated_documents(frame(spark, rows), frame(spark, [], "item_id long, text string"))
     assert {r.n_hit for r in none.collect()} == {0}
     assert decontamination.contaminated_documents(empty(spark), benchmark).count() == 0
+
+
+def test_only_one_part_of_a_benchmark_is_held(spark, monkeypatch):
+    """Whatever the benchmark's size, what the driver collects and tasks get at a time stays within the bound."""
+    draw = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(draw.choices(vocabulary, k=20))) for i in range(120)]
+    texts = [(i, " ".join([*draw.choices(vocabulary, k=30), items[i % 120][1], items[(7 * i + 3) % 120][1]]), None, None) for i in range(150)]
+    benchmark, docs = frame(spark, items, "item_id long, text string"), frame(spark, texts)
+    whole = {r.doc_id: (r.n_words, r.n_hit, r.item_ids, [tuple(x) for x in r.hit_runs], r.contaminated)
+             for r in decontamination.contaminated_documents(docs, benchmark).collect()}
+    size, alive, most = sum(len(t) for _, t in items), [], []
+    context = type(spark.sparkContext)
+    real = context.broadcast
+
+    def noting(self, value):
+        out = real(self, value)
+        if isinstance(value, list):
+            alive.append(out)
+            most.append(sum(len(t) for _, t in value))
+            assert len(alive) == 1
+            let_go = out.destroy
+            out.destroy = lambda blocking=False: (alive.remove(out), let_go(blocking))
+        return out
+
+    monkeypatch.setattr(context, "broadcast", noting)
+    got = decontamination.contaminated_documents(docs, benchmark, max_benchmark_chars=size // 10)
+    assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids, [tuple(x) for x in r.hit_runs], r.contaminated) for r in got.collect()} == whole
+    assert len(most) >= 10 and max(most) < 2.5 * size / 10 and not alive and sum(w[1] > 0 for w in whole.values()) == 150
