@@ -98,13 +98,22 @@ def _written_beside(rows: DataFrame, table: str) -> str:
 
 
 @contextmanager
-def _staged(rows: DataFrame, table: str) -> Iterator[DataFrame]:
-    """A copy of the rows, dropped in the end. Whatever is asked of it, the rows themselves are read once."""
+def _staged(rows: DataFrame, table: str) -> Iterator[tuple[DataFrame, str]]:
+    """A copy of the rows and its name, dropped in the end unless a change is noted that waits for it.
+
+    Whatever is asked of the copy, the rows themselves are read once.
+    """
     spark, name = rows.sparkSession, _written_beside(rows, table)
     try:
-        yield spark.table(name)
+        yield spark.table(name), name
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if _pending(spark, table).get("content") != name:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _pending(spark: SparkSession, table: str) -> dict:
+    """The change that is noted in a table's properties; empty if there is none."""
+    return json.loads((_properties(spark, table).get(PENDING) if spark.catalog.tableExists(table) else None) or "{}")
 
 
 def new_version(rows: DataFrame, table: str) -> str:
@@ -159,17 +168,19 @@ def replace_days(batch: DataFrame, table: str, day: str = "serverDate", once: Ba
     spark = batch.sparkSession
     if _taken(spark, table, once):
         return Changed()
-    with _staged(nested_to_json(batch), table) as rows:
+    with _staged(nested_to_json(batch), table) as (rows, name):
         n = rows.count()
         if not n:
             return Changed()
         _create(rows, table, day)
         target = spark.table(table)
-        content = _written_beside(_shaped(rows, target), table)
+        dayless = not rows.where(F.col(day).isNull()).isEmpty()
         deleted = target.select(day).join(rows.select(day).distinct(), day, "left_semi").count()
-        if not rows.where(F.col(day).isNull()).isEmpty():  # the partition of rows without a day keeps what it has
-            target.where(F.col(day).isNull()).write.mode("append").saveAsTable(content)
-        _replace_parts(spark, table, day, content, [], once.taken if once else {})
+        if dayless or not _same_shape(rows, target):
+            name = _written_beside(_shaped(rows, target), table)
+        if dayless:  # the partition of rows without a day keeps what it has
+            target.where(F.col(day).isNull()).write.mode("append").saveAsTable(name)
+        _replace_parts(spark, table, day, name, [], once.taken if once else {})
     return Changed(deleted, n)
 
 
@@ -185,37 +196,40 @@ def upsert(batch: DataFrame, table: str, key: str = "id", range_size: int = RANG
     spark = batch.sparkSession
     if _taken(spark, table, once):
         return Changed()
-    with _staged(nested_to_json(batch), table) as rows:
+    rows, exists = nested_to_json(batch), spark.catalog.tableExists(table)
+    if exists and _provider(spark, table) in MERGE_FORMATS:
+        with _staged(rows, table) as (staged, _):
+            return _delete_and_insert(staged, table, key, once)
+    numbered = _whole_number(rows, key)
+    if not exists and numbered:  # where each row goes is known beforehand, so it is written but once before it goes there
+        rows = _with_part(rows, key, range_size, 0)
+    with _staged(rows, table) as (rows, name):
         n = rows.count()
         if not n:
             return Changed()
-        if spark.catalog.tableExists(table) and _provider(spark, table) in MERGE_FORMATS:
-            return _delete_and_insert(rows, table, key, once)
-        numbered = _whole_number(rows, key)
         first = {SIZE: str(range_size), ROWS: "0", PARTS: str(0 if numbered else _parts_for(n, range_size))}
         _create(rows.withColumn(PART_COLUMN, F.lit("")), table, PART_COLUMN, first)
-        stored = _properties(spark, table)
+        stored, target = _properties(spark, table), spark.table(table)
         if PARTS not in stored:
             raise ValueError(f"{table} was not made by upsert")
-        size, parts, total = (int(stored[name]) for name in (SIZE, PARTS, ROWS))
+        size, parts, total = (int(stored[p]) for p in (SIZE, PARTS, ROWS))
         if numbered != (parts == 0):
             raise ValueError(f"{table} is cut by another type of key")
-        target = spark.table(table)
+        done = once.taken if once else {}
+        if not exists and numbered:
+            _replace_parts(spark, table, PART_COLUMN, name, [], {ROWS: str(n), **done})
+            return Changed(0, n)
         shaped = _shaped(rows, target)
         own = _with_part(shaped, key, size, parts).select(PART_COLUMN, key).distinct()
-        deleted = target.join(own, [PART_COLUMN, key], "left_semi").count()
+        deleted = target.join(own, [PART_COLUMN, key], "left_semi").count() if exists else 0
         total += n - deleted
         more = max(parts, _parts_for(total, size)) if parts else 0
-        moved = [(f"p{_parent(j, parts)}",) for j in range(parts, more)]
-        touched = own.select(PART_COLUMN)
-        if moved:
-            touched = touched.union(spark.createDataFrame(moved, f"{PART_COLUMN} string"))
+        moved = spark.createDataFrame([(f"p{_parent(j, parts)}",) for j in range(parts, more)], f"{PART_COLUMN} string")
+        touched = own.select(PART_COLUMN) if more == parts else own.select(PART_COLUMN).union(moved)
         before = target.join(touched.distinct(), PART_COLUMN, "left_semi")
-        after = _with_part(upserted(before, shaped, key), key, size, more)
-        content = _written_beside(after.select(*target.columns), table)
-        left = spark.createDataFrame(moved, f"{PART_COLUMN} string").join(spark.table(content), PART_COLUMN, "left_anti").distinct().collect() if moved else []
-        done = {ROWS: str(total), PARTS: str(more), **(once.taken if once else {})}
-        _replace_parts(spark, table, PART_COLUMN, content, [r[0] for r in left], done)
+        name = _written_beside(_with_part(upserted(before, shaped, key), key, size, more).select(*target.columns), table)
+        left = moved.join(spark.table(name), PART_COLUMN, "left_anti").distinct().collect() if more > parts else []
+        _replace_parts(spark, table, PART_COLUMN, name, [r[0] for r in left], {ROWS: str(total), PARTS: str(more), **done})
     return Changed(deleted, n)
 
 
@@ -250,7 +264,7 @@ def recover(spark: SparkSession, table: str) -> bool:
 
     All of it can be done again: the rows to write wait in a table of their own until they are in place and counted.
     """
-    todo = json.loads((_properties(spark, table).get(PENDING) if spark.catalog.tableExists(table) else None) or "{}")
+    todo = _pending(spark, table)
     if not todo:
         return False
     part, content = todo["part"], spark.table(todo["content"])
@@ -316,6 +330,11 @@ def _shaped(batch: DataFrame, target: DataFrame) -> DataFrame:
     return batch.select(*[value(f).alias(f.name) for f in target.schema.fields])
 
 
+def _same_shape(batch: DataFrame, target: DataFrame) -> bool:
+    """Whether a batch has just the target's columns, in its types, in any order."""
+    return sorted((f.name, f.dataType.simpleString()) for f in batch.schema) == sorted((f.name, f.dataType.simpleString()) for f in target.schema)
+
+
 def _whole_number(rows: DataFrame, key: str) -> bool:
     return isinstance(rows.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
