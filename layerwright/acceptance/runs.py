@@ -140,10 +140,10 @@ def q_visit_sketches(spark, sf):
 
 
 @registry.add("q_feed_run", PROPOSALS_SQL + f"""
-    SELECT CAST(id AS VARCHAR) AS id, date AS at, 'sent' AS state, row_number() OVER (ORDER BY date, id) AS place
+    SELECT CAST(id AS VARCHAR) AS id, date AS at, 'sent' AS state, TRUE AS in_order
     FROM s WHERE published > TIMESTAMP '{MARK}' OR updated > TIMESTAMP '{MARK}'""")
 def q_feed_run(spark, sf):
-    """A feed that fails to deliver, then delivers, then has nothing new: what the outbox says, and in which order it was sent."""
+    """A feed that fails to deliver, then delivers, then has nothing new: what the outbox says, and whether it was sent in order."""
     database = scratch_database()
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
@@ -153,7 +153,7 @@ def q_feed_run(spark, sf):
     def fails(rows: DataFrame) -> None:
         raise ConnectionError("nobody there")
 
-    def deliver(rows: DataFrame) -> None:  # rows come in order; the number is of this order
+    def deliver(rows: DataFrame) -> None:  # rows come in order; the number is of this order, the task's above 33 bits
         rows.select("id", "date").withColumn("n", F.monotonically_increasing_id()).write.mode("append").saveAsTable(f"{database}.delivered")
 
     def run(to) -> int:
@@ -165,9 +165,11 @@ def q_feed_run(spark, sf):
         pass
     run(deliver)
     run(fails)  # there is nothing left to deliver
-    sent = spark.table(f"{database}.delivered").select(F.col("id").cast("string").alias("id"), F.expr("row_number() OVER (ORDER BY n)").cast("long").alias("place"))
+    sent = spark.table(f"{database}.delivered").withColumn("task", F.shiftright("n", 33))
+    earlier = F.expr("lag(struct(date, id)) OVER (PARTITION BY task ORDER BY n)")
+    sent = sent.select(F.col("id").cast("string").alias("id"), F.coalesce(earlier < F.struct("date", "id"), F.lit(True)).alias("in_order"))
     states = jobs.outbox_states(spark, f"{database}.marks_outbox")
-    return states.join(sent, "id").select("id", F.col("at").cast("timestamp_ntz").alias("at"), "state", "place")
+    return states.join(sent, "id").select("id", F.col("at").cast("timestamp_ntz").alias("at"), "state", "in_order")
 
 
 @registry.add("q_component_rows", PROPOSALS_SQL + " SELECT id, state, date FROM s")
