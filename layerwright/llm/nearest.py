@@ -124,7 +124,7 @@ def takes_part(vector: Column) -> Column:
 
 
 def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 20, seed: int = 1,
-            bound: float = 4.0, cell_vectors: int = 32_768, cell_queries: int = 2_048) -> DataFrame:
+            bound: float = 3.0, cell_vectors: int = 32_768, cell_queries: int = 2_048) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``rows`` that ``is_query`` picks, the ``k`` nearest other rows.
 
     ``is_query`` is a condition on the id column. Nearness is the inner product in double precision of the original vectors; ties go
@@ -133,8 +133,8 @@ def nearest(rows: DataFrame, is_query: Column, id_col: str = "vec_id", vector_co
     the query's id are no candidates of it. Fewer than ``k`` candidates give all of them; no rows give none.
 
     Equal vectors tie, so of each the ``k + 1`` smallest ids suffice (one may be the query's own); with more ids
-    no other could come into a result. Only these are searched. An estimate's error is as good as normal: with ``bound = 4`` standard errors one in thirty
-    thousand of those whose estimate is at the limit is lost, which is far fewer of all; tests compare with brute force at every given size.
+    no other could come into a result. Only these are searched. An estimate's error is as good as normal: with ``bound = 3`` standard errors one in seven
+    hundred of those whose estimate is at the limit is lost, which is far fewer of all; tests compare with brute force at every given size.
     """
     all_rows = rows.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("vec"),
                            is_query.alias("asks"))
