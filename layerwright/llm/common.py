@@ -57,6 +57,15 @@ def finished(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def discard(*steps: DataFrame) -> None:
+    """Deletes written steps that no later one reads any more; each is a folder of its own in the shared folder."""
+    for step in steps:
+        spark = step.sparkSession
+        for folder in {name.rsplit("/", 1)[0] for name in step.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def running_total(df: DataFrame, keys: list[str], order: list[str], value: str, total: str, label: str) -> DataFrame:
     """``df`` with the running total of ``value`` within ``keys`` in the given order, the row itself included.
 

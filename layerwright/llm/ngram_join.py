@@ -5,9 +5,9 @@
    frequent shingles last, of which two similar sets always have one in common. Only these are shuffled.
 3. Similar classes are partitioned into groups: classes are compared with the first class that has the same rare
    shingle, and those that link are one group; others are grouped by that first class. Groups are cut into pieces.
-4. The matrix of rare shingles and groups gives, for each class, the groups to look at. Shingles as bits of a class and
-   of a group's union bound how many of its shingles a class can have in common with the group: with fewer than any link needs the
-   group stays closed. Members of open groups are bounded in the same way, and what is left is compared exactly, by the texts. Pairs that
+4. The matrix of rare shingles and groups gives the pairs of groups to look at, whatever number of their classes share a shingle. Shingles as
+   bits of a class and of a group's union bound how many of its shingles a class can have in common with the group: with fewer than any
+   link needs the group stays closed. Members of open groups are bounded in the same way, and what is left is compared exactly, by the texts. Pairs that
    are connected already are not compared.
 
 The frequent shingles only set the order, so which ones are listed has no influence on the result.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerwright.llm.common import finished, packed, unpacked
+from layerwright.llm.common import discard, finished, packed, unpacked
 from layerwright.llm.components import connected
 from layerwright.llm.shingles import shingles, signature
 from layerwright.session import materialize
@@ -69,9 +69,12 @@ def _fold(tokens: np.ndarray) -> np.ndarray:
 
 
 def _bits(tokens: np.ndarray) -> bytes:
-    """A bit for each shingle, in a power of two of them, twice as many as shingles at least as long as that is not too many."""
+    """A bit for each shingle, in a power of two of them: eight times as many as shingles at least in small sets, of which a few
+    bits in common by chance would let many pairs through, four times as many in larger and twice as many in large ones, as long as that is not too many."""
+    n = len(tokens)
+    wanted = n * (8 if n <= 128 else 4 if n <= 512 else 2)
     size = 64
-    while size < 2 * len(tokens) and size < MOST_BITS:
+    while size < wanted and size < MOST_BITS:
         size *= 2
     out = np.zeros(size, bool)
     out[(tokens & np.uint64(size - 1)).astype(np.int64)] = True
@@ -243,12 +246,12 @@ def _near(a: str, b: str, percent: int) -> Column:
 
 
 def _bounded(asked: DataFrame, members: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: pairs (half signatures) of a class and a member of a group that it asks for which may be similar.
+    """``a, b, n``: pairs (half signatures) of a class and a member of a group that it asks for which may be similar, and the size of ``a``.
 
     ``asked`` has ``g, c, n, label`` and ``members`` ``g, c, label``; equal labels are connected already. ``bits`` has ``half, n, bits``.
     Queries of a group that many ask for are dealt to several tasks, each with all members of the piece.
     """
-    asked = materialize(asked, "asked")
+    asked = written = materialize(asked, "asked")
     tasks = max(1, -(-(asked.agg(F.sum("n")).first()[0] or 0) // TASK_SHINGLES))
     per_group = asked.groupBy("g").agg(F.ceil(F.count("*") / F.lit(QUERIES)).cast("int").alias("parts"))
     asked = asked.drop("n").join(per_group, "g").withColumn("part", F.pmod(F.xxhash64("c"), F.col("parts")).cast("int"))
@@ -267,7 +270,7 @@ def _bounded(asked: DataFrame, members: DataFrame, bits: DataFrame, percent: int
                 if c not in known:
                     known[c] = Bits.of(data)
                 pieces.setdefault((g, part), ([], []))[side].append((c, n, label, known[c]))
-        pairs: set[tuple[int, int]] = set()
+        pairs: dict[tuple[int, int], int] = {}
         for asking, group in pieces.values():
             if not asking or not group:
                 continue
@@ -284,11 +287,15 @@ def _bounded(asked: DataFrame, members: DataFrame, bits: DataFrame, percent: int
                     # 100 * both >= percent * (n + m - both)
                     both = min(own.most_shared(n, theirs), theirs.most_shared(m, own))
                     if both * 100 >= percent * (n + m - both):
-                        pairs.add((max(c, other), min(c, other)))
+                        pairs[max(c, other), min(c, other)] = n if c > other else m
         found = sorted(pairs)
-        return pa.table([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        return pa.table([*[pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], pa.array([pairs[x] for x in found], pa.int32())], names=["a", "b", "n"])
 
-    return queries.groupBy("task").cogroup(held.groupBy("task")).applyInArrow(open_groups, "a long, b long").distinct()
+    found = queries.groupBy("task").cogroup(held.groupBy("task")).applyInArrow(open_groups, "a long, b long, n int").distinct()
+    pairs = materialize(found, "pairs")
+    finished(asked.sparkSession)
+    discard(written)
+    return pairs
 
 
 def _links(pairs: DataFrame, base: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
@@ -296,13 +303,12 @@ def _links(pairs: DataFrame, base: DataFrame, classes: DataFrame, size: int, per
 
     Pairs are dealt by their second class, cut into parts where it has many.
     """
-    pairs = materialize(pairs, "pairs")
+    written = pairs
     wanted = pairs.select(F.col("a").alias("half")).union(pairs.select("b")).distinct()
     texts = _chosen(base, classes.join(wanted, "half")).withColumnRenamed("c", "whole")
     texts = materialize(texts, "texts")
     finished(base.sparkSession)
-    lengths = classes.select("half", "n")
-    total = pairs.join(lengths, F.col("a") == F.col("half")).agg(F.sum("n")).first()[0] or 0
+    total = pairs.agg(F.sum("n")).first()[0] or 0
     tasks = max(1, -(-total // TASK_SHINGLES))
     per_class = pairs.groupBy("b").agg(F.ceil(F.count("*") / F.lit(QUERIES)).cast("int").alias("parts"))
     pairs = pairs.join(per_class, "b").withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
@@ -335,6 +341,7 @@ def _links(pairs: DataFrame, base: DataFrame, classes: DataFrame, size: int, per
     links = left.groupBy("task").cogroup(right.groupBy("task")).applyInArrow(compare, "a binary, b binary").distinct()
     links = materialize(links, "links")
     finished(base.sparkSession)
+    discard(written, texts)
     return links
 
 
@@ -375,8 +382,13 @@ def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # What is connected by now is a group; a class that is alone goes with the first class of one of its shingles.
     known = stars.select(F.col("c").alias("half")).union(stars.select("pc")).distinct().join(classes.select("half", F.col("c").alias("whole")), "half")
     labels = materialize(_groups(known, connected(links), stars), "groups")
+    discard(stars)
     members = labels.select("g", F.col("half").alias("c"), "label")
-    more = _links(_bounded(_asks(shared, labels, percent), members, bits, percent), base, classes, words, percent)
+    pairs = materialize(_group_pairs(shared, labels, percent), "group-pairs")
+    finished(spark)
+    discard(shared)
+    asked = pairs.join(members, "g").join(classes.select("half", "n"), F.col("c") == F.col("half")).select(F.col("other").alias("g"), "c", "n", "label")
+    more = _links(_bounded(asked, members, bits, percent), base, classes, words, percent)
     joined = connected(links.union(more))
     finished(spark)
 
@@ -416,19 +428,19 @@ def _groups(known: DataFrame, joined: DataFrame, stars: DataFrame) -> DataFrame:
     return labels.join(sizes, "home").select("half", "label", F.xxhash64("home", piece).alias("g"))
 
 
-def _asks(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """``g, c, n, label``: the groups that a class has a rare shingle in common with and is not wholly connected with."""
-    placed = shared.select("token", "c", "n").join(labels, F.col("c") == F.col("half")).select("token", "c", "n", "label", "g")
-    placed = materialize(placed, "placed")
+def _group_pairs(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``g, other``: pairs of groups, a group with itself included, that have a rare shingle in common, sizes that fit, and are not wholly connected."""
+    placed = shared.select("token", "c", "n").join(labels, F.col("c") == F.col("half"))
     matrix = placed.groupBy("token", "g").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                               F.min("n").alias("least"), F.max("n").alias("most"))
     matrix = materialize(matrix, "matrix")
     several = matrix.groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low <> high").select("token")
-    matrix = matrix.join(several, "token").withColumnRenamed("g", "other")
-    fits = (F.col("most") * 100 >= F.col("n") * percent) & (F.col("least") * percent <= F.col("n") * 100)
-    apart = (F.col("low") != F.col("label")) | (F.col("high") != F.col("label"))
-    asks = placed.join(matrix, "token").filter((F.col("g") <= F.col("other")) & apart & fits)
-    return asks.select(F.col("other").alias("g"), "c", "n", "label").distinct()
+    matrix = matrix.join(several, "token")
+    others = matrix.select("token", *[F.col(c).alias(f"other_{c}") for c in ("g", "low", "high", "least", "most")])
+    fits = (F.col("most") * 100 >= F.col("other_least") * percent) & (F.col("other_most") * 100 >= F.col("least") * percent)
+    apart = (F.col("low") != F.col("other_high")) | (F.col("high") != F.col("other_low"))
+    pairs = matrix.join(others, "token").filter((F.col("g") <= F.col("other_g")) & apart & fits)
+    return pairs.select("g", F.col("other_g").alias("other")).distinct()
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, words: int = 5, percent: int = 80) -> DataFrame:
