@@ -96,7 +96,7 @@ def pack(conversations: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
 
     Turns are ordered by ``turn_col``, null first, ties by role and then text. Null roles and texts are empty. Rows with a null id are
     one conversation. A repeated row is one more turn. An empty table gives two empty ones. Other columns are left out.
-    A conversation streams through one task, turn by turn; only its nodes' hashes, 16 bytes a turn, are put together in a row. A first
+    A turn of any length is escaped and written as a whole. A conversation streams through one task, turn by turn; only its nodes' hashes, 16 bytes a turn, are put together in a row. A first
     turn that many conversations share costs them one row each, spread over all tasks.
     """
     rows = conversations.select(F.col(f"`{id_col}`").alias("conv"), F.col(f"`{turn_col}`").alias("turn"),

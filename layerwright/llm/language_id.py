@@ -209,8 +209,8 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """``docs`` plus ``held_out, lang_pred, score``.
 
     Learns only from text and non-null language of rows that have an id and are not held out; predicts each row from its whole text
-    alone. A null text, one without a letter, and any text when there is nothing to learn from gets ``und`` and score 0. Repeated rows count and are
-    predicted each; an empty table gives an empty table. Columns of the input with these names are replaced.
+    alone, however long: n-grams are added up in pieces. Languages that are equally likely go by the smaller name. A null text, one without a letter, and any
+    text when there is nothing to learn from gets ``und`` and score 0. Repeated rows count and are predicted each; an empty table gives an empty table. Columns of the input with these names are replaced.
     """
     base = packed(docs, id=id_col, text=text_col, lang=lang_col)
     learnt = base.filter("id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL").filter(~held_out(F.col("id")))

@@ -39,6 +39,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     a null id counts as one document, after all others. Rows that repeat an id are one document: a key within it
     is not repeated by that. An empty table gives an empty table. A column of the input named ``n_lines`` or
     ``n_dropped`` is replaced. Keys are compared by MD5.
+    A text of any length is split as a whole, by one task; its lines are then dealt by key.
     """
     # Two rows of one id may hold different texts, so a row's positions go by id and text hash.
     base = packed(docs, id=id_col, fp=F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))

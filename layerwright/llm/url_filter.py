@@ -84,7 +84,8 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: list[tuple[str, str
     """``pages`` plus ``host, path, rule, verdict, confidence``.
 
     ``rules`` are (``allow`` or ``block``, host, path): one fits its host and all subdomains of it if the URL's path starts with
-    the rule's; the longest of those that fit gives ``rule`` (host and path) and ``verdict``. For other URLs ``rule`` is null
+    the rule's; the longest of those that fit gives ``rule`` (host and path) and ``verdict``; of equally long ones the last by rule and verdict, so ``block`` beats
+    ``allow`` for the same host and path. URLs of any length are taken whole. For other URLs ``rule`` is null
     and the verdict is ``block`` when a mined rule applies, whose ``confidence`` is the highest of them, else ``allow``. A rule's
     items are in at least ``min_support`` of the labelled URLs and in ``min_count`` of them; tokens that were always
     together there stand for one another, and the first of them has to be in the URL.

@@ -454,3 +454,11 @@ def test_only_one_part_of_a_benchmark_is_held(spark, monkeypatch):
     got = decontamination.contaminated_documents(docs, benchmark, max_benchmark_chars=size // 10)
     assert {r.doc_id: (r.n_words, r.n_hit, r.item_ids, [tuple(x) for x in r.hit_runs], r.contaminated) for r in got.collect()} == whole
     assert len(most) >= 10 and max(most) < 2.5 * size / 10 and not alive and sum(w[1] > 0 for w in whole.values()) == 150
+
+
+def test_suffix_dedup_arguments(spark):
+    docs = frame(spark, [("a", "text")], "doc_id string, text string")
+    with pytest.raises(ValueError, match="no integer"):
+        suffix_dedup.remove_repeats(docs)
+    with pytest.raises(ValueError, match="1 to 32,767"):
+        suffix_dedup.remove_repeats(empty(spark), least=40_000)

@@ -63,3 +63,17 @@ def test_stages_without_rows_and_with_nulls(spark, sf_dir):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, rows, sf_dir)
             assert out.columns[:5] == rows.columns and out.count() <= 2 * rows.count()
+
+
+def test_repeated_rows_and_rows_without_id(spark, sf_dir):
+    long, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    near, lone = long + " tail", " ".join(f"u{i}" for i in range(40))
+    rows = [(1, long, "en", "a"), (1, long, "en", "a"), (1, other, "en", "a"), (2, near, "en", "a"), (None, near, "en", "a"),
+            (None, lone, None, None), (None, lone, None, None), (3, other + " more words here", "en", None), (4, "", None, None)]
+    docs = frame(spark, rows, DOCS).selectExpr("*", "length(text) as n_chars").withColumn("n_shingles", corpus_pipeline.F.lit("mine"))
+    kept = corpus_pipeline.without_near_copies(spark, docs, sf_dir)
+    assert kept.columns == docs.columns and {r.n_shingles for r in kept.collect()} == {"mine"}
+    assert Counter(as_rows(kept)) == Counter([(1, long, "en", "a"), (1, other, "en", "a"), (None, lone, None, None), (4, "", None, None)])
+    deduplicated = corpus_pipeline.without_repeated_lines(spark, docs, sf_dir)
+    assert Counter(as_rows(deduplicated)) == Counter((i, t, r[2], r[3]) for r, (i, t) in zip(rows, [
+        (1, long), (1, long), (1, other), (2, near), (None, ""), (None, rows[5][1]), (None, rows[5][1]), (3, rows[7][1]), (4, "")]))
