@@ -69,6 +69,14 @@ def test_small_sides_are_broadcast_by_size(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salted_copies_are_not_broadcast(spark, sf_dir):
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        joined = J.spread_join(orders, customer, ["o_custkey"], how, salt=8)
+        joined.collect()  # the plan that was run, in the end
+        assert "SortMergeJoin" in plan_of(joined) and "BroadcastExchange" not in plan_of(joined)
+
+
 #: Queries that write a step, or a table that is their subject, while they are built; whole runs and streams do.
 WRITING = ("q_cdc_", "q_change_", "q_comment_", "q_full_refresh", "q_gold_roundtrip", "q_dq_report", "q_upsert", "q_replace_", "q_ingest_", "q_key_ranges",
            "q_layer_tables", "q_indexed_lookup", "q_feed_run", "q_daily_counts_stream")
