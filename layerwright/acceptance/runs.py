@@ -15,7 +15,7 @@ from layerwright.plans import changes, configs, feeds, gold
 from layerwright.schemas import layer_database
 from layerwright.session import new_work_path
 from layerwright.sources.ingest import ingest_spec, ingest_visits
-from layerwright.sources.readers import cuts_query, range_predicates
+from layerwright.sources.readers import counted_keys, cuts_query, range_predicates
 from layerwright.sources.specs import parse_spec
 from layerwright.sources.writers import PART_COLUMN, publish_table
 from layerwright.streaming import jobs
@@ -93,8 +93,8 @@ def q_key_ranges(spark, sf):
     """Ranges of a key for a parallel read, with the rows that each reads."""
     lines = table(spark, sf, "lineitem").select("l_orderkey")
     view = scratch_database()
-    lines.createOrReplaceTempView(view)
-    cuts = [r["cut"] for r in spark.sql(cuts_query(view, "l_orderkey", 7)).collect()]
+    counted_keys(lines, "l_orderkey").createOrReplaceTempView(view)
+    cuts = [r["cut"] for r in spark.sql(cuts_query(view, "l_orderkey", 7, counted=True)).collect()]
     spark.catalog.dropTempView(view)
     part = F.coalesce(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(range_predicates("l_orderkey", cuts))])
     return lines.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n_rows"), F.min("l_orderkey").alias("first"), F.max("l_orderkey").alias("last"))

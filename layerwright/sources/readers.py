@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from layerwright.operators.tables import drop_columns
 from layerwright.schemas import BRONZE_DDL, bronze_schema
+from layerwright.session import materialize
 from layerwright.sources.specs import Extraction, ExtractionSpec
 
 
@@ -33,12 +34,40 @@ def jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str
     return reader.load()
 
 
-def cuts_query(table: str, column: str, partitions: int) -> str:
-    """Standard SQL for the ends of ranges of a key that hold about as many rows each, which equal steps of the key do not."""
+def counted_keys(rows: DataFrame, column: str) -> DataFrame:
+    """``column, n_rows, stretch``: each key with its rows, and the number of the stretch of keys it is in, in order; written, as stretches
+    are dealt by a sample. Rows without a key are left out."""
+    counted = rows.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    return materialize(counted.repartitionByRange(column).withColumn("stretch", F.spark_partition_id()), "counted-keys")
+
+
+def cuts_query(table: str, column: str, partitions: int, counted: bool = False) -> str:
+    """Standard SQL for the ends of ranges of a key that hold about as many rows each, which equal steps of the key do not.
+
+    A database has the key in order; on a table of Spark the window over all rows would be one task. There ``counted`` gives the same ends from
+    a table of :func:`counted_keys`, with windows over a stretch of keys at most, or over one row per stretch.
+    """
+    if counted:
+        return _counted_cuts_query(table, column, int(partitions))
     inner = f"SELECT {column} AS k, ntile({int(partitions)}) OVER (ORDER BY {column}) AS part FROM {table} WHERE {column} IS NOT NULL"
     return f"SELECT DISTINCT max(k) AS cut FROM ({inner}) x GROUP BY part ORDER BY cut"
 
 
+def _counted_cuts_query(table: str, column: str, parts: int) -> str:
+    """Ranges of ``total`` rows differ by one row at most, and the longer ones come first; a key is an end if a range ends in its rows."""
+    def ended(rows: str) -> str:
+        """How many ranges have ended after so many rows."""
+        return (f"CASE WHEN {rows} >= total THEN {parts} WHEN {rows} < longer * (size + 1) THEN FLOOR({rows} / (size + 1)) "
+                f"ELSE longer + FLOOR(({rows} - longer * (size + 1)) / size) END")
+
+    stretches = f"SELECT stretch, SUM(n_rows) AS n FROM {table} GROUP BY stretch"
+    before = f"SELECT stretch, SUM(n) OVER (ORDER BY stretch) - n AS earlier, SUM(n) OVER () AS total FROM ({stretches}) s"
+    sized = f"SELECT stretch, earlier, total, FLOOR(total / {parts}) AS size, MOD(total, {parts}) AS longer FROM ({before}) b"
+    upto = (f"SELECT k.{column} AS k, k.n_rows AS n, z.total, z.size, z.longer, "
+            f"z.earlier + SUM(k.n_rows) OVER (PARTITION BY k.stretch ORDER BY k.{column}) AS upto FROM {table} k JOIN ({sized}) z ON k.stretch = z.stretch")
+    return f"SELECT k AS cut FROM ({upto}) u WHERE {ended('upto')} > {ended('(upto - n)')} ORDER BY cut"
+
+
 def range_predicates(column: str, cuts: Sequence) -> list[str]:
     """Conditions that share all rows out by the ends of ranges; the first takes rows without a key, the last what lies beyond."""
     def literal(value) -> str:

@@ -388,6 +388,25 @@ def test_ranges_follow_skewed_keys(spark, values):
         assert min(counts) > 0 and len(counts) >= 2
 
 
+@pytest.mark.parametrize("values", [[1] * 90 + list(range(10)), list(range(100)), [5] * 10, [None, 3, None], [], ["a", "o'b", "c", "c", None],
+                                    [i * i % 61 for i in range(150)], [2**60, -2**60, 0, 0, 1]])
+def test_cuts_of_counted_keys_need_no_window_over_all_rows(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "k string" if "a" in values else "k bigint")
+    df.createOrReplaceTempView("all_keys")
+    counted = R.counted_keys(df, "k")
+    stretches = counted.groupBy("stretch").agg(F.min("k").alias("a"), F.max("k").alias("z")).orderBy("stretch").collect()
+    assert all(x.z < y.a for x, y in zip(stretches, stretches[1:]))
+    counted.createOrReplaceTempView("counted_keys")
+    # Stretches of one key each, to cross them whatever Spark makes of few rows.
+    counted.withColumn("stretch", F.expr("dense_rank() OVER (ORDER BY k)")).createOrReplaceTempView("short_stretches")
+    for parts in (1, 2, 4, 7, 200):
+        want = [r.cut for r in spark.sql(R.cuts_query("all_keys", "k", parts)).collect()]
+        for view in ("counted_keys", "short_stretches"):
+            assert [r.cut for r in spark.sql(R.cuts_query(view, "k", parts, counted=True)).collect()] == want
+    plan = spark.sql(R.cuts_query("counted_keys", "k", 4, counted=True))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("windowspecdefinition(stretch") == 2 and "ntile" not in plan
+
+
 def test_sketches_add_up(spark):
     visits = spark.range(60_000).select(
         F.format_string("2024-01-%02d", F.col("id") % 20 + 1).alias("session_date"), (F.col("id") % 3).cast("string").alias("proposal_id"),
