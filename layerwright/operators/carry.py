@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 
 CHUNK = 100_000
 CHUNK_COLUMN = "_chunk"
+#: Rows that a task of a log is to have: it sorts them several times, unpacked, at about 1.3 KB a row.
+ROWS_PER_TASK = 200_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """How many tasks share the rows, which are counted for it; of a written table only the files' footers are read."""
+    return max(1, -(-df.count() // ROWS_PER_TASK))
 
 
 def in_chunks(df: DataFrame, group: Sequence[str], position: str, chunk: int = CHUNK) -> DataFrame:
     """Rows distributed by group and chunk, so that work on them and the windows of ``carry`` need no
-    further exchange."""
+    further exchange.
+
+    The number of tasks grows with the rows: Spark's own goes by the packed size of what is shuffled, of which a log's is a small part of what
+    the windows hold.
+    """
     cut = df.withColumn(CHUNK_COLUMN, _chunk_of(position, chunk))
-    return cut.repartition(*group, CHUNK_COLUMN)
+    return cut.repartition(tasks_for(df), *group, CHUNK_COLUMN)
 
 
 def _chunk_of(position: str, chunk: int) -> Column:
