@@ -190,3 +190,27 @@ def test_an_empty_batch_keeps_what_is_published(spark):
     assert W.full_refresh(spark.range(7), "sk9.r") == W.Changed(5, 7)
     assert W.full_refresh(spark.range(0), "sk9.r", keep_on_empty=False) == W.Changed(7, 0)
     assert W.full_refresh(spark.range(1), "sk9.new", keep_on_empty=True) == W.Changed(0, 1)
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_a_table_is_cut_into_no_more_than_the_most_parts(spark, monkeypatch, kind):
+    """Far apart or dense, with or without a key: parts are longer where there would be too many, and later batches find them."""
+    monkeypatch.setattr(W, "MOST_PARTS", 6, raising=False)
+    name = f"sk9_{kind}.u"
+    keys = [*range(-40, 200), 10**15, -(2**63), 2**63 - 1]
+
+    def rows(some, v):
+        return spark.createDataFrame([(str(k) if kind == "string" else k, v) for k in some] + [(None, v)], f"id {kind}, v int")
+
+    assert W.upsert(rows(keys, 0), name, "id", range_size=2) == W.Changed(0, len(keys) + 1)
+    assert len(W._partitions(spark, name)) <= 6 + 1  # and the part of rows without a key
+    assert W.upsert(rows([7, 10**15, 10**15 + 1], 1), name, "id", range_size=2) == W.Changed(2, 4)
+    want = [(str(k), int(k in (7, 10**15, 10**15 + 1))) for k in [*keys, 10**15 + 1]] + [(None, 0), (None, 1)]
+    got = [(None if r.id is None else str(r.id), r.v) for r in spark.table(name).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert len(W._partitions(spark, name)) <= 6 + 1 and not leftovers(spark, f"sk9_{kind}")
+
+
+def test_ranges_without_rows_make_no_range_longer(spark):
+    apart = spark.createDataFrame([(k * 10**12, 0) for k in range(20)], "id bigint, v int")
+    assert W._range_for(apart, "id", 5) == 5
