@@ -112,7 +112,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
 
     def visits() -> DataFrame:
         address = "concat('https://example.org/processes/nation_', cast(user_id % 25 as string), '/f/1/proposals/'"
-        return t("events").selectExpr(
+        # A visit's text costs far more to write and to read than its few bytes say, by which a file is cut into tasks: so rows are spread first.
+        return t("events").repartition("event_id").selectExpr(
             "event_id as idVisit", f"date_format({shifted}, 'yyyy-MM-dd') as serverDate",
             "cast(user_id as string) as userId", "event_type as visitorType",
             "case when value < 10 then 1 else 2 end as actions",

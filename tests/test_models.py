@@ -205,3 +205,15 @@ def test_config_merge(spark, new_chat, old_chat, chat, topics, to_create):
     assert str(merged[1].start_date) == "2024-02-02" and merged[1].was_stored and not merged[3].was_stored
     update, configure = configs.split_configs(new, stored)
     assert [r.component_id for r in update.collect()] == [1] and [r.component_id for r in configure.collect()] == [3]
+
+
+def test_visits_are_spread_over_tasks_and_joined_to_written_processes_where_they_are(spark, sf_dir):
+    """Their file is cut into few tasks; and once processes are written, the rows of visits are not moved again to find theirs."""
+    from layerwright.acceptance.civic import bronze
+    from layerwright.plans import silver
+    from layerwright.session import materialize
+
+    tables = bronze(spark, sf_dir)
+    processes = materialize(silver.participatory_processes(tables), "processes")
+    plan = silver.visits(tables, processes)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(event_id" in plan and plan.count("hashpartitioning(") == 1 and "SortMergeJoin" not in plan
