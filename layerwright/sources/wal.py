@@ -67,21 +67,22 @@ def _parsers():
 
     def tuple_values(data, at):
         values, unchanged = [], []
-        count = number(data, at, 2)
+        count, whole = number(data, at, 2), len(data)
         at += 2
         for position in range(count):
             mark = data[at:at + 1]
             at += 1
             if mark == b"t":
-                size = number(data, at, 4)
-                if size < 0 or at + 4 + size > len(data):
+                start = at + 4
+                at = start + int.from_bytes(data[at:start], "big", signed=True)
+                if not start <= at <= whole:
                     raise ValueError("message ends early")
-                values.append(data[at + 4:at + 4 + size].decode("utf-8"))
-                at += 4 + size
-            elif mark in (b"n", b"u"):
+                values.append(data[start:at].decode("utf-8"))
+            elif mark == b"n":
                 values.append(None)
-                if mark == b"u":
-                    unchanged.append(position)
+            elif mark == b"u":
+                values.append(None)
+                unchanged.append(position)
             else:
                 raise ValueError("unexpected tuple mark")
         return values, unchanged, at
@@ -126,35 +127,27 @@ def _parsers():
     return body
 
 
-def _arrow_reader(fields: T.StructType, read_one, inputs: int):
-    """An Arrow function that gives one struct per row of its binary inputs."""
+def _arrow_reader(fields: T.StructType, read_one):
+    """An Arrow function that gives one struct per row of its binary input."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     import pyarrow as pa
 
     kinds = [(f.name, to_arrow_type(f.dataType)) for f in fields.fields]
 
-    def rows(*columns):
-        out = [read_one(*values) for values in zip(*(c.to_pylist() for c in columns))]
+    def read(first):
+        out = [read_one(value) for value in first.to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([o.get(name) for o in out], kind) for name, kind in kinds], names=[name for name, _ in kinds]
         )
 
-    def of_one(first):
-        return rows(first)
-
-    def of_two(first, second):
-        return rows(first, second)
-
-    read = of_one if inputs == 1 else of_two
-    names = ("first", "second")[:inputs]
-    read.__annotations__ = {**dict.fromkeys(names, pa.Array), "return": pa.Array}
+    read.__annotations__ = {"first": pa.Array, "return": pa.Array}
     return F.arrow_udf(read, returnType=fields)
 
 
 def _body_reader():
     body = _parsers()
-    return _arrow_reader(BODY, lambda data: body(data) if data else {}, 1)
+    return _arrow_reader(BODY, lambda data: body(data) if data else {})
 
 
 CHANGE = T.StructType([
@@ -185,18 +178,41 @@ def change_reader():
             seen[data] = found
         return seen[data]
 
-    def read_one(data, relation):
-        head = described(relation) if relation else {"error": "unknown relation"}
+    def read_one(data, head):
         if "error" in head or not data:
-            return head
-        out = {**head, **body(data)}
+            return {"error": head.get("error")}
+        out = body(data)
         widest = max(len(out.get("old_values") or ()), len(out.get("new_values") or ()))
         if widest > len(head["names"]):
-            out = {**head, "error": "more values than columns"}
+            out = {"error": "more values than columns"}
         return out
 
+    return _arrow_change_reader(described, read_one)
+
+
+def _arrow_change_reader(described, read_one):
+    """The Arrow function of :func:`change_reader`. Rows share a few relations, whose columns are made once and handed to rows by number."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    import pyarrow as pa
+
+    kinds = [(f.name, to_arrow_type(f.dataType)) for f in CHANGE.fields]
+    shared = ("namespace", "relation_name", "names", "type_ids", "modifiers")
+
+    def read(first, second):
+        coded = second.dictionary_encode()
+        heads = [described(data) if data else {"error": "unknown relation"} for data in [*coded.dictionary.to_pylist(), None]]
+        number = coded.indices.fill_null(len(heads) - 1)
+        out = [read_one(data, heads[i]) for data, i in zip(first.to_pylist(), number.to_pylist())]
+        columns = [
+            pa.array([h.get(name) for h in heads], kind).take(number) if name in shared else pa.array([o.get(name) for o in out], kind)
+            for name, kind in kinds
+        ]
+        return pa.StructArray.from_arrays(columns, names=[name for name, _ in kinds])
+
+    read.__annotations__ = {"first": pa.Array, "second": pa.Array, "return": pa.Array}
     # Marked so that a filter on the outcome is not turned into a second run of the function.
-    return _arrow_reader(CHANGE, read_one, 2).asNondeterministic()
+    return F.arrow_udf(read, returnType=CHANGE).asNondeterministic()
 
 
 def message_type(payload: Column) -> Column:

@@ -215,3 +215,40 @@ def test_a_window_of_comments_equals_the_window_of_all(spark):
     everything = {r.comment_id: r for r in feeds.comment_rows(comments, "https://h").collect()}
     got = {r.comment_id: r for r in feeds.comment_rows(comments, "https://h", low, high).collect()}
     assert got == {i: r for i, r in everything.items() if dt.datetime(2024, 1, 9) < r.date_filter < dt.datetime(2024, 1, 13)} and len(got) > 10
+
+
+def test_a_relation_is_described_once_for_all_rows_of_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    from layerwright.sources import wal
+
+    made, asked = {}, []
+
+    class Marked:
+        def asNondeterministic(self):
+            return self
+
+    def keep(function, returnType):
+        made["read"] = function
+        return Marked()
+
+    monkeypatch.setattr(wal.F, "arrow_udf", keep)
+
+    def described(data):
+        asked.append(data)
+        return {"namespace": "n", "relation_name": data.decode(), "names": ["a"], "type_ids": [20], "modifiers": [-1]}
+
+    wal._arrow_change_reader(described, lambda data, head: {"error": head.get("error"), "new_values": [data.decode()]})
+    got = made["read"](pa.array([b"1", b"2", b"3", b"4"]), pa.array([b"x", b"y", None, b"x"])).to_pylist()
+    assert asked == [b"x", b"y"]
+    assert [(r["relation_name"], r["names"], r["new_values"], r["error"]) for r in got] == [
+        ("x", ["a"], ["1"], None), ("y", ["a"], ["2"], None), (None, None, ["3"], "unknown relation"), ("x", ["a"], ["4"], None)]
+
+
+def test_a_value_that_ends_early_is_told():
+    from layerwright.sources.wal import _parsers
+
+    body, head = _parsers(), b"I\x00\x00\x40\x10N\x00\x01t"
+    assert body(head + b"\x00\x00\x00\x02ab")["new_values"] == ["ab"]
+    for tail in (b"", b"\x00\x00\x00", b"\x00\x00\x00\x03ab", b"\xff\xff\xff\xff", b"\x80\x00\x00\x00"):
+        assert body(head + tail) == {"error": "message ends early"}, tail
