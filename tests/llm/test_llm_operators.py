@@ -462,3 +462,22 @@ def test_suffix_dedup_arguments(spark):
         suffix_dedup.remove_repeats(docs)
     with pytest.raises(ValueError, match="1 to 32,767"):
         suffix_dedup.remove_repeats(empty(spark), least=40_000)
+
+
+def test_suffixes_are_sorted_by_as_many_characters_as_asked():
+    import numpy as np
+
+    from layerwright.llm.bwt import long_groups, suffix_array
+
+    draw = np.random.default_rng(5)
+    for size, letters, depth in ((1, 2, 50), (9, 2, 50), (300, 2, 5), (300, 2, 20), (400, 1, 50), (500, 3, 50), (500, 200, 50)):
+        for again in (1, 4):
+            body = np.tile(draw.integers(1, letters + 1, size), again).astype(np.uint8)
+            text = np.append(body, 0).astype(np.uint8)
+            data = text.tobytes()
+            order = suffix_array(text, depth)
+            assert sorted(order.tolist()) == list(range(len(text)))
+            heads = [data[i:i + depth] for i in order.tolist()]
+            assert heads == sorted(heads)
+            begins = long_groups(text, order, depth).tolist()
+            assert begins == [i == 0 or heads[i] != heads[i - 1] for i in range(len(heads))]
