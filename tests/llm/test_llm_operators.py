@@ -283,6 +283,80 @@ def test_repeats_of_repeated_ids(spark):
     assert sorted((r.doc_id is None, r.n_removed) for r in got.collect()) == [(False, 0), (False, 0), (True, len(line)), (True, len(line))]
 
 
+@pytest.mark.parametrize("texts", [["a text that stands alone, longer than the least that is looked for"], ["short", "", None],
+                                   ["a" * 14 + "s" * 20 + "the-smallest-one" + c * 30 for c in "bcd"],
+                                   [c * 30 + "seventeen of it: the same piece of text: and seventeen" + d * 30 for c, d in ("ab", "cd", "ef")]])
+def test_repeats_that_are_none(spark, texts):
+    from test_llm_queries import removed_by_force
+
+    rows = [(i, t, None, None) for i, t in enumerate(texts)]
+    for least in (20, 50, 60):
+        got = suffix_dedup.remove_repeats(frame(spark, rows), least=least).collect()
+        want = removed_by_force([(i, t) for i, t, *_ in rows], least)
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in got} == {i: w[:3] for i, w in want.items()}
+
+
+class Frame:
+    """In place of a DataFrame: hands out the function that a step runs on a group."""
+
+    def groupBy(self, *_):
+        return self
+
+    def applyInArrow(self, run, _):
+        return run
+
+
+def test_only_strings_that_another_stretch_may_have_are_sorted(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    sorted_bytes = []
+    plain = suffix_dedup.suffix_array
+    monkeypatch.setattr(suffix_dedup, "suffix_array", lambda text, least: (sorted_bytes.append(len(text)), plain(text, least))[1])
+    run = suffix_dedup._smaller(Frame(), 50)
+
+    def runs_of(texts):
+        """For each text, as one stretch with the minimizer at its 35th byte, the runs that a smaller id has."""
+        packs = [suffix_dedup._pack_parts(*(np.array([x]) for x in (i + 1, i, i, len(t) - 49, 34)), np.frombuffer(t, np.uint8)) for i, t in enumerate(texts)]
+        found = run(pa.table({"block": pa.array(range(len(texts)), pa.int64()), "stretches": pa.array(packs, pa.binary())}))
+        parts = {b: suffix_dedup._unpack_parts(x, 4) for b, x in zip(found["block"].to_pylist(), found["runs"].to_pylist(), strict=True)}
+        return {b: list(zip(low.tolist(), (first >> 1).tolist(), last.tolist(), strict=True)) for b, (_, low, first, last) in parts.items()}
+
+    piece = b"the-smallest-one"  # 40 bytes in common with it, more than half of the others on the left
+    assert runs_of([b"a" * 14 + b"s" * 20 + piece + b"next" + b"b" * 30, b"c" * 14 + b"s" * 20 + piece + b"next" + b"d" * 30]) == {}
+    assert sum(sorted_bytes) == 0
+    # 52 bytes in common: three strings, from the 15th on. A few bytes more each way are let through, as depths are looked at in steps.
+    assert runs_of([b"a" * 14 + b"s" * 20 + piece + b"u" * 16 + b"b" * 18, b"c" * 14 + b"s" * 20 + piece + b"u" * 16 + b"d" * 18]) == {1: [(0, 14, 16)]}
+    assert 2 * 52 < sum(sorted_bytes) < 2 * 65
+
+
+@pytest.mark.parametrize("least", [3, 50])
+def test_stretches_of_many_texts(monkeypatch, least):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 400)
+    draw = random.Random(least)
+    texts = ["".join(draw.choices("abé", k=draw.choice([0, 1, 30, 48, 49, 50, 51, 90, 300, 900]))) for _ in range(60)] + ["a" * 1_000, ""]
+    texts += texts[:20] + [texts[5] + texts[7]]
+    raw, limits = suffix_dedup._texts(pa.array(["before", *texts, "behind"]).slice(1, len(texts)))
+    data = raw.tobytes()
+    assert [data[s:e].decode() for s, e in zip(limits, limits[1:], strict=False)] == texts
+    own = suffix_dedup.Stretches(raw, limits, least)
+    strings = [(t, i) for t, f, e in zip(own.text.tolist(), own.first.tolist(), own.last.tolist(), strict=True) for i in range(f, e + 1)]
+    assert strings == [(t, i) for t, (s, e) in enumerate(zip(limits.tolist(), limits[1:].tolist(), strict=False)) for i in range(s, e - least + 1)]
+    minimizers, keys = {}, {}
+    piece = min(suffix_dedup.PIECE, least)
+    for m, f, e, k, p in zip(*(x.tolist() for x in (own.minimizer, own.first, own.last, own.key, own.place)), strict=True):
+        assert e <= p and p + piece <= f + least  # each string of the stretch holds it
+        assert keys.setdefault(k, data[f:e + least]) == data[f:e + least]
+        for i in range(f, e + 1):
+            assert minimizers.setdefault(data[i:i + least], (m, p - i)) == (m, p - i)
+    assert len(np.unique(own.key)) == len({data[f:e + least] for f, e in zip(own.first.tolist(), own.last.tolist(), strict=True)})
+    none = suffix_dedup.Stretches(*suffix_dedup._texts(pa.array([], pa.string())), least)
+    assert len(none.key) == len(none.text) == 0
+
+
 def test_groups_of_transform():
     draw = np.random.default_rng(5)
     for _ in range(60):
